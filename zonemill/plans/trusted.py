@@ -1,0 +1,126 @@
+"""Merging one delivery of raw rows into a trusted table."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from dataclasses import dataclass, field
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from zonemill.functions.clean import blank_to_null, with_partition_month
+from zonemill.functions.columns import col, find
+from zonemill.functions.keys import MergeKeys
+from zonemill.layout import PARTITION_MONTH, split_keys
+from zonemill.operators.merge import keys_as, merge_upsert
+from zonemill.operators.window_delete import delete_window, in_window
+from zonemill.session import fits_broadcast
+from zonemill.sources.datasets import read_table
+from zonemill.sources.publish import publish_table, table_exists
+
+
+@dataclass(frozen=True)
+class TrustedTable:
+    """How a trusted table is kept.
+
+    ``date_column`` gives the month of a partitioned table and the date of the window
+    delete. ``merge_options`` go to the upsert.
+    """
+
+    path: str
+    keys: list[str]
+    date_column: str | None = None
+    partitioned: bool = False
+    merge_options: Mapping[str, object] = field(default_factory=dict)
+
+    @classmethod
+    def from_control(cls, row: Mapping[str, str], path: str, **merge_options: object) -> TrustedTable:
+        return cls(
+            path=path,
+            keys=split_keys(row["PrimaryKey"]),
+            date_column=row["PartitionColumn"] or None,
+            partitioned=row["Partition"] == "1",
+            merge_options=merge_options,
+        )
+
+
+def window_date(row: Mapping[str, str]) -> str | None:
+    """Reference date of the window delete of a control row, if it asks for one."""
+    return row["UpdatedDate"] if row["FlagDelete"] == "1" else None
+
+
+def load_delivery(
+    spark: SparkSession,
+    delivery: DataFrame,
+    table: TrustedTable,
+    as_of: str | None = None,
+    record: dict | None = None,
+) -> int:
+    """Upsert the rows of one delivery, after deleting the window before ``as_of`` if given.
+
+    The first delivery creates the table as it is. Of a partitioned table only those
+    months are read in full and replaced that hold a matched row, a new row or a deleted
+    row. Any error leaves the table as it was. Returns the number of rows written.
+    """
+    batch = blank_to_null(delivery)
+    exists = table_exists(spark, table.path)
+    if table.partitioned:
+        if table.date_column is None:
+            raise ValueError("a partitioned table needs a date column")
+        if not exists or find(batch, table.date_column):
+            batch = with_partition_month(batch, table.date_column)
+    partition_by = PARTITION_MONTH if table.partitioned else None
+    if not exists:
+        return publish_table(batch, table.path, partition_by, record=record)
+
+    current = read_table(spark, table.path, merge_schema=bool(table.merge_options.get("evolve")))
+    months = None
+    if table.partitioned and PARTITION_MONTH not in current.columns:
+        current = with_partition_month(current, table.date_column)
+    elif table.partitioned:
+        months = touched_months(current, batch, table, as_of)
+        current = current.filter(_is_one_of(PARTITION_MONTH, months))
+    if as_of is not None:
+        current = delete_window(current, table.date_column, as_of)
+    merged = merge_upsert(current, batch, table.keys, **table.merge_options)
+    return publish_table(merged, table.path, partition_by, touched=months, record=record)
+
+
+def touched_months(
+    current: DataFrame, batch: DataFrame, table: TrustedTable, as_of: str | None = None
+) -> list[str | None]:
+    """Months whose rows an upsert of ``batch`` changes, adds to or deletes from.
+
+    A matched row may leave its month, so the months of all matches count. They need a
+    look at the keys of the whole table, unless the month derives from a key.
+    """
+    parts = [batch.select(PARTITION_MONTH) if PARTITION_MONTH in batch.columns else _no_month(batch)]
+    if table.date_column.lower() not in [k.lower() for k in table.keys]:
+        on = MergeKeys(current, table.keys, "the target")
+        wanted = on.project(keys_as(current, batch, on)).distinct()
+        held = on.project(current, col(PARTITION_MONTH))
+        if not fits_broadcast(wanted):
+            held = held.distinct()
+        parts.append(held.join(wanted, on.labels, "left_semi").select(PARTITION_MONTH))
+    if as_of is not None:
+        parts.append(current.filter(in_window(current, table.date_column, as_of)).select(PARTITION_MONTH))
+    months = reduce(DataFrame.union, parts).distinct()
+    return [row[0] for row in months.collect()]
+
+
+def _no_month(batch: DataFrame) -> DataFrame:
+    return batch.select(F.lit(None).cast("string").alias(PARTITION_MONTH))
+
+
+def _is_one_of(name: str, values: list[str | None]) -> Column:
+    given = [v for v in values if v is not None]
+    test = col(name).isin(given)
+    return test | col(name).isNull() if None in values else test
+
+
+def repartition_table(spark: SparkSession, path: str, date_column: str) -> int:
+    """Rewrite a table that was built without partitions by month."""
+    if not table_exists(spark, path):
+        raise ValueError(f"there is no table at {path}")
+    return publish_table(with_partition_month(read_table(spark, path), date_column), path, PARTITION_MONTH)
