@@ -1,0 +1,251 @@
+import datetime
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from zonemill.operators.merge import latest_per_key, merge_upsert, missing_from_source
+from zonemill.operators.window_delete import delete_window, in_window
+
+SCHEMA = "k_int int, k_str string, k_bool boolean, k_date date, v double"
+KEYS = ["K_INT", "K_STR", "K_BOOL", "K_DATE"]
+DAY = datetime.date(2020, 1, 1)
+
+
+def small(spark, data, schema):
+    """A table whose size Spark knows to be small; a plain local table has no known size."""
+    return spark.createDataFrame(data, schema).limit(1000)
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_null_keys_by_type(spark, join_plan):
+    target = spark.createDataFrame(
+        [
+            (1, None, None, DAY, 1.0),
+            (None, "a", True, None, 2.0),
+            (0, "a", True, None, 3.0),
+            (2, "b", False, DAY, 4.0),
+        ],
+        SCHEMA,
+    )
+    source = small(spark, 
+        [(1, "", False, DAY, 10.0), (None, "a", True, None, 20.0), (2, "b", True, DAY, 40.0)], SCHEMA
+    )
+    merged = merge_upsert(target, source, KEYS)
+    assert rows(merged) == sorted(
+        [
+            (1, "", False, DAY, 10.0),
+            (None, "a", True, None, 20.0),
+            (0, "a", True, None, 3.0),
+            (2, "b", False, DAY, 4.0),
+            (2, "b", True, DAY, 40.0),
+        ],
+        key=repr,
+    )
+
+
+def test_zero_signs_and_scales_are_equal_keys(spark, join_plan):
+    target = spark.sql("SELECT CAST(0.0 AS DOUBLE) AS d, CAST(1.50 AS DECIMAL(5,2)) AS e, 1 AS v")
+    source = spark.sql("SELECT CAST(-0.0 AS DOUBLE) AS d, CAST(1.5 AS DECIMAL(3,1)) AS e, 2 AS v")
+    assert [r["v"] for r in merge_upsert(target, source, ["d", "e"]).collect()] == [2]
+
+
+def test_keys_in_any_case_and_unknown_key(spark):
+    target = spark.createDataFrame([(1, 1)], "Id int, v int")
+    source = small(spark, [(1, 2)], "ID int, V int")
+    merged = merge_upsert(target, source, ["id"])
+    assert merged.columns == ["Id", "v"] and rows(merged) == [(1, 2)]
+    with pytest.raises(ValueError, match="no column"):
+        merge_upsert(target, source, ["other"])
+
+
+def test_nested_columns_are_carried_but_no_keys(spark):
+    target = spark.sql("SELECT 1 AS k, array(1, 2) AS a, map('x', 1) AS m")
+    source = spark.sql("SELECT 2 AS k, array(3) AS a, map('y', 2) AS m")
+    assert merge_upsert(target, source, ["k"]).count() == 2
+    with pytest.raises(ValueError, match="cannot be a merge key"):
+        merge_upsert(target, source, ["a"])
+
+
+def test_audit_names_match_whole_names_only(spark):
+    schema = "k int, InsertedDate string, UpdatedDate string, InsertedDateX string"
+    target = spark.createDataFrame([(1, "ti", "tu", "tx"), (3, "ti", "tu", "tx")], schema)
+    source = small(spark, [(1, "si", "su", "sx"), (2, "si", "su", "sx")], schema)
+    assert rows(merge_upsert(target, source, ["k"])) == [
+        (1, None, "su", "sx"), (2, "si", None, "sx"), (3, "ti", "tu", "tx")
+    ]
+    assert rows(merge_upsert(target, source, ["k"], audit="preserve"))[0] == (1, "ti", "su", "sx")
+    assert rows(merge_upsert(target, source, ["k"], audit="none"))[1] == (2, "si", "su", "sx")
+    with pytest.raises(ValueError, match="audit"):
+        merge_upsert(target, source, ["k"], audit="other")
+
+
+def test_source_columns_the_target_lacks(spark):
+    target = spark.createDataFrame([(1, "a"), (3, "c")], "k int, v string")
+    source = small(spark, [(1, "A", 10), (2, "B", 20)], "k int, v string, extra int")
+    with pytest.raises(ValueError, match="evolve"):
+        merge_upsert(target, source, ["k"])
+    assert rows(merge_upsert(target, source, ["k"], evolve=True)) == [(1, "A", 10), (2, "B", 20), (3, "c", None)]
+
+
+def test_repeated_source_key_raises_only_if_it_matches(spark, join_plan):
+    target = spark.createDataFrame([(1, 1)], "k int, v int")
+    new = small(spark, [(2, 1), (2, 2), (1, 5)], "k int, v int")
+    assert rows(merge_upsert(target, new, ["k"])) == [(1, 5), (2, 1), (2, 2)]
+    clash = small(spark, [(1, 1), (1, 2), (3, 3)], "k int, v int")
+    with pytest.raises(Exception, match="several source rows"):
+        merge_upsert(target, clash, ["k"]).collect()
+    with pytest.raises(Exception, match="several source rows"):
+        merge_upsert(target, clash.filter("k = 1"), ["k"]).count()
+    latest = merge_upsert(target, clash, ["k"], on_duplicate="latest", order_by=["v"])
+    assert rows(latest) == [(1, 2), (3, 3)]
+
+
+def test_latest_sees_null_and_blank_as_one_key(spark):
+    source = small(spark, [(None, 1), ("", 2), ("a", 3)], "k string, v int")
+    assert [r["v"] for r in latest_per_key(source, ["k"], ["v"]).orderBy("v").collect()] == [2, 3]
+    with pytest.raises(ValueError, match="order"):
+        latest_per_key(source, ["k"], [])
+
+
+def test_repeated_target_rows_are_all_updated(spark, join_plan):
+    target = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "k int, v int")
+    source = small(spark, [(1, 9)], "k int, v int")
+    assert rows(merge_upsert(target, source, ["k"])) == [(1, 9), (1, 9), (2, 3)]
+
+
+def test_a_key_with_a_third_of_all_rows(spark, join_plan):
+    target = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+    source = spark.range(0, 6000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, -7).otherwise(F.col("id")).alias("k"), (-F.col("id")).alias("v")
+    )
+    merged = merge_upsert(target, source, ["k"])
+    # 1000 rows of the heavy target key stay, 2000 keys are updated, and of the source
+    # 2000 rows of its heavy key and 2000 other keys are new.
+    assert merged.count() == 1000 + 2000 + 2000 + 2000
+    assert merged.filter("k = -7").count() == 2000
+    assert merged.filter("k = -1 AND v >= 0").count() == 1000
+    left = missing_from_source(target, source, ["k"])
+    assert left.count() == 1000 and left.filter("k <> -1").count() == 0
+    assert missing_from_source(target, target.limit(1), ["k"]).count() == 2000
+    assert missing_from_source(source, target, ["k"]).count() == 4000
+
+
+def _final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_heavy_target_key_is_split_at_run_time(spark, tmp_path):
+    path = str(tmp_path / "target")
+    wide = F.concat(*[F.md5(F.concat(F.col("id").cast("string"), F.lit(str(i)))) for i in range(4)])
+    spark.range(0, 60000, 1, 8).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k"), wide.alias("v")
+    ).write.parquet(path)
+    target = spark.read.parquet(path)
+    source = target.filter("k > 30000").withColumn("v", F.lit("new")).unionByName(
+        spark.createDataFrame([(-1, "hot")], "k long, v string")
+    )
+    settings_ = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings_}
+    try:
+        for k, v in settings_.items():
+            spark.conf.set(k, v)
+        merged = merge_upsert(target, source, ["k"])
+        plan = _final_plan(merged)
+        assert "SortMergeJoin(skew=true)" in plan
+        assert "Cartesian" not in plan and "NestedLoop" not in plan
+        assert merged.filter("v = 'hot'").count() == 20000
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_target_is_not_shuffled_for_a_small_source(spark, tmp_path):
+    path = str(tmp_path / "target")
+    spark.range(1000).selectExpr("id AS k", "id AS v", "uuid() AS text").write.parquet(path)
+    source = small(spark, [(1, 5, "x")], "k long, v long, text string")
+    plan = merge_upsert(spark.read.parquet(path), source, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
+    # The key lookup reads the key column only.
+    assert "ReadSchema: struct<k:bigint>" in plan
+
+
+def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
+    source = spark.range(10).selectExpr("id % 2 AS k", "id AS v")
+    plan = latest_per_key(source, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()
+    assert "row_number(), 1, Partial" in plan
+
+
+def test_partial_columns(spark):
+    target = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], "k int, v string, n int")
+    source = small(spark, [(1, "A", 9), (3, "C", 9)], "k int, v string, n int")
+    merged = merge_upsert(target, source, ["k"], columns=["V"], audit="none")
+    assert rows(merged) == [(1, "A", 1), (2, "b", 2), (3, "C", None)]
+
+
+KEY = st.tuples(
+    st.sampled_from([None, 0, 1, 2]), st.sampled_from([None, "", "a"]), st.sampled_from([None, False, True])
+)
+TABLE = st.dictionaries(KEY, st.integers(0, 99), max_size=8)
+
+
+def _same(key):
+    number, text, flag = key
+    return number, text or "", bool(flag)
+
+
+def _unique(table):
+    return list({_same(k): (*k, v) for k, v in table.items()}.values())
+
+
+@settings(max_examples=2, deadline=None, suppress_health_check=list(HealthCheck))
+@given(cases=st.lists(st.tuples(TABLE, TABLE), min_size=30, max_size=40))
+def test_merge_equals_a_dictionary(spark, join_plan, cases):
+    """All cases in one merge, told apart by a leading key column."""
+    schema = "n int, a int, b string, c boolean, v int"
+    keys = ["n", "a", "b", "c"]
+    t_rows, s_rows, model, absent = [], [], [], []
+    for n, (target, source) in enumerate(cases):
+        held, given_ = _unique(target), _unique(source)
+        t_rows += [(n, *r) for r in held]
+        s_rows += [(n, *r) for r in given_]
+        after = {_same(r[:3]): (n, *r) for r in held}
+        known = {_same(r[:3]): (n, *r) for r in given_}
+        model += {**after, **known}.values()
+        absent += [r for k, r in after.items() if k not in known]
+    t, s = small(spark, t_rows, schema), small(spark, s_rows, schema)
+    once = merge_upsert(t, s, keys)
+    assert rows(once) == sorted(model, key=repr)
+    assert rows(merge_upsert(once, s, keys)) == rows(once)
+    assert rows(missing_from_source(t, s, keys)) == sorted(absent, key=repr)
+
+
+def test_window_delete_keeps_nulls_and_round_trips(spark):
+    days = [None, "2022-05-03", "2022-05-04", "2022-06-08", "2023-01-01"]
+    table = spark.createDataFrame([(i, d) for i, d in enumerate(days)], "k int, d string").withColumn(
+        "d", F.col("d").cast("date")
+    )
+    kept = delete_window(table, "D", "2022-06-08")
+    assert [r["k"] for r in kept.orderBy("k").collect()] == [0, 1]
+    deleted = table.filter(in_window(table, "d", "2022-06-08"))
+    assert rows(merge_upsert(kept, deleted, ["k"])) == rows(table)
+
+
+def test_window_delete_reaches_the_scan(spark):
+    orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = delete_window(orders, "o_orderdate", "2001-08-01")._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(LessThan(o_orderdate" in plan

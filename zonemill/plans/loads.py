@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,7 +119,7 @@ def run_work_list(
             results.append(("failed", str(problem), place))
         done = results[-1][0] == "succeeded"
         control = spark.read.parquet(control_path)
-        this = spark.createDataFrame([tuple(row[k] for k in STATUS_KEYS)], control.select(STATUS_KEYS).schema)
+        this = control.filter(reduce(Column.__and__, [F.col(k) == row[k] for k in STATUS_KEYS]))
         publish_table(record_status(control, this, done, run_date, advance_on_failure), control_path)
     report = spark.createDataFrame(results, RESULT_SCHEMA).withColumn("time", F.lit(fixed(spark, now_text())))
     if log_path is not None:
