@@ -28,6 +28,10 @@ def test_conform_truncates_only_when_allowed(spark):
         with pytest.raises(Exception, match="value of column"):
             conform(df, schema).collect()
     assert tuple(conform(df, "a float, b varchar(6), c decimal(9,4)").first()) == (1.25, "abcdef", Decimal("12.3450"))
+    noon = spark.sql("SELECT TIMESTAMP '2020-01-01 12:00:00' AS t")
+    with pytest.raises(Exception, match="value of column"):
+        conform(noon, "t date").collect()
+    assert str(conform(noon, "t date", allow_truncation=True).first()[0]) == "2020-01-01"
     with pytest.raises(ValueError, match="boolean"):
         conform(df, "d int")
 

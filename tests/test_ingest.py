@@ -31,10 +31,10 @@ class Lake:
         else:
             df.repartition(2).write.parquet(goal)
 
-    def ingest(self, as_of=None):
+    def ingest(self, as_of=None, combine=False):
         ingest_stream(
             self.spark, self.raw, self.table, f"{self.root}/checkpoint", f"{self.root}/archive",
-            f"{self.root}/failed", as_of,
+            f"{self.root}/failed", as_of, combine,
         )
 
     def held(self):
@@ -201,3 +201,53 @@ def test_empty_delivery_directory(spark, lake_):
     spark.createDataFrame([], "k int, d date, v string").write.parquet(f"{lake_.raw}/002_t.parquet")
     lake_.ingest()
     assert lake_.held() == {1: "a"} and files.exists(spark, f"{lake_.raw}/002_t.parquet")
+
+
+def test_combined_deliveries_give_the_same_table(spark, tmp_path, monkeypatch):
+    """A backlog with a repeated new key and a new column, merged one by one and combined."""
+    loads_ = []
+    load = ingest.load_delivery
+
+    def counted(spark_, delivery, table, **kwargs):
+        loads_.append(len(kwargs["record"]["deliveries"]))
+        return load(spark_, delivery, table, **kwargs)
+
+    monkeypatch.setattr(ingest, "load_delivery", counted)
+    tables = []
+    for combine in (False, True):
+        one = Lake(spark, str(tmp_path / str(combine)))
+        one.land("000", (0, "2020-03-10", "gone"), (9, "2020-01-01", "stays"))
+        one.ingest()
+        one.land("001", (1, "2020-01-01", "a"), (2, "2020-01-02", "a"), (None, "2020-01-02", "n"))
+        one.land("002", (2, "2020-02-02", "b"), (3, "2020-02-03", ""))
+        one.land("003", (3, "2020-04-03", "c"), (None, "2020-03-03", "c"), (9, "2020-02-01", "c"))
+        one.land("004", (5, "2020-04-05", "d"), (5, "2020-04-05", "d"))
+        one.land("005", (1, "2020-04-05", "e"))
+        one.land("006", (2, "2020-04-05", "f"))
+        loads_.clear()
+        one.ingest("2020-03-20", combine)
+        tables.append(sorted((tuple(r) for r in spark.read.parquet(one.path).collect()), key=repr))
+        assert loads_ == ([1, 2, 3, 4, 5, 6] if not combine else [3, 4, 6])
+    assert tables[0] == tables[1] and len(tables[0]) == 7
+
+
+def test_deliveries_with_audit_columns_are_not_combined(spark, lake):
+    dated = spark.createDataFrame([(1, "x", "y")], "k int, InsertedDate string, UpdatedDate string")
+    assert [n for _, n in ingest.combined([dated, dated], TrustedTable(lake, ["k"]))] == [1, 1]
+    plain = TrustedTable(lake, ["k"], merge_options={"audit": "none"})
+    assert [n for _, n in ingest.combined([dated, dated], plain)] == [2]
+    wider = dated.withColumn("z", F.lit(1))
+    assert [n for _, n in ingest.combined([dated, wider, wider], plain)] == [1, 2]
+
+
+def test_emptied_delivery_directories_are_removed(spark, lake_):
+    lake_.land("001", (1, "2020-01-01", "a"))
+    lake_.ingest()
+    lake_.land("002", (2, "2020-01-01", "b"))
+    lake_.ingest()
+    lake_.land("003", (3, "2020-01-01", "c"))
+    lake_.ingest()
+    assert sorted(n for n in os.listdir(lake_.raw) if not n.startswith(".")) == ["002_t.parquet", "003_t.parquet"]
+    archived = [f for f, _, names in os.walk(f"{lake_.root}/archive") if any(n.endswith(".parquet") for n in names)]
+    assert sorted(os.path.basename(f) for f in archived) == ["001_t.parquet", "002_t.parquet"]
+    assert lake_.held() == {1: "a", 2: "b", 3: "c"}

@@ -103,6 +103,7 @@ def test_repeated_source_key_raises_only_if_it_matches(spark, join_plan):
         merge_upsert(target, clash.filter("k = 1"), ["k"]).count()
     latest = merge_upsert(target, clash, ["k"], on_duplicate="latest", order_by=["v"])
     assert rows(latest) == [(1, 2), (3, 3)]
+    assert rows(merge_upsert(clash, target, ["k"], on_duplicate="latest", order_by=["v"])) == [(1, 1), (1, 1), (3, 3)]
 
 
 def test_latest_sees_null_and_blank_as_one_key(spark):

@@ -59,7 +59,7 @@ def test_work_from_the_control_file(spark, lake):
     os.makedirs(lake)
     with open(f"{lake}/tb_purge.csv", "w") as f:
         f.write("container;path;tb_name;update_column;table_type;convert_date\n")
-        f.write("c;raw/a/;a;u;NT;N\nc;raw/b/;b;u;OT;N\nc; / ;c;u;NT;N\nc;\;d;u;NT;N\nc;;e;u;NT;N\n")
+        f.write("c;raw/a/;a;u;NT;N\nc;raw/b/;b;u;OT;N\nc; / ;c;u;NT;N\nc;\\;d;u;NT;N\nc;;e;u;NT;N\n")
     assert [r["tb_name"] for r in purge_list(spark, control_csv=lake).collect()] == ["a"]
 
 

@@ -29,8 +29,8 @@ def with_partition_month(df: DataFrame, column: str, name: str = PARTITION_MONTH
 def conform(df: DataFrame, schema: T.StructType | str, allow_truncation: bool = False) -> DataFrame:
     """Select and cast the columns of ``schema``.
 
-    Columns are found in any case; missing ones are NULL. A fraction, scale or string
-    tail that would be lost raises an error unless ``allow_truncation`` is set. A value
+    Columns are found in any case; missing ones are NULL. A fraction, time of day or
+    string tail that would be lost raises an error unless ``allow_truncation`` is set. A value
     out of range always raises, and a boolean is never taken for a number.
     """
     if isinstance(schema, str):
@@ -55,16 +55,17 @@ def _conformed(df: DataFrame, field: T.StructField, allow_truncation: bool) -> C
             return F.substring(text, 1, limit)
         return F.when(F.length(text) > limit, _fail(name, f"longer than {limit} characters")).otherwise(text)
     result = value.cast(plain)
-    if _may_lose_digits(source, target) and not allow_truncation:
+    if _may_lose_parts(source, target) and not allow_truncation:
         return F.when(result.cast(source) != value, _fail(name, f"not exact as {target.simpleString()}")).otherwise(
             result
         )
     return result
 
 
-def _may_lose_digits(source: T.DataType, target: T.DataType) -> bool:
-    fractional = isinstance(source, (T.FractionalType, T.DecimalType))
-    return fractional and isinstance(target, (T.IntegralType, T.DecimalType)) and source != target
+def _may_lose_parts(source: T.DataType, target: T.DataType) -> bool:
+    digits = isinstance(source, T.FractionalType) and isinstance(target, (T.IntegralType, T.DecimalType))
+    time = isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(target, T.DateType)
+    return (digits or time) and source != target
 
 
 def _fail(name: str, reason: str) -> Column:

@@ -21,19 +21,18 @@ class MergeKeys:
 
     def __init__(self, df: DataFrame, keys: list[str], what: str = "the table"):
         self.names = require(df, keys, what)
-        self.types = [df.schema[name].dataType for name in self.names]
+        types = {f.name: f.dataType for f in df.schema}
+        self.types = [types[name] for name in self.names]
+        # Names of the comparable columns in a projection of them.
+        self.labels = [f"_key{i}" for i in range(len(self.columns()))]
 
     def columns(self, side: str | None = None) -> list[Column]:
+        """The comparable columns of a row whose keys have the names and types of these."""
         parts: list[Column] = []
         for name, data_type in zip(self.names, self.types):
-            parts += _never_null(name, data_type, col(name, side).cast(data_type))
+            parts += _never_null(name, data_type, col(name, side))
         return parts
 
-    @property
-    def labels(self) -> list[str]:
-        """Names of the comparable columns in a projection of them."""
-        return [f"_key{i}" for i in range(len(self.columns()))]
-
     def project(self, df: DataFrame, *more: Column) -> DataFrame:
         """Only the comparable key columns, and ``more``."""
         return df.select(*[k.alias(n) for k, n in zip(self.columns(), self.labels)], *more)

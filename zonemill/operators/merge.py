@@ -58,6 +58,34 @@ def merge_upsert(
         source = latest_per_key(keys_as(target, source, on), on.names, order_by)
     batch = _aligned(target, source, on, columns, evolve)
 
+    changes, inserts = _unique(target, batch, on) if on_duplicate == "latest" else _checked(target, batch, on)
+    updates = target.alias("t").join(
+        changes.withColumn("_hit", F.lit(True)).alias("s"), on.match("t", "s"), "left"
+    )
+    given = batch.columns
+    added = [c for c in given if c not in target.columns]
+    updated = [_updated(c, c in given, audit).alias(c) for c in target.columns]
+    inserted = [_inserted(target, c, c in given, audit).alias(c) for c in target.columns]
+    extra = [col(c, "s").alias(c) for c in added]
+    return updates.select(*updated, *extra).union(inserts.select(*inserted, *extra))
+
+
+def _unique(target: DataFrame, batch: DataFrame, on: MergeKeys) -> tuple[DataFrame, DataFrame]:
+    """Source rows for the update join and source rows to insert, for a source without repeated keys."""
+    seen, wanted = on.project(target), on.project(batch)
+    if fits_broadcast(batch) and fits_broadcast(wanted):
+        seen = seen.join(wanted, on.labels, "left_semi")
+    inserts = batch.alias("s").join(seen.distinct().alias("m"), on.match_projected("s", "m"), "left_anti")
+    return batch, inserts
+
+
+def _checked(target: DataFrame, batch: DataFrame, on: MergeKeys) -> tuple[DataFrame, DataFrame]:
+    """Source rows for the update join and source rows to insert.
+
+    A repeated source key raises where it matches. Elsewhere all its rows are inserted,
+    however many there are: they are salted over many tasks, and as they cannot match,
+    the matched keys need no copies per salt.
+    """
     counts = on.project(batch).groupBy(on.labels).agg(F.count(F.lit(1)).alias("_n"))
     seen = on.project(target)
     if fits_broadcast(batch) and fits_broadcast(counts):
@@ -65,31 +93,18 @@ def merge_upsert(
     else:
         seen = seen.distinct()
         batch = _salted_repeats(batch, counts, on)
-    # The aggregate keeps the check below it off the unmatched keys, which may repeat.
-    # A repeated key may not match, so salted rows need no copies on the other side.
+    # The aggregate keeps the check off unmatched keys: Spark moves no test through it.
     matched = seen.join(counts, on.labels).groupBy(on.labels).agg(F.max("_n").alias("_n"))
+    several = F.raise_error(F.lit("several source rows match one target row"))
     matched = matched.select(
-        *on.labels,
-        F.when(F.col("_n") > 1, F.raise_error(F.lit("several source rows match one target row")))
-        .otherwise(F.lit(0))
-        .cast("int")
-        .alias("_salt"),
-    )
-
-    updates = target.alias("t").join(
-        batch.filter("_salt = 0").withColumn("_hit", F.lit(True)).alias("s"), on.match("t", "s"), "left"
+        *on.labels, F.when(F.col("_n") > 1, several).otherwise(F.lit(0)).cast("int").alias("_salt")
     )
     inserts = batch.alias("s").join(
         matched.alias("m"),
         on.match_projected("s", "m") & (F.col("s._salt") == F.col("m._salt")),
         "left_anti",
     )
-    given = [c for c in batch.columns if c != "_salt"]
-    added = [c for c in given if c not in target.columns]
-    updated = [_updated(c, c in given, audit).alias(c) for c in target.columns]
-    inserted = [_inserted(target, c, c in given, audit).alias(c) for c in target.columns]
-    extra = [col(c, "s").alias(c) for c in added]
-    return updates.select(*updated, *extra).union(inserts.select(*inserted, *extra))
+    return batch.filter("_salt = 0").drop("_salt"), inserts
 
 
 def _updated(name: str, given: bool, audit: str) -> Column:
@@ -122,6 +137,8 @@ def _aligned(
 ) -> DataFrame:
     """The wanted source columns, named and typed as in the target."""
     key_columns = require(source, on.names, "the source")
+    types = {f.name: f.dataType for f in target.schema}
+    given_types = {f.name: f.dataType for f in source.schema}
     wanted = source.columns
     if columns is not None:
         named = require(source, columns, "the source")
@@ -130,7 +147,8 @@ def _aligned(
     for name in wanted:
         match = find(target, name)
         if match is not None:
-            picked.append(col(name).cast(target.schema[match].dataType).alias(match))
+            value = col(name) if given_types[name] == types[match] else col(name).cast(types[match])
+            picked.append(value.alias(match))
         elif evolve:
             picked.append(col(name))
         else:

@@ -360,11 +360,11 @@ def _land(df: DataFrame, raw: str, stamp: str) -> None:
     write_dataset(df, f"{raw}/{stamp}_orders.parquet")
 
 
-def _ingest(spark: SparkSession, root: str, as_of: str | None = None) -> str:
+def _ingest(spark: SparkSession, root: str, as_of: str | None = None, combine: bool = False) -> str:
     path = f"{root}/trusted"
     trusted = TrustedTable(path, ["o_orderkey"], "o_orderdate", partitioned=True)
     ingest_stream(
-        spark, f"{root}/raw", trusted, f"{root}/checkpoint", f"{root}/archive", f"{root}/failed", as_of
+        spark, f"{root}/raw", trusted, f"{root}/checkpoint", f"{root}/archive", f"{root}/failed", as_of, combine
     )
     return path
 
@@ -388,6 +388,17 @@ def ingest_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query
+def ingest_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four waiting deliveries, each with part of the one before again, in one merge."""
+    root = work_dir(spark, "lake")
+    orders = table(spark, sf_dir, "orders")
+    for year in (1995, 1997, 1999, 2001):
+        told = orders.filter(F.year("o_orderdate").between(year - 2, year))
+        _land(told.withColumn("told_in", F.lit(year)), f"{root}/raw", f"{year}0901000000001")
+    return read_table(spark, _ingest(spark, root, combine=True))
+
+
 @query
 def ingest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run replaces the rows of the window before its reference date."""

@@ -167,6 +167,11 @@ ORACLE_SQL: dict[str, str] = {
             FROM orders)
         SELECT *, {MONTH} FROM m
     """,
+    "ingest_backlog": f"""
+        SELECT *, CASE WHEN year(o_orderdate) >= 1999 THEN 2001 WHEN year(o_orderdate) >= 1997 THEN 1999
+                       WHEN year(o_orderdate) >= 1995 THEN 1997 ELSE 1995 END AS told_in, {MONTH}
+        FROM orders
+    """,
     "ingest_window": f"""
         WITH m AS (
             SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-06-27'

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from zonemill.functions.clean import blank_to_null, with_partition_month
 from zonemill.functions.columns import col, find
 from zonemill.functions.keys import MergeKeys
-from zonemill.layout import PARTITION_MONTH, split_keys
+from zonemill.layout import MONTH_FORMAT, PARTITION_MONTH, WINDOW_DAYS, split_keys
 from zonemill.operators.merge import keys_as, merge_upsert
 from zonemill.operators.window_delete import delete_window, in_window
 from zonemill.session import fits_broadcast
@@ -104,7 +104,10 @@ def touched_months(
             held = held.distinct()
         parts.append(held.join(wanted, on.labels, "left_semi").select(PARTITION_MONTH))
     if as_of is not None:
-        parts.append(current.filter(in_window(current, table.date_column, as_of)).select(PARTITION_MONTH))
+        # The month before the window is read too, for dates near midnight in another zone.
+        first = F.date_format(F.add_months(F.date_add(F.lit(as_of).cast("date"), -WINDOW_DAYS), -1), MONTH_FORMAT)
+        recent = current.filter(col(PARTITION_MONTH) >= first)
+        parts.append(recent.filter(in_window(current, table.date_column, as_of)).select(PARTITION_MONTH))
     months = reduce(DataFrame.union, parts).distinct()
     return [row[0] for row in months.collect()]
 

@@ -16,9 +16,15 @@ plans a later one: the deliveries of the last batch stay in raw until then.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from zonemill.functions.columns import find
+from zonemill.functions.keys import MergeKeys
+from zonemill.layout import INSERTED_COLUMN, UPDATED_COLUMN
+from zonemill.operators.merge import latest_per_key
 from zonemill.plans.trusted import TrustedTable, load_delivery
 from zonemill.sources import files
 from zonemill.sources.publish import applied, table_exists
@@ -41,6 +47,50 @@ def reject_empty(spark: SparkSession, raw_path: str, failed_path: str) -> DataFr
     return rejected
 
 
+def drop_archived(spark: SparkSession, raw_path: str, archive_path: str) -> None:
+    """Remove delivery directories that the stream has emptied into the archive."""
+    root = files.qualified(spark, raw_path)
+    for path, name, is_directory, _, _ in files.list_entries(spark, raw_path):
+        archived = archive_path + root[root.index("/") :].replace("//", "/") + "/" + name
+        if is_directory and files.exists(spark, archived):
+            if all(entry[1].startswith(("_", ".")) for entry in files.list_entries(spark, path)):
+                files.delete(spark, path)
+
+
+def combined(deliveries: list[DataFrame], table: TrustedTable) -> list[tuple[DataFrame, int]]:
+    """Runs of deliveries as one each, with their number, in the same order.
+
+    One merge of a run equals its merges one by one if its deliveries have the same
+    columns, no audit columns and no repeated key within a delivery: the last delivery
+    that holds a key decides its row. Anything else stays a delivery of its own.
+    """
+    fit = [_combines(delivery, table) for delivery in deliveries]
+    runs: list[list[DataFrame]] = []
+    for i, delivery in enumerate(deliveries):
+        if i > 0 and fit[i - 1] and fit[i] and delivery.schema == deliveries[i - 1].schema:
+            runs[-1].append(delivery)
+        else:
+            runs.append([delivery])
+    return [(_last_rows(run, table) if len(run) > 1 else run[0], len(run)) for run in runs]
+
+
+def _combines(delivery: DataFrame, table: TrustedTable) -> bool:
+    audited = table.merge_options.get("audit", "null") != "none" and (
+        find(delivery, INSERTED_COLUMN) or find(delivery, UPDATED_COLUMN)
+    )
+    if audited or table.merge_options.get("on_duplicate", "error") != "error":
+        return False
+    if any(find(delivery, key) is None for key in table.keys):
+        return False
+    on = MergeKeys(delivery, table.keys, "the delivery")
+    return on.project(delivery).groupBy(on.labels).count().filter("count > 1").isEmpty()
+
+
+def _last_rows(run: list[DataFrame], table: TrustedTable) -> DataFrame:
+    numbered = [delivery.withColumn("_delivery", F.lit(i)) for i, delivery in enumerate(run)]
+    return latest_per_key(reduce(DataFrame.unionByName, numbered), table.keys, ["_delivery"]).drop("_delivery")
+
+
 def delivery_feed(spark: SparkSession, raw_path: str, archive_path: str) -> DataFrame:
     """Stream of the names of new deliveries, one row per file of them."""
     root = files.qualified(spark, raw_path)
@@ -65,15 +115,19 @@ def ingest_stream(
     archive_path: str,
     failed_path: str,
     as_of: str | None = None,
+    combine: bool = False,
 ) -> None:
     """Merge all waiting deliveries in name order, then stop.
 
     With ``as_of``, rows of the window before it are deleted once per run, together with
-    the first delivery; without any delivery nothing is deleted.
+    the first delivery; without any delivery nothing is deleted. ``combine`` merges
+    neighbouring deliveries in one step where that gives the same table, so that a
+    backlog costs one pass over it.
     """
     if not files.exists(spark, raw_path):
         return
     reject_empty(spark, raw_path, failed_path)
+    drop_archived(spark, raw_path, archive_path)
 
     def load_waiting(feed: DataFrame, batch_id: int) -> None:
         # The stream's own session plans without adaptive execution; rows are read in ours.
@@ -84,14 +138,14 @@ def ingest_stream(
             return
         repeated = last.get("query") == query and last["batch"] == batch_id
         merged = list(last["deliveries"]) if repeated else []
-        for name in waiting:
-            if name in merged:
-                continue
+        left = [name for name in waiting if name not in merged]
+        frames = [spark.read.parquet(f"{raw_path}/{name}") for name in left]
+        for delivery, size in combined(frames, table) if combine else [(frame, 1) for frame in frames]:
             first = not merged
-            merged.append(name)
+            merged, left = merged + left[:size], left[size:]
             load_delivery(
                 spark,
-                spark.read.parquet(f"{raw_path}/{name}"),
+                delivery,
                 table,
                 as_of=as_of if first else None,
                 record={"query": query, "batch": batch_id, "deliveries": merged},
