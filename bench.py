@@ -41,6 +41,7 @@ REGISTERED = [
     "latest_event_per_user",
     "conform_types",
     "ingest_deliveries",
+    "ingest_backlog",
     "purge_rows",
 ]
 
