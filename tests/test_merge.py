@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from zonemill.operators.merge import latest_per_key, merge_upsert, missing_from_source
+from zonemill.operators.merge import Upsert, latest_per_key, merge_upsert, missing_from_source
 from zonemill.operators.window_delete import delete_window, in_window
 
 SCHEMA = "k_int int, k_str string, k_bool boolean, k_date date, v double"
@@ -232,6 +232,9 @@ def test_merge_equals_a_dictionary(spark, join_plan, cases):
     once = merge_upsert(t, s, keys)
     assert rows(once) == sorted(model, key=repr)
     assert rows(merge_upsert(once, s, keys)) == rows(once)
+    parts = Upsert(t, s, keys)
+    assert rows(parts.changed().union(parts.unchanged())) == rows(once)
+    assert rows(parts.unchanged()) == sorted(absent, key=repr)
     assert rows(missing_from_source(t, s, keys)) == sorted(absent, key=repr)
 
 

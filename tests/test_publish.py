@@ -165,3 +165,26 @@ def test_new_column_with_evolution(spark, lake):
     load_delivery(spark, delivery(spark, (3, "2020-03-01", "c")), table)
     held = {r["k"]: r["x"] for r in spark.read.option("mergeSchema", True).parquet(lake).collect()}
     assert held == {1: None, 2: 7, 3: None}
+
+
+def test_unmatched_rows_are_not_shuffled_for_a_small_delivery(spark, lake, tmp_path, monkeypatch):
+    table = TrustedTable(lake, ["k"], "d", partitioned=True)
+    days = F.expr("date_add(DATE '2020-01-01', CAST(k % 60 AS INT))")
+    first = spark.range(0, 3000).selectExpr("CAST(id AS INT) AS k", "CAST(id AS STRING) AS v").withColumn("d", days)
+    first.write.parquet(f"{tmp_path}/first")
+    load_delivery(spark, spark.read.parquet(f"{tmp_path}/first"), table)
+    first.filter("k BETWEEN 2990 AND 3000").withColumn("v", F.lit("new")).write.parquet(f"{tmp_path}/second")
+    plans = []
+    publish_ = publish.publish_table
+
+    def kept(df, *args, in_place=None, **kwargs):
+        plans.append(in_place._jdf.queryExecution().executedPlan().toString())
+        return publish_(df, *args, in_place=in_place, **kwargs)
+
+    monkeypatch.setattr("zonemill.plans.trusted.publish_table", kept)
+    load_delivery(spark, spark.read.parquet(f"{tmp_path}/second"), table)
+    (plan,) = plans
+    assert "LeftAnti" in plan and "Exchange hashpartitioning" not in plan
+    held = spark.read.parquet(lake)
+    assert held.count() == 3000 and held.filter("v = 'new'").count() == 10
+    assert held.filter("PARTITION_DT <> date_format(d, 'yyyy-MM')").count() == 0

@@ -43,6 +43,20 @@ def test_query_equals_sql(spark, duck, name):
     assert _rows(result.columns, result.collect()) == _rows(expected.columns, expected.fetchall())
 
 
+LARGE = ["merge_orders", "merge_null_keys", "merge_audit", "merge_lineitem_latest", "merge_touched_months",
+         "missing_customers", "ingest_window"]
+
+
+@pytest.mark.parametrize("name", LARGE)
+def test_query_equals_sql_when_nothing_is_broadcast(spark, duck, name):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        test_query_equals_sql(spark, duck, name)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_every_query_is_checked():
     assert set(queries()) - set(oracle_sql()) == NO_SQL
     assert set(oracle_sql()) <= set(queries())

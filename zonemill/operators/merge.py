@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonemill.functions.columns import col, find, require
 from zonemill.functions.keys import MergeKeys
@@ -19,18 +20,8 @@ SALTS = 1024
 AUDIT_MODES = ("null", "preserve", "none")
 
 
-def merge_upsert(
-    target: DataFrame,
-    source: DataFrame,
-    keys: Sequence[str],
-    *,
-    columns: Sequence[str] | None = None,
-    audit: str = "null",
-    on_duplicate: str = "error",
-    order_by: Sequence[str | Column] = (),
-    evolve: bool = False,
-) -> DataFrame:
-    """Target after an upsert of ``source``.
+class Upsert:
+    """Target after an upsert of ``source``, as a whole or as changed and unchanged rows.
 
     A matched row takes every source column and keeps the columns only the target has.
     An unmatched source row is inserted, with NULL in those columns. Target rows without
@@ -49,37 +40,80 @@ def merge_upsert(
     sides of the update join are plain exchanges, so that adaptive execution can split a
     heavy target key.
     """
-    if audit not in AUDIT_MODES:
-        raise ValueError(f"audit must be one of {AUDIT_MODES}, not {audit!r}")
-    if on_duplicate not in ("error", "latest"):
-        raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
-    on = MergeKeys(target, list(keys), "the target")
-    if on_duplicate == "latest":
-        source = latest_per_key(keys_as(target, source, on), on.names, order_by)
-    batch = _aligned(target, source, on, columns, evolve)
 
-    changes, inserts = _unique(target, batch, on) if on_duplicate == "latest" else _checked(target, batch, on)
-    updates = target.alias("t").join(
-        changes.withColumn("_hit", F.lit(True)).alias("s"), on.match("t", "s"), "left"
-    )
-    given = batch.columns
-    added = [c for c in given if c not in target.columns]
-    updated = [_updated(c, c in given, audit).alias(c) for c in target.columns]
-    inserted = [_inserted(target, c, c in given, audit).alias(c) for c in target.columns]
-    extra = [col(c, "s").alias(c) for c in added]
-    return updates.select(*updated, *extra).union(inserts.select(*inserted, *extra))
+    def __init__(
+        self,
+        target: DataFrame,
+        source: DataFrame,
+        keys: Sequence[str],
+        *,
+        columns: Sequence[str] | None = None,
+        audit: str = "null",
+        on_duplicate: str = "error",
+        order_by: Sequence[str | Column] = (),
+        evolve: bool = False,
+    ):
+        if audit not in AUDIT_MODES:
+            raise ValueError(f"audit must be one of {AUDIT_MODES}, not {audit!r}")
+        if on_duplicate not in ("error", "latest"):
+            raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
+        self._target, self._audit = target, audit
+        self._on = on = MergeKeys(target, list(keys), "the target")
+        if on_duplicate == "latest":
+            source = latest_per_key(keys_as(target, source, on), on.names, order_by)
+        self._batch = batch = _aligned(target, source, on, columns, evolve)
+        self._added = [f for f in batch.schema if f.name not in target.columns]
+        self.small_source = fits_broadcast(batch) and fits_broadcast(on.project(batch))
+        split = _unique if on_duplicate == "latest" else _checked
+        self._changes, self._inserts = split(target, batch, on, self.small_source)
+
+    def result(self) -> DataFrame:
+        """All rows, from one pass over the full target rows."""
+        return self._updates("left").union(self._inserted())
+
+    def changed(self) -> DataFrame:
+        """Updated and inserted rows."""
+        return self._updates("inner").union(self._inserted())
+
+    def unchanged(self) -> DataFrame:
+        """Target rows without a match, in the files they came from if the source is small."""
+        given = self._on.project(self._batch)
+        kept = self._target.alias("t").join(given.alias("s"), self._on.match_projected("t", "s"), "left_anti")
+        return kept.select("t.*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in self._added])
+
+    def _updates(self, how: str) -> DataFrame:
+        hit = self._changes.withColumn("_hit", F.lit(True))
+        joined = self._target.alias("t").join(hit.alias("s"), self._on.match("t", "s"), how)
+        given = self._batch.columns
+        return joined.select(
+            *[_updated(c, c in given, self._audit).alias(c) for c in self._target.columns], *self._extra()
+        )
+
+    def _inserted(self) -> DataFrame:
+        given = self._batch.columns
+        return self._inserts.select(
+            *[_inserted(f, f.name in given, self._audit).alias(f.name) for f in self._target.schema], *self._extra()
+        )
+
+    def _extra(self) -> list[Column]:
+        return [col(f.name, "s").alias(f.name) for f in self._added]
+
+
+def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], **options: object) -> DataFrame:
+    """Target after an upsert of ``source``; rules and options are those of :class:`Upsert`."""
+    return Upsert(target, source, keys, **options).result()
 
 
-def _unique(target: DataFrame, batch: DataFrame, on: MergeKeys) -> tuple[DataFrame, DataFrame]:
+def _unique(target: DataFrame, batch: DataFrame, on: MergeKeys, small: bool) -> tuple[DataFrame, DataFrame]:
     """Source rows for the update join and source rows to insert, for a source without repeated keys."""
     seen, wanted = on.project(target), on.project(batch)
-    if fits_broadcast(batch) and fits_broadcast(wanted):
+    if small:
         seen = seen.join(wanted, on.labels, "left_semi")
     inserts = batch.alias("s").join(seen.distinct().alias("m"), on.match_projected("s", "m"), "left_anti")
     return batch, inserts
 
 
-def _checked(target: DataFrame, batch: DataFrame, on: MergeKeys) -> tuple[DataFrame, DataFrame]:
+def _checked(target: DataFrame, batch: DataFrame, on: MergeKeys, small: bool) -> tuple[DataFrame, DataFrame]:
     """Source rows for the update join and source rows to insert.
 
     A repeated source key raises where it matches. Elsewhere all its rows are inserted,
@@ -88,7 +122,7 @@ def _checked(target: DataFrame, batch: DataFrame, on: MergeKeys) -> tuple[DataFr
     """
     counts = on.project(batch).groupBy(on.labels).agg(F.count(F.lit(1)).alias("_n"))
     seen = on.project(target)
-    if fits_broadcast(batch) and fits_broadcast(counts):
+    if small and fits_broadcast(counts):
         batch = batch.withColumn("_salt", F.lit(0))
     else:
         seen = seen.distinct()
@@ -115,10 +149,10 @@ def _updated(name: str, given: bool, audit: str) -> Column:
     return F.when(col("_hit", "s"), value).otherwise(kept)
 
 
-def _inserted(target: DataFrame, name: str, given: bool, audit: str) -> Column:
-    if not given or (audit != "none" and name == UPDATED_COLUMN):
-        return F.lit(None).cast(target.schema[name].dataType)
-    return col(name, "s")
+def _inserted(field: T.StructField, given: bool, audit: str) -> Column:
+    if not given or (audit != "none" and field.name == UPDATED_COLUMN):
+        return F.lit(None).cast(field.dataType)
+    return col(field.name, "s")
 
 
 def keys_as(target: DataFrame, source: DataFrame, on: MergeKeys) -> DataFrame:

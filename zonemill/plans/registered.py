@@ -49,7 +49,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", glob="*")
 
 
 def loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,7 +80,7 @@ def control_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def scan_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_parquet(spark, sf_dir, glob="nation.parquet")
+    return read_parquet(spark, f"{sf_dir}/nation.parquet", glob="*.parquet")
 
 
 @query
@@ -427,7 +427,7 @@ def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
 def dataset_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of the given order and line files."""
     sizes = [
-        files.dataset_size(spark, sf_dir, f"{name}.parquet").withColumn("name", F.lit(name))
+        files.dataset_size(spark, f"{sf_dir}/{name}.parquet").withColumn("name", F.lit(name))
         for name in ("orders", "lineitem")
     ]
     return sizes[0].unionByName(sizes[1])
@@ -440,8 +440,11 @@ def _purged_events(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     write_dataset(history, f"{root}/dims/users")
     listed = purge_list(
         spark,
-        [("dims", "users", "users", "updated", "NT", "S"), ("dims", "gone", "gone", "updated", "NT", "N"),
-         ("dims", " / ", "skipped", "updated", "NT", "N")],
+        [
+            ("dims", "users", "users", "updated", "NT", "S"),
+            ("dims", "gone", "gone", "updated", "NT", "N"),
+            ("dims", " / ", "skipped", "updated", "NT", "N"),
+        ],
     )
     audit = purge(spark, listed, lambda container, path: f"{root}/{container}/{path}", f"{root}/result")
     return root, audit

@@ -13,7 +13,7 @@ from zonemill.functions.clean import blank_to_null, with_partition_month
 from zonemill.functions.columns import col, find
 from zonemill.functions.keys import MergeKeys
 from zonemill.layout import MONTH_FORMAT, PARTITION_MONTH, WINDOW_DAYS, split_keys
-from zonemill.operators.merge import keys_as, merge_upsert
+from zonemill.operators.merge import Upsert, keys_as
 from zonemill.operators.window_delete import delete_window, in_window
 from zonemill.session import fits_broadcast
 from zonemill.sources.datasets import read_table
@@ -83,8 +83,13 @@ def load_delivery(
         current = current.filter(_is_one_of(PARTITION_MONTH, months))
     if as_of is not None:
         current = delete_window(current, table.date_column, as_of)
-    merged = merge_upsert(current, batch, table.keys, **table.merge_options)
-    return publish_table(merged, table.path, partition_by, touched=months, record=record)
+    upsert = Upsert(current, batch, table.keys, **table.merge_options)
+    if months is not None and upsert.small_source:
+        # Unmatched rows are read and written in the same task, month by month as they lie.
+        changed, unchanged = upsert.changed(), upsert.unchanged()
+    else:
+        changed, unchanged = upsert.result(), None
+    return publish_table(changed, table.path, partition_by, touched=months, record=record, in_place=unchanged)
 
 
 def touched_months(

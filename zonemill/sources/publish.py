@@ -58,11 +58,13 @@ def publish_table(
     touched: Iterable[object] | None = None,
     record: dict | None = None,
     file_count: int | None = None,
+    in_place: DataFrame | None = None,
 ) -> int:
     """Replace the table by ``df``, or only the ``touched`` partitions of it.
 
     ``df`` may read the table. Of a touched partition without new rows nothing remains.
-    ``record`` is kept beside the data and appears together with it; without one, the
+    ``in_place`` are further rows, read from the table, whose partition does not change;
+    they are written by the tasks that read them. ``record`` is kept beside the data and appears together with it; without one, the
     last record stays. Returns the number of rows written. A table has one writer at a time.
     """
     spark = df.sparkSession
@@ -72,7 +74,10 @@ def publish_table(
     data = f"{staging}/data"
     columns = [partition_by] if partition_by else []
     written = Observation()
-    counted = _laid_out(df, columns, file_count).observe(written, F.count(F.lit(1)).alias("n"))
+    laid_out = _laid_out(df, columns, file_count)
+    if in_place is not None:
+        laid_out = laid_out.unionByName(in_place)
+    counted = laid_out.observe(written, F.count(F.lit(1)).alias("n"))
     counted.write.partitionBy(*columns).parquet(data)
     rows = written.get["n"]
     found = spark.read.schema(df.schema).parquet(data).count()
