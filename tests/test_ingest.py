@@ -124,10 +124,11 @@ def test_a_failed_run_goes_on_where_it_stopped(spark, lake_, monkeypatch):
 
 def test_a_repeated_batch_changes_nothing(spark, lake_):
     """Drop the commit of the last batch, as if the run had died just before it."""
-    audit = spark.createDataFrame([(1, "2020-01-01", "i", "u")], "k int, d string, InsertedDate string, UpdatedDate string")
-    audit.withColumn("d", F.col("d").cast("date")).write.parquet(f"{lake_.raw}/001_t.parquet")
+    schema = "k int, d string, InsertedDate string, UpdatedDate string"
+    dated = spark.createDataFrame([(1, "2020-01-01", "i", "u")], schema).withColumn("d", F.col("d").cast("date"))
+    dated.write.parquet(f"{lake_.raw}/001_t.parquet")
     lake_.ingest()
-    audit.withColumn("d", F.col("d").cast("date")).withColumn("k", F.lit(2)).write.parquet(f"{lake_.raw}/002_t.parquet")
+    dated.withColumn("k", F.lit(2)).write.parquet(f"{lake_.raw}/002_t.parquet")
     lake_.ingest()
     before = spark.read.parquet(lake_.path).orderBy("k").collect()
     assert before[1]["UpdatedDate"] is None and before[1]["InsertedDate"] == "i"

@@ -188,3 +188,15 @@ def test_unmatched_rows_are_not_shuffled_for_a_small_delivery(spark, lake, tmp_p
     held = spark.read.parquet(lake)
     assert held.count() == 3000 and held.filter("v = 'new'").count() == 10
     assert held.filter("PARTITION_DT <> date_format(d, 'yyyy-MM')").count() == 0
+
+
+def test_an_emptied_table_is_loaded_anew(spark, lake):
+    table = TrustedTable(lake, ["k"], "d", partitioned=True)
+    none = delivery(spark, (1, "2020-01-01", "a")).filter("k > 1")
+    assert load_delivery(spark, none, table, record={"n": 1}) == 0
+    assert applied(spark, lake) == {"n": 1} and not table_exists(spark, lake)
+    load_delivery(spark, delivery(spark, (1, "2020-01-01", "a")), table, record={"n": 2})
+    assert load_delivery(spark, none, table, as_of="2020-01-01", record={"n": 3}) == 0
+    assert not table_exists(spark, lake) and applied(spark, lake) == {"n": 3}
+    assert load_delivery(spark, delivery(spark, (2, "2020-01-01", "b")), table) == 1
+    assert values(spark, lake)[0][0] == 2 and applied(spark, lake) == {"n": 3}

@@ -46,7 +46,8 @@ def test_audit_labels(spark):
          ("c", "e", "t", 5.0, 5.0, None)],
         MEASURE_SCHEMA,
     )
-    rows = {r["path"]: (r["size_difference"], r["status"], r["msg_error"]) for r in audit_rows(measured, "now").collect()}
+    audit = audit_rows(measured, "now").collect()
+    rows = {r["path"]: (r["size_difference"], r["status"], r["msg_error"]) for r in audit}
     assert rows == {
         "a": (6.0, "OK", ""), "b": (-6.0, "NOK", PURGE_GREW_MESSAGE), "d": (0.0, "NOK", "boom"), "e": (0.0, "OK", "")
     }

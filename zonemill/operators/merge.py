@@ -16,6 +16,7 @@ from zonemill.session import fits_broadcast
 # The heaviest keys that are handled apart. A key beyond them holds at most one
 # HEAVY_KEYS-th of the rows, so it cannot dominate a task.
 HEAVY_KEYS = 1000
+# Copies of a heavy key where the other side needs one per salt.
 SALTS = 1024
 AUDIT_MODES = ("null", "preserve", "none")
 
@@ -197,7 +198,7 @@ def _salted_repeats(batch: DataFrame, counts: DataFrame, on: MergeKeys) -> DataF
     have salt 0.
     """
     heavy = counts.filter("_n > 1").orderBy(F.desc("_n"), *on.labels).limit(HEAVY_KEYS)
-    salt = 1 + F.pmod(F.spark_partition_id(), F.lit(SALTS))
+    salt = 1 + F.spark_partition_id()
     return (
         batch.alias("s")
         .join(F.broadcast(heavy).alias("h"), on.match_projected("s", "h"), "left")
@@ -220,6 +221,7 @@ def missing_from_source(target: DataFrame, source: DataFrame, keys: Sequence[str
         on.project(target)
         .groupBy(on.labels)
         .agg(F.count(F.lit(1)).alias("_n"))
+        .filter("_n > 1")
         .orderBy(F.desc("_n"), *on.labels)
         .limit(HEAVY_KEYS)
     )

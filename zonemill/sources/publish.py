@@ -32,9 +32,12 @@ def staging_path(target: str) -> str:
 
 
 def table_exists(spark: SparkSession, target: str) -> bool:
-    """Whether the table is there, after finishing a publish that was cut off."""
+    """Whether the table has data files, after finishing a publish that was cut off.
+
+    A partitioned table that lost its last row has none, and so no schema to read.
+    """
     recover(spark, target)
-    return files.exists(spark, target)
+    return any(not name.startswith(("_", ".")) for _, name, *_ in files.list_entries(spark, target))
 
 
 def recover(spark: SparkSession, target: str) -> None:
@@ -48,6 +51,7 @@ def recover(spark: SparkSession, target: str) -> None:
 
 def applied(spark: SparkSession, target: str) -> dict:
     """What the last publish recorded beside the data."""
+    recover(spark, target)
     return json.loads(files.read_text(spark, f"{target}/{APPLIED_NAME}") or "{}")
 
 
@@ -64,12 +68,12 @@ def publish_table(
 
     ``df`` may read the table. Of a touched partition without new rows nothing remains.
     ``in_place`` are further rows, read from the table, whose partition does not change;
-    they are written by the tasks that read them. ``record`` is kept beside the data and appears together with it; without one, the
-    last record stays. Returns the number of rows written. A table has one writer at a time.
+    they are written by the tasks that read them. ``record`` is kept beside the data and
+    appears together with it; fields it leaves out stay. Returns the number of rows
+    written. A table has one writer at a time.
     """
     spark = df.sparkSession
-    recover(spark, target)
-    record = record or applied(spark, target)
+    record = applied(spark, target) | (record or {})
     staging = staging_path(target)
     data = f"{staging}/data"
     columns = [partition_by] if partition_by else []

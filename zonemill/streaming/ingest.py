@@ -27,7 +27,7 @@ from zonemill.layout import INSERTED_COLUMN, UPDATED_COLUMN
 from zonemill.operators.merge import latest_per_key
 from zonemill.plans.trusted import TrustedTable, load_delivery
 from zonemill.sources import files
-from zonemill.sources.publish import applied, table_exists
+from zonemill.sources.publish import applied
 
 # The columns of Spark's binary file source; contents are never selected.
 FEED_SCHEMA = "path string, modificationTime timestamp, length long, content binary"
@@ -133,7 +133,7 @@ def ingest_stream(
         # The stream's own session plans without adaptive execution; rows are read in ours.
         query = feed.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
         waiting = sorted(row[0] for row in feed.distinct().collect())
-        last = applied(spark, table.path) if table_exists(spark, table.path) else {}
+        last = applied(spark, table.path)
         if last.get("query") == query and last["batch"] > batch_id:
             return
         repeated = last.get("query") == query and last["batch"] == batch_id
