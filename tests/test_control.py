@@ -9,11 +9,11 @@ CONTROL = "PartitionKey string, RowKey string, Zone string, JobStatus string, Fl
 def control(spark):
     return spark.createDataFrame(
         [
-            ("p", "1", "raw", "1", "0", "kcor", 1),
-            ("p", "2", "raw", "1", "1", "kcor", 2),
-            ("p", "3", "trusted", "1", "0", "tor", 3),
-            ("p", "4", "refined", "2", "0", "kcor", 4),
-            ("p", "5", "refined", "1", "0", "kcor", 5),
+            ("p", "1", "raw", "1", "0", "alpha", 1),
+            ("p", "2", "raw", "1", "1", "alpha", 2),
+            ("p", "3", "trusted", "1", "0", "beta", 3),
+            ("p", "4", "refined", "2", "0", "alpha", 4),
+            ("p", "5", "refined", "1", "0", "alpha", 5),
         ],
         CONTROL,
     )
@@ -25,8 +25,8 @@ def keys(df):
 
 def test_filters_of_each_load(control):
     assert keys(work_list(control, "raw")) == ["1"]
-    assert keys(work_list(control, "trusted", System="tor")) == ["3"]
-    assert keys(work_list(control, "refined", System="kcor")) == ["4"]
+    assert keys(work_list(control, "trusted", System="beta")) == ["3"]
+    assert keys(work_list(control, "refined", System="alpha")) == ["4"]
     assert keys(work_list(control, n="5")) == ["5"]
     assert len(keys(work_list(control))) == 5
     with pytest.raises(ValueError, match="no column"):
@@ -35,7 +35,7 @@ def test_filters_of_each_load(control):
 
 def test_connection_of_a_work_row(spark, control):
     connections = spark.createDataFrame(
-        [("kcor", "h2", "pw", 2), ("kcor", "h1", "pw", 1)], "System string, Host string, PASSWORD string, seq int"
+        [("alpha", "h2", "pw", 2), ("alpha", "h1", "pw", 1)], "System string, Host string, PASSWORD string, seq int"
     )
     work = work_list(control, "raw")
     with pytest.raises(Exception, match="several connections"):

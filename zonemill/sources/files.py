@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@lru_cache(maxsize=1)
+def _path_class(jvm: Any) -> Any:
+    # Every part of a dotted Java name is a call to the JVM.
+    return jvm.org.apache.hadoop.fs.Path
+
+
 def _system(spark: SparkSession, path: str) -> tuple[Any, Any]:
-    handle = spark._jvm.org.apache.hadoop.fs.Path(path)
+    handle = _path_class(spark._jvm)(path)
     return handle.getFileSystem(spark._jsc.hadoopConfiguration()), handle
 
 
@@ -33,7 +40,7 @@ def delete(spark: SparkSession, path: str) -> None:
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file or directory; the target must not exist."""
     system, handle = _system(spark, source)
-    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    goal = _path_class(spark._jvm)(target)
     if system.exists(goal):
         raise FileExistsError(target)
     system.mkdirs(goal.getParent())
@@ -56,7 +63,7 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small text file that appears complete or not at all."""
     system, handle = _system(spark, path)
-    draft = spark._jvm.org.apache.hadoop.fs.Path(path + ".draft")
+    draft = _path_class(spark._jvm)(path + ".draft")
     stream = system.create(draft, True)
     try:
         stream.write(bytearray(text.encode("utf-8")))
