@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from zonemill.layout import FAILED_ZONE, RAW_ZONE, TRUSTED_ZONE
 from zonemill.plans import loads
 from zonemill.plans.loads import extract_to_raw, new_stamp, raw_to_trusted, zone_path
-from zonemill.plans.trusted import TrustedTable
+from zonemill.plans.deliveries import TrustedTable
 from zonemill.sources import files
 from zonemill.sources.publish import applied
 from zonemill.streaming import ingest

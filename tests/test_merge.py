@@ -143,7 +143,8 @@ def _final_plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_a_heavy_target_key_is_split_at_run_time(spark, tmp_path):
+@pytest.mark.parametrize("options", [{}, {"on_duplicate": "latest", "order_by": ["v"]}], ids=["error", "latest"])
+def test_a_heavy_target_key_is_split_at_run_time(spark, tmp_path, options):
     path = str(tmp_path / "target")
     wide = F.concat(*[F.md5(F.concat(F.col("id").cast("string"), F.lit(str(i)))) for i in range(4)])
     spark.range(0, 60000, 1, 8).select(
@@ -165,7 +166,7 @@ def test_a_heavy_target_key_is_split_at_run_time(spark, tmp_path):
     try:
         for k, v in settings_.items():
             spark.conf.set(k, v)
-        merged = merge_upsert(target, source, ["k"])
+        merged = merge_upsert(target, source, ["k"], **options)
         plan = _final_plan(merged)
         assert "SortMergeJoin(skew=true)" in plan
         assert "Cartesian" not in plan and "NestedLoop" not in plan

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from zonemill.plans.trusted import TrustedTable, load_delivery, repartition_table, touched_months
+from zonemill.plans.deliveries import TrustedTable, load_delivery, repartition_table, touched_months
 from zonemill.sources import files, publish
 from zonemill.sources.publish import applied, publish_table, staging_path, table_exists
 
@@ -181,7 +181,7 @@ def test_unmatched_rows_are_not_shuffled_for_a_small_delivery(spark, lake, tmp_p
         plans.append(in_place._jdf.queryExecution().executedPlan().toString())
         return publish_(df, *args, in_place=in_place, **kwargs)
 
-    monkeypatch.setattr("zonemill.plans.trusted.publish_table", kept)
+    monkeypatch.setattr("zonemill.plans.deliveries.publish_table", kept)
     load_delivery(spark, spark.read.parquet(f"{tmp_path}/second"), table)
     (plan,) = plans
     assert "LeftAnti" in plan and "Exchange hashpartitioning" not in plan

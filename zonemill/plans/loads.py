@@ -13,7 +13,7 @@ from zonemill.functions.clean import conform
 from zonemill.functions.times import fixed, now_text, run_stamp, run_time_text
 from zonemill.layout import ARCHIVE_ZONE, FAILED_ZONE, RAW_ZONE, TRUSTED_ZONE, table_path
 from zonemill.operators.control import STATUS_KEYS, record_status, with_connection, work_list
-from zonemill.plans.trusted import TrustedTable, window_date
+from zonemill.plans.deliveries import TrustedTable, window_date
 from zonemill.sources import files
 from zonemill.sources.datasets import read_parquet, write_dataset
 from zonemill.sources.jdbc import write_jdbc_table

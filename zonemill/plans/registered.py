@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from zonemill.functions.clean import blank_to_null, conform, with_partition_month
@@ -14,9 +14,9 @@ from zonemill.operators.compact import compact
 from zonemill.operators.control import record_status, with_connection, work_list
 from zonemill.operators.merge import latest_per_key, merge_upsert, missing_from_source
 from zonemill.operators.window_delete import delete_window
-from zonemill.plans.loads import extract_to_raw, zone_path
+from zonemill.plans.loads import extract_to_raw, run_work_list, zone_path
 from zonemill.plans.purge import purge, purge_list
-from zonemill.plans.trusted import TrustedTable, load_delivery, repartition_table
+from zonemill.plans.deliveries import TrustedTable, load_delivery, repartition_table
 from zonemill.session import work_dir
 from zonemill.sources import files
 from zonemill.sources.datasets import (
@@ -316,6 +316,34 @@ def work_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_status(after, work_list(control, Zone="trusted"), False, "2001-08-01")
 
 
+@query
+def work_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control table after a run that lands the customers of each listed nation; Europe's source is down."""
+    root = work_dir(spark, "lake")
+    register_views(spark, {"run_source": f"{sf_dir}/customer.parquet"})
+    down = F.col("highway") == "EUROPE"
+    control = control_rows(spark, sf_dir).withColumns(
+        {
+            "System": F.lit("erp"),
+            "SchemaName": F.lit("sales"),
+            "Query": F.when(down, "SELECT * FROM no_such_source").otherwise("SELECT * FROM run_source"),
+            "Filter": F.concat(F.lit(" WHERE c_nationkey = "), F.col("RowKey")),
+        }
+    )
+    write_dataset(control, f"{root}/control")
+
+    def land(row: Row) -> None:
+        extract_to_raw(spark, row, root, spark.sql, "20220901172013123")
+
+    run_work_list(spark, f"{root}/control", RAW_ZONE, land, run_date="2001-08-01", log_path=f"{root}/log")
+    landed = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{RAW_ZONE}")
+    customers = landed.groupBy(F.col("c_nationkey").cast("string").alias("RowKey")).agg(
+        F.count(F.lit(1)).alias("landed")
+    )
+    after = read_parquet(spark, f"{root}/control").select("RowKey", "Zone", "UpdatedDate", "JobExecution")
+    return after.join(customers, "RowKey", "left")
+
+
 @query
 def epoch_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("ms", F.unix_millis(F.col("ts").cast("timestamp")))

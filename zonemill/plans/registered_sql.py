@@ -141,6 +141,14 @@ ORACLE_SQL: dict[str, str] = {
                           CASE WHEN Zone = 'raw' THEN 1 ELSE 0 END AS JobExecution)
         FROM ({CONTROL})
     """,
+    "work_run": f"""
+        WITH run AS (SELECT *, Zone = 'raw' AND FlagFilter = '0' AND JobStatus = '1' AND highway <> 'EUROPE' AS done
+                     FROM ({CONTROL})),
+             held AS (SELECT CAST(c_nationkey AS VARCHAR) AS RowKey, count(*) AS landed FROM customer GROUP BY 1)
+        SELECT run.RowKey, Zone, CASE WHEN done THEN '2001-08-01' ELSE UpdatedDate END AS UpdatedDate,
+               CASE WHEN done THEN 1 ELSE 0 END AS JobExecution, CASE WHEN done THEN landed END AS landed
+        FROM run LEFT JOIN held USING (RowKey)
+    """,
     "epoch_dates": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
     "run_stamps": """
         SELECT event_id, strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S.%g') AS run_time,

@@ -25,7 +25,7 @@ from zonemill.functions.columns import find
 from zonemill.functions.keys import MergeKeys
 from zonemill.layout import INSERTED_COLUMN, UPDATED_COLUMN
 from zonemill.operators.merge import latest_per_key
-from zonemill.plans.trusted import TrustedTable, load_delivery
+from zonemill.plans.deliveries import TrustedTable, load_delivery
 from zonemill.sources import files
 from zonemill.sources.publish import applied
 
