@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from zonemill.operators.merge import Upsert, latest_per_key, merge_upsert, missing_from_source
 from zonemill.operators.window_delete import delete_window, in_window
+from zonemill.session import size_in_bytes
 
 SCHEMA = "k_int int, k_str string, k_bool boolean, k_date date, v double"
 KEYS = ["K_INT", "K_STR", "K_BOOL", "K_DATE"]
@@ -186,6 +187,29 @@ def test_target_is_not_shuffled_for_a_small_source(spark, tmp_path):
     assert "ReadSchema: struct<k:bigint>" in plan
 
 
+@pytest.mark.parametrize("options", [{}, {"on_duplicate": "latest", "order_by": ["text"]}], ids=["error", "latest"])
+def test_only_matched_rows_are_shuffled_for_small_keys(spark, tmp_path, options):
+    """Keys below the broadcast limit, whole rows above it."""
+    rows_ = "id AS k", "id AS v", "repeat(CAST(id AS STRING), 100) AS text"
+    spark.range(0, 3000, 1, 4).selectExpr(*rows_).write.parquet(f"{tmp_path}/t")
+    spark.range(2000, 4000, 1, 4).selectExpr("id AS k", "-id AS v", rows_[2]).write.parquet(f"{tmp_path}/s")
+    target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(size_in_bytes(source) * 6 // 10))
+    try:
+        upsert = Upsert(target, source, ["k"], **options)
+        assert upsert.small_keys and not upsert._small_source
+        kept = upsert.unchanged()._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in kept and "SortMergeJoin" not in kept
+        changed = upsert.changed()._jdf.queryExecution().executedPlan().toString()
+        assert "LeftSemi, BuildRight" in changed
+        both = upsert.changed().union(upsert.unchanged())
+        assert sorted((r.k, r.v) for r in both.collect()) == [(i, i if i < 2000 else -i) for i in range(4000)]
+        assert sorted((r.k, r.v) for r in upsert.result().collect()) == sorted((r.k, r.v) for r in both.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_latest_keeps_one_row_per_key_before_the_shuffle(spark):
     source = spark.range(10).selectExpr("id % 2 AS k", "id AS v")
     plan = latest_per_key(source, ["k"], ["v"])._jdf.queryExecution().executedPlan().toString()

@@ -64,27 +64,37 @@ class Upsert:
             source = latest_per_key(keys_as(target, source, on), on.names, order_by)
         self._batch = batch = _aligned(target, source, on, columns, evolve)
         self._added = [f for f in batch.schema if f.name not in target.columns]
-        self.small_source = fits_broadcast(batch) and fits_broadcast(on.project(batch))
-        split = _unique if on_duplicate == "latest" else _checked
-        self._changes, self._inserts = split(target, batch, on, self.small_source)
+        # Whether Spark will broadcast the source keys, and whether all of the source.
+        self.small_keys = fits_broadcast(on.project(batch))
+        self._small_source = self.small_keys and fits_broadcast(batch)
+        if on_duplicate == "latest":
+            self._changes, self._inserts = _unique(target, batch, on, self.small_keys)
+        else:
+            self._changes, self._inserts = _checked(target, batch, on, self.small_keys, self._small_source)
 
     def result(self) -> DataFrame:
         """All rows, from one pass over the full target rows."""
         return self._updates("left").union(self._inserted())
 
     def changed(self) -> DataFrame:
-        """Updated and inserted rows."""
+        """Updated and inserted rows; with small keys only matched target rows are shuffled."""
         return self._updates("inner").union(self._inserted())
 
     def unchanged(self) -> DataFrame:
-        """Target rows without a match, in the files they came from if the source is small."""
-        given = self._on.project(self._batch)
-        kept = self._target.alias("t").join(given.alias("s"), self._on.match_projected("t", "s"), "left_anti")
+        """Target rows without a match; with small keys they stay in the tasks that read them."""
+        kept = self._by_keys("left_anti")
         return kept.select("t.*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in self._added])
 
+    def _by_keys(self, how: str) -> DataFrame:
+        given = self._on.project(self._batch)
+        return self._target.alias("t").join(given.alias("k"), self._on.match_projected("t", "k"), how)
+
     def _updates(self, how: str) -> DataFrame:
+        held = self._target.alias("t")
+        if how == "inner" and self.small_keys and not self._small_source:
+            held = self._by_keys("left_semi").select("t.*").alias("t")
         hit = self._changes.withColumn("_hit", F.lit(True))
-        joined = self._target.alias("t").join(hit.alias("s"), self._on.match("t", "s"), how)
+        joined = held.join(hit.alias("s"), self._on.match("t", "s"), how)
         given = self._batch.columns
         return joined.select(
             *[_updated(c, c in given, self._audit).alias(c) for c in self._target.columns], *self._extra()
@@ -105,16 +115,18 @@ def merge_upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], **op
     return Upsert(target, source, keys, **options).result()
 
 
-def _unique(target: DataFrame, batch: DataFrame, on: MergeKeys, small: bool) -> tuple[DataFrame, DataFrame]:
+def _unique(target: DataFrame, batch: DataFrame, on: MergeKeys, small_keys: bool) -> tuple[DataFrame, DataFrame]:
     """Source rows for the update join and source rows to insert, for a source without repeated keys."""
     seen, wanted = on.project(target), on.project(batch)
-    if small:
+    if small_keys:
         seen = seen.join(wanted, on.labels, "left_semi")
     inserts = batch.alias("s").join(seen.distinct().alias("m"), on.match_projected("s", "m"), "left_anti")
     return batch, inserts
 
 
-def _checked(target: DataFrame, batch: DataFrame, on: MergeKeys, small: bool) -> tuple[DataFrame, DataFrame]:
+def _checked(
+    target: DataFrame, batch: DataFrame, on: MergeKeys, small_keys: bool, small_source: bool
+) -> tuple[DataFrame, DataFrame]:
     """Source rows for the update join and source rows to insert.
 
     A repeated source key raises where it matches. Elsewhere all its rows are inserted,
@@ -123,11 +135,9 @@ def _checked(target: DataFrame, batch: DataFrame, on: MergeKeys, small: bool) ->
     """
     counts = on.project(batch).groupBy(on.labels).agg(F.count(F.lit(1)).alias("_n"))
     seen = on.project(target)
-    if small and fits_broadcast(counts):
-        batch = batch.withColumn("_salt", F.lit(0))
-    else:
+    if not (small_keys and fits_broadcast(counts)):
         seen = seen.distinct()
-        batch = _salted_repeats(batch, counts, on)
+    batch = batch.withColumn("_salt", F.lit(0)) if small_source else _salted_repeats(batch, counts, on)
     # The aggregate keeps the check off unmatched keys: Spark moves no test through it.
     matched = seen.join(counts, on.labels).groupBy(on.labels).agg(F.max("_n").alias("_n"))
     several = F.raise_error(F.lit("several source rows match one target row"))

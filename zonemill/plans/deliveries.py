@@ -84,7 +84,7 @@ def load_delivery(
     if as_of is not None:
         current = delete_window(current, table.date_column, as_of)
     upsert = Upsert(current, batch, table.keys, **table.merge_options)
-    if months is not None and upsert.small_source:
+    if months is not None and upsert.small_keys:
         # Unmatched rows are read and written in the same task, month by month as they lie.
         changed, unchanged = upsert.changed(), upsert.unchanged()
     else:
