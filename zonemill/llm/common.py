@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import StructType
 
 from zonemill.session import work_dir
 
@@ -39,38 +41,55 @@ def remainder(id_col: str, divisor: int) -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(divisor))
 
 
-def sampled_rows(df: DataFrame, id_col: str, by: str, rows: int, columns: list[str]) -> DataFrame:
-    """At most ``rows`` rows of each value of ``by``, chosen by a hash of the id.
+def sampled_rows(df: DataFrame, id_col: str, by: str, rows: int) -> DataFrame:
+    """At most ``rows`` ids of each value of ``by``, chosen by a hash of the id.
 
-    A top-k that every task keeps to ``rows`` rows before the shuffle; the bound is the
-    caller's documented training parameter.
+    Every task keeps ``rows`` of a value before the shuffle. The bound is the caller's
+    documented training parameter.
     """
-    kinds = [row[0] for row in df.select(by).distinct().orderBy(by).limit(64).collect()]
     draw = F.xxhash64(F.lit("training"), F.col(id_col).cast("string"))
-    parts = [
-        df.filter(F.col(by).eqNullSafe(F.lit(kind))).orderBy(draw, id_col).limit(rows).select(*columns)
-        for kind in kinds
-    ]
-    if not parts:
-        return df.select(*columns).limit(0)
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def batches_of(column_names: Iterable[str], work: Callable[..., dict[str, pa.Array]], schema: pa.Schema):
-    """A ``mapInArrow`` function: ``work`` gets Python lists of the named columns."""
-    names = list(column_names)
+    order = Window.partitionBy(by).orderBy(draw, id_col)
+    ranked = df.select(id_col, by).withColumn("_rank", F.row_number().over(order))
+    return ranked.filter(F.col("_rank") <= rows).drop("_rank")
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, rows: int) -> list[tuple]:
+    """(text, label) of at most ``rows`` labelled texts of each label, in order of the ids.
+
+    Only ids are ranked; the texts of the chosen ids are then read in one scan.
+    """
+    chosen = sampled_rows(labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull()).distinct(), id_col, label, rows)
+    chosen = chosen.select(F.col(id_col).alias("_id"), F.col(label).alias("_label"))
+    texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    # At most ``rows`` ids a label, so the hint is safe at any size; a repeated id counts once.
+    found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
+    return [(r["_text"], r["_label"]) for r in sorted(found.collect(), key=lambda r: (r["_id"], str(r["_label"])))]
+
+
+def add_columns(
+    df: DataFrame, inputs: list[str], added: str, make: Callable[[], Callable], keep: list[str] | None = None
+) -> DataFrame:
+    """Columns computed in Python from Arrow batches; ``keep`` names the columns to hand on.
+
+    ``make`` is called once a task and gives a function from Python lists of the input
+    columns to lists of the added ones. Columns with the name of an added one are replaced.
+    """
+    new = StructType.fromDDL(added)
+    kept = [c for c in (df.columns if keep is None else keep) if c not in new.names]
+    source = df.select(*kept, *[F.col(c).alias(f"_in{i}") for i, c in enumerate(inputs)])
+    schema = StructType([*source.schema.fields[: len(kept)], *new.fields])
+    kinds = [to_arrow_type(f.dataType) for f in new.fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                out = work(*(part.column(part.schema.get_field_index(n)).to_pylist() for n in names))
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in schema], schema=schema)
+                values = work(*(c.to_pylist() for c in part.columns[len(kept) :]))
+                fresh = [pa.array(v, t) for v, t in zip(values, kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], *fresh], names=[*kept, *new.names])
 
-    return run
+    return source.mapInArrow(run, schema)
 
 
 class WordCache(dict):
@@ -88,7 +107,8 @@ class WordCache(dict):
         value = self.old.get(word)
         if value is None:
             value = self.make(word)
-        self[word] = value
+        if len(word) <= 64:
+            self[word] = value
         return value
 
     def trim(self) -> None:

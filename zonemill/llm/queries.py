@@ -7,6 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import public_tokenizers
+
+from zonemill.llm import language, quality, toxicity
 from zonemill.llm.chat import (
     canonical_turns,
     conversations_to_records,
@@ -14,8 +17,9 @@ from zonemill.llm.chat import (
     loss_texts,
     read_turns,
 )
-from zonemill.llm.common import prepare, table
+from zonemill.llm.common import prepare, remainder, table
 from zonemill.llm.neighbours import nearest
+from zonemill.llm.packing import pack_texts
 from zonemill.llm.vector_dups import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +35,20 @@ def query(function: Query) -> Query:
     return run
 
 
+# Part of the labelled rows that is held out, in the language query and in the two others.
+LANGUAGE_FOLDS, LANGUAGE_HELD_OUT = 3, 1
+LABEL_FOLDS, LABEL_HELD_OUT = 5, 0
+
+
+@query
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = remainder("doc_id", LANGUAGE_FOLDS) == LANGUAGE_HELD_OUT
+    model = language.fit(docs.filter(~held_out))
+    found = language.identify(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op2_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
@@ -71,3 +89,29 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.col("loss").cast("binary"), 256).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
     )
+
+
+def learnable(labels: DataFrame) -> DataFrame:
+    return labels.filter(remainder("doc_id", LABEL_FOLDS) != LABEL_HELD_OUT)
+
+
+@query
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.drop("loss")
+
+
+@query
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, learnable(table(spark, sf_dir, "labels")))
+    held_out = (remainder("doc_id", LABEL_FOLDS) == LABEL_HELD_OUT).alias("held_out")
+    return quality.score_texts(docs, model, keep=["doc_id"]).select("doc_id", held_out, "score", "predicted")
+
+
+@query
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, learnable(table(spark, sf_dir, "labels")))
+    held_out = (remainder("doc_id", LABEL_FOLDS) == LABEL_HELD_OUT).alias("held_out")
+    return toxicity.score_texts(docs, model, keep=["doc_id"]).select("doc_id", held_out, "score", "predicted")
