@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from zonemill.llm import language, quality, toxicity
+from zonemill.llm import language, quality, text_dups, toxicity
 from zonemill.llm.chat import (
     canonical_turns,
     conversations_to_records,
@@ -101,6 +101,11 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.drop("loss")
 
 
+@query
+def op8_text_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_dups.near_duplicates(table(spark, sf_dir, "documents"), 75, 5)
+
+
 @query
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
