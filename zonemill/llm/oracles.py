@@ -1,6 +1,55 @@
 """The queries' results in DuckDB SQL, where SQL can express them."""
 
+
+
+def mixing_sql(powers: dict[str, float], keep_share: float, rounds: int) -> str:
+    """Raking as a chain of window queries."""
+    parts = [
+        """docs AS (
+  SELECT doc_id, source, lang, CASE WHEN contains(text, '|') THEN 'table' WHEN contains(text, '!!') THEN 'shout'
+    WHEN regexp_matches(text, '[0-9]') THEN 'numbers' ELSE 'prose' END AS topic,
+    coalesce(CAST(ceil(length(text) / 4.0) AS BIGINT), 0) AS tokens
+  FROM documents)""",
+        "cells AS (SELECT source, lang, topic, sum(tokens)::BIGINT AS tokens FROM docs GROUP BY ALL)",
+    ]
+    for column, power in powers.items():
+        parts.append(
+            f"goal_{column} AS (SELECT {column}, target / sum(target) OVER () AS target FROM (SELECT {column}, "
+            f"pow(sum(tokens)::DOUBLE, {power}) AS target FROM cells GROUP BY {column}))"
+        )
+    parts.append("rake_0 AS (SELECT *, tokens::DOUBLE AS share FROM cells)")
+    step = 0
+    for _ in range(rounds):
+        for column in powers:
+            parts.append(
+                f"rake_{step + 1} AS MATERIALIZED (SELECT r.* REPLACE (coalesce(r.share * g.target / nullif(sum(r.share) OVER "
+                f"(PARTITION BY r.{column}), 0), 0) AS share) FROM rake_{step} r JOIN goal_{column} g "
+                f"ON r.{column} IS NOT DISTINCT FROM g.{column})"
+            )
+            step += 1
+    parts.append(
+        f"""rated AS (SELECT *, share / sum(share) OVER () * sum(tokens) OVER () AS wanted, sum(tokens) OVER () AS everything
+  FROM rake_{step}),
+lined AS (SELECT *, CASE WHEN tokens > 0 THEN wanted / tokens ELSE 0 END AS rate FROM rated),
+summed AS (SELECT *, coalesce(sum(tokens) OVER before, 0) AS whole, everything - coalesce(sum(wanted) OVER before, 0) AS rest
+  FROM lined WINDOW before AS (ORDER BY rate DESC, source NULLS FIRST, lang NULLS FIRST, topic NULLS FIRST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+scaled AS (SELECT *, max(CASE WHEN rest > 1e-9 * everything THEN (everything * {keep_share} - whole) / rest END)
+  OVER () AS scale FROM summed),
+chosen AS (SELECT source, lang, topic, CASE WHEN tokens = 0 THEN 1.0 ELSE least(1.0, scale * rate) END AS probability
+  FROM scaled)"""
+    )
+    return (
+        "WITH " + ",\n".join(parts) + """
+SELECT d.doc_id, d.source, d.lang, d.topic, d.tokens, round(c.probability, 6) AS probability,
+  CAST('0x' || substr(md5('mix:' || coalesce(d.doc_id::VARCHAR, '')), 1, 8) AS BIGINT) / 4294967296.0 < c.probability AS kept
+FROM docs d JOIN chosen c ON d.source IS NOT DISTINCT FROM c.source AND d.lang IS NOT DISTINCT FROM c.lang
+  AND d.topic IS NOT DISTINCT FROM c.topic"""
+    )
+
+
 ORACLE_SQL = {
+    "op6_mixing": mixing_sql({"source": 0.7, "lang": 0.8, "topic": 1.0}, 0.9, 10),
     "op4_nearest": r"""
 WITH good AS (
   SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings

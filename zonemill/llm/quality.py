@@ -125,7 +125,12 @@ def fit(
 
 
 def score_texts(
-    docs: DataFrame, model: QualityModel | None, text_col: str = "text", cut: float = 0.3, keep: list[str] | None = None
+    docs: DataFrame,
+    model: QualityModel | None,
+    text_col: str = "text",
+    cut: float = 0.3,
+    keep: list[str] | None = None,
+    names: tuple[str, str] = ("score", "predicted"),
 ) -> DataFrame:
     """Add ``score`` (0 to 1, higher: better) and ``predicted`` (1 from ``cut`` on)."""
 
@@ -138,4 +143,4 @@ def score_texts(
 
         return work
 
-    return add_columns(docs, [text_col], "score double, predicted int", make, keep)
+    return add_columns(docs, [text_col], f"{names[0]} double, {names[1]} int", make, keep)

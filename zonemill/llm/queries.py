@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from zonemill.llm import language, quality, text_dups, toxicity
+from zonemill.llm import html_text, language, quality, text_dups, toxicity
 from zonemill.llm.chat import (
     canonical_turns,
     conversations_to_records,
@@ -18,6 +18,7 @@ from zonemill.llm.chat import (
     read_turns,
 )
 from zonemill.llm.common import prepare, remainder, table
+from zonemill.llm.mixing import mix
 from zonemill.llm.neighbours import nearest
 from zonemill.llm.packing import pack_texts
 from zonemill.llm.vector_dups import near_duplicates
@@ -54,6 +55,11 @@ def op2_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
 
 
+@query
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"), html_text.fit(), keep=["page_id", "url"])
+
+
 @query
 def op4_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
@@ -91,6 +97,29 @@ def op5_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Sources and languages are levelled somewhat, kinds of text keep their shares.
+MIX_POWERS = {"source": 0.7, "lang": 0.8, "topic": 1.0}
+
+
+def topic(text: Column) -> Column:
+    """The kind of a text, by the marks it holds."""
+    return (
+        F.when(F.contains(text, F.lit("|")), "table")
+        .when(F.contains(text, F.lit("!!")), "shout")
+        .when(text.rlike("[0-9]"), "numbers")
+        .otherwise("prose")
+    )
+
+
+@query
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    docs = docs.select("doc_id", "source", "lang", topic(F.col("text")).alias("topic"), "text")
+    return mix(docs, MIX_POWERS).select(
+        "doc_id", "source", "lang", "topic", "tokens", F.round("probability", 6).alias("probability"), "kept"
+    )
+
+
 def learnable(labels: DataFrame) -> DataFrame:
     return labels.filter(remainder("doc_id", LABEL_FOLDS) != LABEL_HELD_OUT)
 

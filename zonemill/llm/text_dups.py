@@ -71,9 +71,9 @@ class Shingles:
         if not len(hashes):
             return hashes
         n = min(self.size, len(hashes))
-        total = np.full(len(hashes) - n + 1, np.uint64(n) * MIX[6], dtype=np.uint64)
+        total = np.full(len(hashes) - n + 1, n, dtype=np.uint64) * MIX[6:7]
         for k in range(n):
-            total += hashes[k : len(hashes) - n + 1 + k] * MIX[k % 5] + MIX[7] * np.uint64(k // 5)
+            total += hashes[k : len(hashes) - n + 1 + k] * MIX[k % 5] + MIX[7:8] * np.uint64(k // 5)
         return np.unique(mixed(total))
 
 

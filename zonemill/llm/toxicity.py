@@ -311,7 +311,12 @@ def fit(
 
 
 def score_texts(
-    docs: DataFrame, model: ToxicModel | None, text_col: str = "text", cut: float = 0.5, keep: list[str] | None = None
+    docs: DataFrame,
+    model: ToxicModel | None,
+    text_col: str = "text",
+    cut: float = 0.5,
+    keep: list[str] | None = None,
+    names: tuple[str, str] = ("score", "predicted"),
 ) -> DataFrame:
     """Add ``score`` (0 to 1, higher: more toxic) and ``predicted`` (1 from ``cut`` on)."""
 
@@ -324,7 +329,7 @@ def score_texts(
 
         return work
 
-    return add_columns(docs, [text_col], "score double, predicted int", make, keep)
+    return add_columns(docs, [text_col], f"{names[0]} double, {names[1]} int", make, keep)
 
 
 def worst_sentences(texts: list[str | None], model: ToxicModel) -> list[tuple[str, float]]:
