@@ -5,6 +5,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from zonemill.functions.keys import MergeKeys
+from zonemill.operators import merge
 from zonemill.operators.merge import Upsert, latest_per_key, merge_upsert, missing_from_source
 from zonemill.operators.window_delete import delete_window, in_window
 from zonemill.session import size_in_bytes
@@ -139,6 +141,48 @@ def test_a_key_with_a_third_of_all_rows(spark, join_plan):
     assert missing_from_source(source, target, ["k"]).count() == 4000
 
 
+def test_every_heavy_source_key_is_spread(spark, monkeypatch):
+    """Far more heavy keys than any fixed number of them: no task inserts many rows of one."""
+    monkeypatch.setattr(merge, "HEAVY_ROWS", 20)
+    monkeypatch.setattr(merge, "BROADCAST_KEYS", 100)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        target = spark.createDataFrame([(-1, 0)], "k int, v int")
+        source = spark.range(0, 1500 * 40, 1, 8).select((F.col("id") % 1500).cast("int").alias("k"), F.lit(1).alias("v"))
+        on = MergeKeys(target, ["k"], "the target")
+        counts = on.project(source).groupBy(on.labels).agg(F.count(F.lit(1)).alias("_n"))
+        salted = merge._salted_repeats(source, counts, on).groupBy("k", "_salt").count()
+        assert salted.filter("_salt = 0").isEmpty() and salted.agg(F.max("count")).first()[0] <= 40 / 8 + 1
+        assert merge_upsert(target, source, ["k"]).count() == 1500 * 40 + 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_missing_rows_of_a_heavy_target_key_are_split_at_run_time(spark, tmp_path):
+    path = str(tmp_path / "target")
+    wide = F.concat(*[F.md5(F.concat(F.col("id").cast("string"), F.lit(str(i)))) for i in range(4)])
+    key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("k")
+    spark.range(0, 60_000, 1, 8).select(key, wide.alias("v")).write.parquet(path)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        source = spark.range(0, 60_000, 2).select(F.col("id").alias("k"))
+        left = missing_from_source(spark.read.parquet(path), source, ["k"])
+        assert left.count() == 20_000 + 20_000
+        assert "skew=true" in _final_plan(left)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def _final_plan(df):
     df.collect()
     return df._jdf.queryExecution().executedPlan().toString()

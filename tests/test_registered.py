@@ -7,10 +7,12 @@ import os
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from zonemill.plans.registered import QUERIES
+from zonemill.plans.registered_sql import ORACLE_SQL
 
 SF_DIR = "/root/testdata/sf0.001"
-NO_SQL = {"dataset_sizes", "purge_audit"}
+NO_SQL = {"dataset_sizes"}
 
 
 @pytest.fixture(scope="module")
@@ -35,10 +37,10 @@ def _rows(columns, rows):
     return sorted(tuple(_cell(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, duck, name):
-    result = queries()[name](spark, SF_DIR)
-    expected = duck.sql(oracle_sql()[name])
+    result = QUERIES[name](spark, SF_DIR)
+    expected = duck.sql(ORACLE_SQL[name])
     assert sorted(result.columns) == sorted(expected.columns)
     assert _rows(result.columns, result.collect()) == _rows(expected.columns, expected.fetchall())
 
@@ -58,23 +60,15 @@ def test_query_equals_sql_when_nothing_is_broadcast(spark, duck, name):
 
 
 def test_every_query_is_checked():
-    assert set(queries()) - set(oracle_sql()) == NO_SQL
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE_SQL) == NO_SQL
+    assert set(ORACLE_SQL) <= set(QUERIES)
 
 
 def test_dataset_sizes_equal_the_file_sizes(spark):
-    sizes = {r["name"]: r["bytes"] for r in queries()["dataset_sizes"](spark, SF_DIR).collect()}
+    sizes = {r["name"]: r["bytes"] for r in QUERIES["dataset_sizes"](spark, SF_DIR).collect()}
     assert sizes == {n: os.path.getsize(f"{SF_DIR}/{n}.parquet") for n in ("orders", "lineitem")}
 
 
-def test_purge_audit_has_a_row_per_usable_path(spark):
-    rows = {r["tb_name"]: r for r in queries()["purge_audit"](spark, SF_DIR).collect()}
-    assert set(rows) == {"users", "gone"}
-    assert rows["users"]["status"] == "OK" and rows["users"]["msg_error"] == ""
-    assert rows["users"]["size_difference"] == rows["users"]["initial_size"] - rows["users"]["final_size"] > 0
-    assert rows["gone"]["status"] == "NOK" and "PATH_NOT_FOUND" in rows["gone"]["msg_error"]
-
-
 def test_entry(spark):
     assert entry(spark).columns == ["PARTITION_DT", "orders", "value"]
     assert entry(spark).count() > 0

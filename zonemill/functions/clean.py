@@ -54,7 +54,7 @@ def _conformed(df: DataFrame, field: T.StructField, allow_truncation: bool) -> C
         if allow_truncation:
             return F.substring(text, 1, limit)
         return F.when(F.length(text) > limit, _fail(name, f"longer than {limit} characters")).otherwise(text)
-    result = value.cast(plain)
+    result = cast_in_range(name, value, source, plain)
     if _may_lose_parts(source, target) and not allow_truncation:
         return F.when(result.cast(source) != value, _fail(name, f"not exact as {target.simpleString()}")).otherwise(
             result
@@ -62,11 +62,34 @@ def _conformed(df: DataFrame, field: T.StructField, allow_truncation: bool) -> C
     return result
 
 
+def cast_in_range(name: str, value: Column, source: T.DataType, target: T.DataType) -> Column:
+    """``value`` cast; a number out of range raises in any session, where a plain cast may wrap around."""
+    result = value.cast(target)
+    if source == target or not isinstance(source, T.NumericType):
+        return result
+    if isinstance(target, T.IntegralType):
+        low, high = _bounds(target)
+        wide = value if isinstance(source, (T.DoubleType, T.FloatType)) else value.cast("decimal(38,6)")
+        under, over = (F.lit(str(x)).cast("decimal(38,6)") for x in (low - 1, high + 1))
+        outside = (wide <= under) | (wide >= over)
+    elif isinstance(target, T.DecimalType):
+        outside = value.isNotNull() & value.try_cast(target).isNull()
+    else:
+        return result
+    return F.when(outside, _fail(name, f"an overflow of {target.simpleString()}")).otherwise(result)
+
+
 def _may_lose_parts(source: T.DataType, target: T.DataType) -> bool:
     digits = isinstance(source, T.FractionalType) and isinstance(target, (T.IntegralType, T.DecimalType))
+    digits = digits or (isinstance(source, T.DoubleType) and isinstance(target, T.FloatType))
     time = isinstance(source, (T.TimestampType, T.TimestampNTZType)) and isinstance(target, T.DateType)
     return (digits or time) and source != target
 
 
+def _bounds(target: T.IntegralType) -> tuple[int, int]:
+    bits = {T.ByteType: 8, T.ShortType: 16, T.IntegerType: 32, T.LongType: 64}[type(target)]
+    return -(1 << bits - 1), (1 << bits - 1) - 1
+
+
 def _fail(name: str, reason: str) -> Column:
     return F.raise_error(F.lit(f"value of column {name} is {reason}"))

@@ -8,16 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonemill.functions.clean import cast_in_range
 from zonemill.functions.columns import col, find, require
 from zonemill.functions.keys import MergeKeys
 from zonemill.layout import INSERTED_COLUMN, UPDATED_COLUMN
 from zonemill.session import fits_broadcast
 
-# The heaviest keys that are handled apart. A key beyond them holds at most one
-# HEAVY_KEYS-th of the rows, so it cannot dominate a task.
-HEAVY_KEYS = 1000
-# Copies of a heavy key where the other side needs one per salt.
-SALTS = 1024
+# Rows of one key that a task can take. Every key with more is spread over tasks.
+HEAVY_ROWS = 100_000
+# Up to so many heavy keys are broadcast, by their counted number; more are joined by key.
+BROADCAST_KEYS = 100_000
 AUDIT_MODES = ("null", "preserve", "none")
 
 
@@ -192,7 +192,7 @@ def _aligned(
     for name in wanted:
         match = find(target, name)
         if match is not None:
-            value = col(name) if given_types[name] == types[match] else col(name).cast(types[match])
+            value = cast_in_range(name, col(name), given_types[name], types[match])
             picked.append(value.alias(match))
         elif evolve:
             picked.append(col(name))
@@ -202,54 +202,37 @@ def _aligned(
 
 
 def _salted_repeats(batch: DataFrame, counts: DataFrame, on: MergeKeys) -> DataFrame:
-    """Spread the rows of the most repeated source keys over many tasks.
+    """Spread the rows of every source key with more than ``HEAVY_ROWS`` rows over many tasks.
 
     The salt is the input partition, which a retried task keeps. Rows of all other keys
     have salt 0.
     """
-    heavy = counts.filter("_n > 1").orderBy(F.desc("_n"), *on.labels).limit(HEAVY_KEYS)
-    salt = 1 + F.spark_partition_id()
+    heavy = counts.filter(F.col("_n") > HEAVY_ROWS)
+    if heavy.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+        heavy = F.broadcast(heavy)
+    # Taken before the join, which may bring all rows of a key to one partition.
+    given = batch.withColumn("_from", 1 + F.spark_partition_id())
     return (
-        batch.alias("s")
-        .join(F.broadcast(heavy).alias("h"), on.match_projected("s", "h"), "left")
-        .select("s.*", F.when(F.col("h._n").isNotNull(), salt).otherwise(F.lit(0)).cast("int").alias("_salt"))
+        given.alias("s")
+        .join(heavy.alias("h"), on.match_projected("s", "h"), "left")
+        .withColumn("_salt", F.when(F.col("h._n").isNotNull(), F.col("_from")).otherwise(F.lit(0)).cast("int"))
+        .select("s.*", "_salt")
+        .drop("_from")
     )
 
 
 def missing_from_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Target rows whose key the source does not hold.
 
-    With a source too large to broadcast, rows of the heaviest target keys are salted and
-    the few matching source keys copied to each salt.
+    A source too large to broadcast meets the target by key. Its distinct keys are found by
+    key and part, so that both sides of the join are plain exchanges and adaptive execution
+    can split a heavy target key over tasks, however many such keys there are.
     """
     on = MergeKeys(target, list(keys), "the target")
-    present = on.project(keys_as(target, source, on)).distinct()
-    rows = target.alias("t")
-    if fits_broadcast(present):
-        return rows.join(present.alias("p"), on.match_projected("t", "p"), "left_anti")
-    heavy = (
-        on.project(target)
-        .groupBy(on.labels)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter("_n > 1")
-        .orderBy(F.desc("_n"), *on.labels)
-        .limit(HEAVY_KEYS)
-    )
-    salt = F.pmod(F.spark_partition_id(), F.lit(SALTS))
-    rows = rows.join(F.broadcast(heavy).alias("h"), on.match_projected("t", "h"), "left").select(
-        "t.*", F.when(F.col("h._n").isNotNull(), salt).otherwise(F.lit(0)).cast("int").alias("_salt")
-    )
-    copies = F.when(F.col("_n").isNotNull(), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    present = present.join(F.broadcast(heavy), on.labels, "left").select(*on.labels, F.explode(copies).alias("_salt"))
-    return (
-        rows.alias("t")
-        .join(
-            present.alias("p"),
-            on.match_projected("t", "p") & (F.col("t._salt") == F.col("p._salt")),
-            "left_anti",
-        )
-        .drop("_salt")
-    )
+    given = on.project(keys_as(target, source, on))
+    part = F.pmod(F.xxhash64(*on.labels), F.lit(2)).alias("_part")
+    present = given.groupBy(*on.labels, part).agg(F.lit(1).alias("_one")).select(*on.labels)
+    return target.alias("t").join(present.alias("p"), on.match_projected("t", "p"), "left_anti")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:

@@ -13,7 +13,7 @@ from zonemill.functions.clean import blank_to_null, with_partition_month
 from zonemill.functions.columns import col, find
 from zonemill.functions.keys import MergeKeys
 from zonemill.layout import MONTH_FORMAT, PARTITION_MONTH, WINDOW_DAYS, split_keys
-from zonemill.operators.merge import Upsert, keys_as
+from zonemill.operators.merge import Upsert, keys_as, latest_per_key
 from zonemill.operators.window_delete import delete_window, in_window
 from zonemill.session import fits_broadcast
 from zonemill.sources.datasets import read_table
@@ -59,7 +59,8 @@ def load_delivery(
 ) -> int:
     """Upsert the rows of one delivery, after deleting the window before ``as_of`` if given.
 
-    The first delivery creates the table as it is. Of a partitioned table only those
+    The first delivery creates the table as it is, with one row per key where the merge
+    options ask for the latest. Of a partitioned table only those
     months are read in full and replaced that hold a matched row, a new row or a deleted
     row. Any error leaves the table as it was. Returns the number of rows written.
     """
@@ -72,9 +73,12 @@ def load_delivery(
             batch = with_partition_month(batch, table.date_column)
     partition_by = PARTITION_MONTH if table.partitioned else None
     if not exists:
+        if table.merge_options.get("on_duplicate") == "latest":
+            batch = latest_per_key(batch, table.keys, table.merge_options["order_by"])
         return publish_table(batch, table.path, partition_by, record=record)
 
-    current = read_table(spark, table.path, merge_schema=bool(table.merge_options.get("evolve")))
+    # Files may differ in their columns. All of them must be read before any file is replaced.
+    current = read_table(spark, table.path, merge_schema=True)
     months = None
     if table.partitioned and PARTITION_MONTH not in current.columns:
         current = with_partition_month(current, table.date_column)
@@ -131,4 +135,4 @@ def repartition_table(spark: SparkSession, path: str, date_column: str) -> int:
     """Rewrite a table that was built without partitions by month."""
     if not table_exists(spark, path):
         raise ValueError(f"there is no table at {path}")
-    return publish_table(with_partition_month(read_table(spark, path), date_column), path, PARTITION_MONTH)
+    return publish_table(with_partition_month(read_table(spark, path, merge_schema=True), date_column), path, PARTITION_MONTH)

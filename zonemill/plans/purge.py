@@ -6,7 +6,9 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from zonemill.functions.columns import require
 from zonemill.functions.times import fixed, now_text
 from zonemill.layout import PURGE_GREW_MESSAGE
 from zonemill.operators.compact import compact, size_label
@@ -25,8 +27,6 @@ PURGED_TYPE = "NT"
 YES = "S"
 UNUSABLE_PATHS = ("", "/", "\\")
 
-FILE_BYTES = 256 * 1024 * 1024
-
 
 def purge_list(
     spark: SparkSession, paths: Sequence[tuple] | None = None, control_csv: str | None = None
@@ -57,12 +57,16 @@ def _purge_row(fields: tuple) -> tuple:
 def purge_dataset(spark: SparkSession, path: str, update_column: str, convert_date: bool = False) -> tuple[int, int]:
     """Compact one dataset in place, into one partition; returns its size before and after.
 
-    The partition gets one file for a small dataset and one for every 256 MiB of a large one.
+    The distinct rows are rebalanced, so the size of a file follows the session's advisory
+    partition size. ``convert_date`` reads a numeric update column as epoch milliseconds; a
+    dataset whose column is a date already, as after a purge, is compacted as it is.
     """
     recover(spark, path)
     initial = dataset_size(spark, path).first()["bytes"]
-    compacted = compact(read_parquet(spark, path), update_column, convert_date)
-    publish_table(compacted, path, update_column, file_count=1 + initial // FILE_BYTES)
+    rows = read_parquet(spark, path, merge_schema=True)
+    (name,) = require(rows, [update_column], "the dataset")
+    numeric = isinstance(rows.schema[name].dataType, T.NumericType)
+    publish_table(compact(rows, name, convert_date and numeric), path, name)
     return initial, dataset_size(spark, path).first()["bytes"]
 
 

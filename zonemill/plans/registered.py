@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from zonemill.functions.clean import blank_to_null, conform, with_partition_month
@@ -15,7 +15,7 @@ from zonemill.operators.control import record_status, with_connection, work_list
 from zonemill.operators.merge import latest_per_key, merge_upsert, missing_from_source
 from zonemill.operators.window_delete import delete_window
 from zonemill.plans.loads import extract_to_raw, run_work_list, zone_path
-from zonemill.plans.purge import purge, purge_list
+from zonemill.plans.purge import purge, purge_dataset, purge_list
 from zonemill.plans.deliveries import TrustedTable, load_delivery, repartition_table
 from zonemill.session import work_dir
 from zonemill.sources import files
@@ -53,7 +53,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def loaded_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "orders").filter(F.col("o_orderdate") < LOADED_BEFORE)
+    """Orders before the date, and those without one."""
+    return table(spark, sf_dir, "orders").filter(~_from("o_orderdate", LOADED_BEFORE))
+
+
+def _from(column: str, day: str) -> Column:
+    """Whether a date is known and not before ``day``."""
+    return F.coalesce(F.col(column) >= day, F.lit(False))
 
 
 def delivered_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,8 +117,9 @@ def scan_by_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def append_with_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "customer")
     customer = table(spark, sf_dir, "customer")
-    write_dataset(customer.filter("c_acctbal < 0").drop("c_mktsegment"), path)
-    write_dataset(customer.filter("c_acctbal >= 0"), path, files=2)
+    owing = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    write_dataset(customer.filter(owing).drop("c_mktsegment"), path)
+    write_dataset(customer.filter(~owing), path)
     return read_table(spark, path, merge_schema=True)
 
 
@@ -223,7 +230,7 @@ LINE_ORDER = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedp
 def merge_lineitem_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated keys on both sides: the delivery's latest row updates every target row."""
     lineitem = table(spark, sf_dir, "lineitem")
-    target = lineitem.filter(F.col("l_shipdate") < LOADED_BEFORE)
+    target = lineitem.filter(~_from("l_shipdate", LOADED_BEFORE))
     delivery = lineitem.filter(F.col("l_shipdate") >= DELIVERED_FROM).withColumn("l_tax", F.col("l_tax") * 2)
     return merge_upsert(
         target, delivery, ["l_orderkey", "l_linenumber"], on_duplicate="latest", order_by=LINE_ORDER
@@ -257,6 +264,61 @@ def partition_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query
+def merge_first_load_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first delivery with repeated keys gives the rows that a merge of it would."""
+    path = work_dir(spark, "lineitem")
+    options = {"on_duplicate": "latest", "order_by": LINE_ORDER}
+    trusted = TrustedTable(path, ["l_orderkey", "l_linenumber"], merge_options=options)
+    load_delivery(spark, table(spark, sf_dir, "lineitem"), trusted)
+    return read_table(spark, path)
+
+
+@query
+def merge_after_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A delivery adds a column; a later one without it touches the same months."""
+    path = work_dir(spark, "orders")
+    plain = TrustedTable(path, ["o_orderkey"], "o_orderdate", partitioned=True)
+    wider = TrustedTable(path, ["o_orderkey"], "o_orderdate", partitioned=True, merge_options={"evolve": True})
+    load_delivery(spark, loaded_orders(spark, sf_dir), plain)
+    delivered = delivered_orders(spark, sf_dir)
+    load_delivery(spark, delivered.withColumn("channel", F.lower("o_orderpriority")), wider)
+    again = delivered.filter(F.col("o_orderkey") % 10 == 0)
+    load_delivery(spark, again.withColumn("o_totalprice", F.col("o_totalprice") * 2), plain)
+    return read_table(spark, path, merge_schema=True)
+
+
+@query
+def rewrite_mixed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose later files have one column more, rewritten by month."""
+    path = work_dir(spark, "orders")
+    orders, late = table(spark, sf_dir, "orders"), _from("o_orderdate", LOADED_BEFORE)
+    write_dataset(orders.filter(~late).drop("o_orderpriority"), path)
+    write_dataset(orders.filter(late), path)
+    repartition_table(spark, path, "o_orderdate")
+    return read_table(spark, path, merge_schema=True)
+
+
+@query
+def scan_zero_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "customer")
+    write_dataset(table(spark, sf_dir, "customer"), path, partition_by="c_nationkey")
+    return read_parquet(spark, path, "c_nationkey", 0)
+
+
+@query
+def ingest_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of every delivery that a run has merged and archived."""
+    root = work_dir(spark, "lake")
+    orders, late = table(spark, sf_dir, "orders"), _from("o_orderdate", LOADED_BEFORE)
+    _land(orders.filter(~late), f"{root}/raw", "20220901000000001")
+    _land(orders.filter(late), f"{root}/raw", "20220901000000002")
+    _ingest(spark, root)
+    archived = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/archive")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    return archived.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The greatest order value replaces one column of the customers who ordered."""
@@ -316,17 +378,16 @@ def work_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_status(after, work_list(control, Zone="trusted"), False, "2001-08-01")
 
 
-@query
-def work_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Control table after a run that lands the customers of each listed nation; Europe's source is down."""
+def _landing_run(spark: SparkSession, sf_dir: str) -> str:
+    """A run that lands the customers of each listed nation; Europe's source is down."""
     root = work_dir(spark, "lake")
-    register_views(spark, {"run_source": f"{sf_dir}/customer.parquet"})
+    register_views(spark, {"zonemill_run_source": f"{sf_dir}/customer.parquet"})
     down = F.col("highway") == "EUROPE"
     control = control_rows(spark, sf_dir).withColumns(
         {
             "System": F.lit("erp"),
             "SchemaName": F.lit("sales"),
-            "Query": F.when(down, "SELECT * FROM no_such_source").otherwise("SELECT * FROM run_source"),
+            "Query": F.when(down, "SELECT * FROM no_such_source").otherwise("SELECT * FROM zonemill_run_source"),
             "Filter": F.concat(F.lit(" WHERE c_nationkey = "), F.col("RowKey")),
         }
     )
@@ -336,6 +397,21 @@ def work_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         extract_to_raw(spark, row, root, spark.sql, "20220901172013123")
 
     run_work_list(spark, f"{root}/control", RAW_ZONE, land, run_date="2001-08-01", log_path=f"{root}/log")
+    return root
+
+
+@query
+def work_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log of a run: how each table ended, and whether it is dated today."""
+    log = read_parquet(spark, f"{_landing_run(spark, sf_dir)}/log")
+    today = F.substring("time", 1, 10) >= F.date_format(F.date_sub(F.current_date(), 1), "yyyy-MM-dd")
+    return log.select("FilePath", "status", F.col("error").isNotNull().alias("failed"), today.alias("dated"))
+
+
+@query
+def work_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control table after a run."""
+    root = _landing_run(spark, sf_dir)
     landed = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/{RAW_ZONE}")
     customers = landed.groupBy(F.col("c_nationkey").cast("string").alias("RowKey")).agg(
         F.count(F.lit(1)).alias("landed")
@@ -359,9 +435,9 @@ def run_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def extract_query_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A control row's query and filter text, run by Spark as the source, landed and read."""
-    register_views(spark, {"extract_source": f"{sf_dir}/supplier.parquet"})
+    register_views(spark, {"zonemill_extract_source": f"{sf_dir}/supplier.parquet"})
     row = {
-        "Query": "SELECT s_suppkey, s_name, s_acctbal FROM extract_source",
+        "Query": "SELECT s_suppkey, s_name, s_acctbal FROM zonemill_extract_source",
         "Filter": " WHERE s_acctbal > 0",
         "highway": "north",
         "System": "erp",
@@ -369,18 +445,18 @@ def extract_query_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "TableName": "supplier",
     }
     root = work_dir(spark, "lake")
-    schema = "s_suppkey int, s_name varchar(12), s_acctbal decimal(12,2)"
+    schema = "s_suppkey int, s_name string, s_acctbal decimal(12,2)"
     extract_to_raw(spark, row, root, spark.sql, "20220901172013123", schema)
     return read_parquet(spark, zone_path(root, RAW_ZONE, row) + "/20220901172013123_supplier.parquet")
 
 
 @query
 def view_query(spark: SparkSession, sf_dir: str) -> DataFrame:
-    register_views(spark, {n: f"{sf_dir}/{n}.parquet" for n in ("customer", "nation")})
-    register_query_views(spark, {"rich": "SELECT c_nationkey, c_acctbal FROM customer WHERE c_acctbal > 5000"})
+    register_views(spark, {f"zonemill_{n}": f"{sf_dir}/{n}.parquet" for n in ("customer", "nation")})
+    register_query_views(spark, {"zonemill_rich": "SELECT c_nationkey, c_acctbal FROM zonemill_customer WHERE c_acctbal > 5000"})
     return spark.sql(
         "SELECT n_name, count(*) AS customers, max(c_acctbal) AS best "
-        "FROM rich JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name"
+        "FROM zonemill_rich JOIN zonemill_nation ON c_nationkey = n_nationkey GROUP BY n_name"
     )
 
 
@@ -407,7 +483,7 @@ def ingest_deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         {"o_totalprice": price * 2, "o_orderdate": day + F.expr("interval 40 days")}
     )
     third = orders.filter(day >= "2000-01-01").withColumn("o_totalprice", price * 3)
-    _land(orders.filter(day < "1998-01-01"), f"{root}/raw", "20220901000000001")
+    _land(orders.filter(~_from("o_orderdate", "1998-01-01")), f"{root}/raw", "20220901000000001")
     files.write_text(spark, f"{root}/raw/20220901000000002_orders.parquet", "")
     _land(second, f"{root}/raw", "20220901000000003")
     path = _ingest(spark, root)
@@ -421,8 +497,11 @@ def ingest_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four waiting deliveries, each with part of the one before again, in one merge."""
     root = work_dir(spark, "lake")
     orders = table(spark, sf_dir, "orders")
+    of_year = F.year("o_orderdate")
     for year in (1995, 1997, 1999, 2001):
-        told = orders.filter(F.year("o_orderdate").between(year - 2, year))
+        since = F.lit(True) if year == 1995 else of_year >= year - 2
+        until = F.lit(True) if year == 2001 else of_year <= year
+        told = orders.filter((since & until) | ((year == 2001) & of_year.isNull()))
         _land(told.withColumn("told_in", F.lit(year)), f"{root}/raw", f"{year}0901000000001")
     return read_table(spark, _ingest(spark, root, combine=True))
 
@@ -442,13 +521,19 @@ def ingest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def landing_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sizes of what waits in raw, with an empty file that is rejected."""
+    """Rows of what waits in raw, orders of odd years apart, with an empty file that is rejected."""
     root = work_dir(spark, "lake")
-    _land(table(spark, sf_dir, "orders"), f"{root}/raw", "20220901000000001")
-    files.write_text(spark, f"{root}/raw/20220901000000002_orders.parquet", "")
+    orders, odd = table(spark, sf_dir, "orders"), F.coalesce(F.year("o_orderdate") % 2 == 1, F.lit(False))
+    _land(orders.filter(odd), f"{root}/raw", "20220901000000001")
+    _land(orders.filter(~odd), f"{root}/raw", "20220901000000002")
+    files.write_text(spark, f"{root}/raw/20220901000000003_orders.parquet", "")
     rejected = reject_empty(spark, f"{root}/raw", f"{root}/failed").select("name", F.lit(True).alias("rejected"))
     kept = files.file_inventory(spark, f"{root}/raw").select("name", F.lit(False).alias("rejected"))
-    return kept.unionByName(rejected)
+    landed = spark.read.option("recursiveFileLookup", True).parquet(f"{root}/raw")
+    name = F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    counts = landed.groupBy(name.alias("name")).agg(F.count(F.lit(1)).alias("rows"))
+    named = kept.unionByName(rejected).join(counts, "name", "left")
+    return named.withColumn("rows", F.coalesce("rows", F.lit(0)))
 
 
 @query
@@ -461,30 +546,62 @@ def dataset_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sizes[0].unionByName(sizes[1])
 
 
-def _purged_events(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
+def _event_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events of a user and type, known by the time of their last update in milliseconds."""
+    time = F.unix_millis(F.col("ts").cast("timestamp")).alias("updated")
+    return table(spark, sf_dir, "events").select("user_id", "event_type", time)
+
+
+def _purged_events(spark: SparkSession, sf_dir: str, runs: int = 1) -> str:
     root = work_dir(spark, "lake")
-    events = table(spark, sf_dir, "events")
-    history = events.select("user_id", "event_type", F.unix_millis(F.col("ts").cast("timestamp")).alias("updated"))
-    write_dataset(history, f"{root}/dims/users")
-    listed = purge_list(
-        spark,
-        [
-            ("dims", "users", "users", "updated", "NT", "S"),
-            ("dims", "gone", "gone", "updated", "NT", "N"),
-            ("dims", " / ", "skipped", "updated", "NT", "N"),
-        ],
-    )
-    audit = purge(spark, listed, lambda container, path: f"{root}/{container}/{path}", f"{root}/result")
-    return root, audit
+    write_dataset(_event_history(spark, sf_dir), f"{root}/dims/users")
+    listed = purge_list(spark, [("dims", "users", "users", "updated", "NT", "S")])
+    for _ in range(runs):
+        purge(spark, listed, lambda container, path: f"{root}/{container}/{path}", f"{root}/result")
+    return root
 
 
 @query
 def purge_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, _ = _purged_events(spark, sf_dir)
-    return read_parquet(spark, f"{root}/dims/users")
+    return read_parquet(spark, f"{_purged_events(spark, sf_dir)}/dims/users")
+
+
+@query
+def purge_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second run finds a date where the first one converted milliseconds."""
+    return read_parquet(spark, f"{_purged_events(spark, sf_dir, runs=2)}/dims/users")
+
+
+@query
+def purge_mixed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A later file of the dataset has a column that the first lacks."""
+    path = work_dir(spark, "users")
+    events, late = _event_history(spark, sf_dir), F.coalesce(F.col("user_id") % 2 == 1, F.lit(False))
+    write_dataset(events.filter(~late), path)
+    write_dataset(events.filter(late).withColumn("kind", F.upper("event_type")), path)
+    purge_dataset(spark, path, "updated", convert_date=True)
+    return read_parquet(spark, path)
 
 
 @query
 def purge_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    root, _ = _purged_events(spark, sf_dir)
-    return read_parquet(spark, f"{root}/result")
+    """Status of every listed dataset of a control file, and the rows left in it."""
+    root = work_dir(spark, "lake")
+    for name in ("users", "kept"):
+        write_dataset(_event_history(spark, sf_dir), f"{root}/dims/{name}")
+    lines = [
+        "container;path;tb_name;update_column;table_type;convert_date",
+        "dims;users;users;updated;NT;S",
+        "dims;gone;gone;updated;NT;N",
+        "dims; / ;skipped;updated;NT;N",
+        "dims;kept;kept;updated;OT;S",
+    ]
+    files.write_text(spark, f"{root}/control.csv", "\n".join(lines) + "\n")
+    listed = purge_list(spark, control_csv=f"{root}/control.csv")
+    purge(spark, listed, lambda container, path: f"{root}/{container}/{path}", f"{root}/result")
+    left = [
+        read_parquet(spark, f"{root}/dims/{name}").agg(F.count(F.lit(1)).alias("rows_left")).withColumn("tb_name", F.lit(name))
+        for name in ("users", "kept")
+    ]
+    audit = read_parquet(spark, f"{root}/result").select("tb_name", "status")
+    return audit.join(left[0].unionByName(left[1]), "tb_name", "full")

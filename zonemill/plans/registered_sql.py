@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-T = "SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2000-07-01'"
+T = "SELECT * FROM orders WHERE NOT coalesce(o_orderdate >= TIMESTAMP '2000-07-01', false)"
 S = (
     "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice * 2 AS o_totalprice, o_orderdate, o_orderpriority "
     "FROM orders WHERE o_orderdate >= TIMESTAMP '1999-07-01'"
@@ -31,7 +31,8 @@ ORACLE_SQL: dict[str, str] = {
     "scan_table_by_value": f"SELECT *, {MONTH} FROM orders WHERE strftime(o_orderdate, '%Y-%m') = '1998-10'",
     "scan_by_unit": "SELECT * EXCLUDE (c_mktsegment), c_mktsegment AS bu FROM customer",
     "append_with_evolution": """
-        SELECT * REPLACE (CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS c_mktsegment) FROM customer
+        SELECT * REPLACE (CASE WHEN coalesce(c_acctbal < 0, false) THEN NULL ELSE c_mktsegment END AS c_mktsegment)
+        FROM customer
     """,
     "blank_strings": f"SELECT * EXCLUDE (o_orderpriority), {BLANK} FROM orders",
     "partition_month": f"SELECT {MONTH}, count(*) AS orders FROM orders GROUP BY 1",
@@ -96,7 +97,7 @@ ORACLE_SQL: dict[str, str] = {
         UNION ALL SELECT t.*, NULL FROM t ANTI JOIN s USING (o_orderkey)
     """,
     "merge_lineitem_latest": f"""
-        WITH t AS (SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '2000-07-01'), s AS ({LINES})
+        WITH t AS (SELECT * FROM lineitem WHERE NOT coalesce(l_shipdate >= TIMESTAMP '2000-07-01', false)), s AS ({LINES})
         SELECT s.* FROM t JOIN s USING (l_orderkey, l_linenumber)
         UNION ALL SELECT t.* FROM t ANTI JOIN s USING (l_orderkey, l_linenumber)
         UNION ALL SELECT s.* FROM s ANTI JOIN t USING (l_orderkey, l_linenumber)
@@ -156,7 +157,7 @@ ORACLE_SQL: dict[str, str] = {
         FROM events
     """,
     "extract_query_text": """
-        SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, substr(s_name, 1, 12) AS s_name,
+        SELECT CAST(s_suppkey AS INTEGER) AS s_suppkey, s_name,
                CAST(s_acctbal AS DECIMAL(12,2)) AS s_acctbal
         FROM supplier WHERE s_acctbal > 0
     """,
@@ -176,7 +177,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT *, {MONTH} FROM m
     """,
     "ingest_backlog": f"""
-        SELECT *, CASE WHEN year(o_orderdate) >= 1999 THEN 2001 WHEN year(o_orderdate) >= 1997 THEN 1999
+        SELECT *, CASE WHEN coalesce(year(o_orderdate) >= 1999, true) THEN 2001 WHEN year(o_orderdate) >= 1997 THEN 1999
                        WHEN year(o_orderdate) >= 1995 THEN 1997 ELSE 1995 END AS told_in, {MONTH}
         FROM orders
     """,
@@ -189,8 +190,54 @@ ORACLE_SQL: dict[str, str] = {
         SELECT *, {MONTH} FROM m
     """,
     "landing_inventory": """
-        SELECT '20220901000000001_orders.parquet' AS name, false AS rejected
-        UNION ALL SELECT '20220901000000002_orders.parquet', true
+        SELECT '20220901000000001_orders.parquet' AS name, false AS rejected, count(*) AS rows
+        FROM orders WHERE coalesce(year(o_orderdate) % 2 = 1, false)
+        UNION ALL SELECT '20220901000000002_orders.parquet', false, count(*)
+        FROM orders WHERE NOT coalesce(year(o_orderdate) % 2 = 1, false)
+        UNION ALL SELECT '20220901000000003_orders.parquet', true, 0
+    """,
+    "ingest_archive": """
+        SELECT '20220901000000001_orders.parquet' AS name, count(*) AS rows
+        FROM orders WHERE NOT coalesce(o_orderdate >= TIMESTAMP '2000-07-01', false)
+        UNION ALL SELECT '20220901000000002_orders.parquet', count(*)
+        FROM orders WHERE coalesce(o_orderdate >= TIMESTAMP '2000-07-01', false)
+    """,
+    "purge_twice": """
+        SELECT DISTINCT user_id, event_type, (SELECT max(CAST(ts AS DATE)) FROM events) AS updated FROM events
+    """,
+    "purge_mixed_schema": """
+        SELECT DISTINCT user_id, event_type, CASE WHEN coalesce(user_id % 2 = 1, false) THEN upper(event_type) END AS kind,
+               (SELECT max(CAST(ts AS DATE)) FROM events) AS updated
+        FROM events
+    """,
+    "purge_audit": """
+        SELECT 'users' AS tb_name, 'OK' AS status, count(*) AS rows_left FROM (SELECT DISTINCT user_id, event_type FROM events)
+        UNION ALL SELECT 'gone', 'NOK', NULL
+        UNION ALL SELECT 'kept', NULL, count(*) FROM events
+    """,
+    "scan_zero_value": "SELECT * FROM customer WHERE c_nationkey = 0",
+    "merge_first_load_latest": """
+        SELECT * FROM lineitem
+        QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC,
+            l_suppkey DESC, l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC) = 1
+    """,
+    "merge_after_evolution": f"""
+        WITH t AS ({T}), s AS ({S}),
+             m AS (SELECT * REPLACE (CASE WHEN o_orderkey % 10 = 0 THEN 2 ELSE 1 END * o_totalprice AS o_totalprice),
+                          lower(o_orderpriority) AS channel FROM s
+                   UNION ALL SELECT t.*, NULL FROM t ANTI JOIN s USING (o_orderkey))
+        SELECT *, {MONTH} FROM m
+    """,
+    "rewrite_mixed_schema": f"""
+        SELECT * REPLACE (CASE WHEN coalesce(o_orderdate >= TIMESTAMP '2000-07-01', false) THEN o_orderpriority END
+                          AS o_orderpriority), {MONTH}
+        FROM orders
+    """,
+    "work_run_log": f"""
+        SELECT 'raw/' || highway || '/erp/sales/' || TableName || '/' AS FilePath,
+               CASE WHEN highway = 'EUROPE' THEN 'failed' ELSE 'succeeded' END AS status,
+               highway = 'EUROPE' AS failed, true AS dated
+        FROM ({CONTROL}) WHERE Zone = 'raw' AND FlagFilter = '0' AND JobStatus = '1'
     """,
     "purge_rows": """
         SELECT DISTINCT user_id, event_type, (SELECT max(CAST(ts AS DATE)) FROM events) AS updated FROM events

@@ -26,14 +26,14 @@ def read_parquet(
     schema: T.StructType | str | None = None,
     merge_schema: bool = False,
 ) -> DataFrame:
-    """A Parquet dataset, or one partition value of it when both column and value are given.
+    """A Parquet dataset, or one partition value of it when column and value are given; 0, False and '' are values.
 
     The partition value is a filter, which prunes the directories of all other values.
     ``keep_partition_col=False`` leaves the filtered column out.
     """
     reader = spark.read.option("pathGlobFilter", glob).option("mergeSchema", merge_schema)
     df = (reader.schema(schema) if schema else reader).parquet(path)
-    if column and value:
+    if column is not None and value is not None:
         df = df.filter(col(column) == value)
         return df if keep_partition_col else df.drop(column)
     return df
@@ -50,7 +50,7 @@ def read_table(
     """A trusted or refined table in the given format, optionally one value of a column."""
     reader = spark.read.format(fmt)
     df = (reader.option("mergeSchema", True) if merge_schema else reader).load(path)
-    return df.filter(col(column) == value) if column and value else df
+    return df.filter(col(column) == value) if column is not None and value is not None else df
 
 
 def read_by_unit(

@@ -61,24 +61,24 @@ def publish_table(
     partition_by: str | None = None,
     touched: Iterable[object] | None = None,
     record: dict | None = None,
-    file_count: int | None = None,
     in_place: DataFrame | None = None,
 ) -> int:
     """Replace the table by ``df``, or only the ``touched`` partitions of it.
 
     ``df`` may read the table. Of a touched partition without new rows nothing remains.
     ``in_place`` are further rows, read from the table, whose partition does not change;
-    they are written by the tasks that read them. ``record`` is kept beside the data and
+    they are written by the tasks that read them. ``df`` must have every column of the table. ``record`` is kept beside the data and
     appears together with it; fields it leaves out stay. Returns the number of rows
     written. A table has one writer at a time.
     """
     spark = df.sparkSession
     record = applied(spark, target) | (record or {})
+    _refuse_loss(df, target)
     staging = staging_path(target)
     data = f"{staging}/data"
     columns = [partition_by] if partition_by else []
     written = Observation()
-    laid_out = _laid_out(df, columns, file_count)
+    laid_out = _laid_out(df, columns, None)
     if in_place is not None:
         laid_out = laid_out.unionByName(in_place)
     counted = laid_out.observe(written, F.count(F.lit(1)).alias("n"))
@@ -101,6 +101,16 @@ def publish_table(
     return rows
 
 
+def _refuse_loss(df: DataFrame, target: str) -> None:
+    """Raise if a file of the table has a column that the new rows lack."""
+    spark = df.sparkSession
+    if any(not name.startswith(("_", ".")) for _, name, *_ in files.list_entries(spark, target)):
+        held = spark.read.option("mergeSchema", True).parquet(target).columns
+        lost = sorted({c.lower() for c in held} - {c.lower() for c in df.columns})
+        if lost:
+            raise ValueError(f"the new rows for {target} lack its columns {', '.join(lost)}")
+
+
 def _carry_out(spark: SparkSession, target: str, plan: dict) -> None:
     """Renames and removals of a plan; steps already done are passed over."""
     staged = f"{staging_path(target)}/data"

@@ -10,12 +10,14 @@ adaptive execution work as for any batch job.
 
 Deliveries waiting at the start of a run are one micro-batch. A batch may be repeated
 after a failure, so every publish records the deliveries of the batch merged so far, and
-a repeated batch goes on after them. The stream archives the files of a batch when it
-plans a later one: the deliveries of the last batch stay in raw until then.
+a repeated batch goes on after them. Merged deliveries are archived by one rename each,
+once the stream has committed their batch; a run that was cut off before is finished by
+the next one.
 """
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -47,14 +49,21 @@ def reject_empty(spark: SparkSession, raw_path: str, failed_path: str) -> DataFr
     return rejected
 
 
-def drop_archived(spark: SparkSession, raw_path: str, archive_path: str) -> None:
-    """Remove delivery directories that the stream has emptied into the archive."""
-    root = files.qualified(spark, raw_path)
-    for path, name, is_directory, _, _ in files.list_entries(spark, raw_path):
-        archived = archive_path + root[root.index("/") :].replace("//", "/") + "/" + name
-        if is_directory and files.exists(spark, archived):
-            if all(entry[1].startswith(("_", ".")) for entry in files.list_entries(spark, path)):
-                files.delete(spark, path)
+def archive_merged(spark: SparkSession, raw_path: str, archive_path: str, checkpoint: str, record: dict) -> None:
+    """Move the deliveries of the recorded batch from raw to the same name in the archive.
+
+    A batch that the stream has not committed may run again and still needs its files. A
+    delivery that was moved in part, where a rename is a copy, is moved anew.
+    """
+    stream = files.read_text(spark, f"{checkpoint}/metadata")
+    if stream is None or json.loads(stream)["id"] != record.get("query"):
+        return
+    if not files.exists(spark, f"{checkpoint}/commits/{record['batch']}"):
+        return
+    for name in record["deliveries"]:
+        if files.exists(spark, f"{raw_path}/{name}"):
+            files.delete(spark, f"{archive_path}/{name}")
+            files.move(spark, f"{raw_path}/{name}", f"{archive_path}/{name}")
 
 
 def combined(deliveries: list[DataFrame], table: TrustedTable) -> list[tuple[DataFrame, int]]:
@@ -91,7 +100,7 @@ def _last_rows(run: list[DataFrame], table: TrustedTable) -> DataFrame:
     return latest_per_key(reduce(DataFrame.unionByName, numbered), table.keys, ["_delivery"]).drop("_delivery")
 
 
-def delivery_feed(spark: SparkSession, raw_path: str, archive_path: str) -> DataFrame:
+def delivery_feed(spark: SparkSession, raw_path: str) -> DataFrame:
     """Stream of the names of new deliveries, one row per file of them."""
     root = files.qualified(spark, raw_path)
     below = F.substring("path", len(root) + 2, 1 << 30)
@@ -100,8 +109,6 @@ def delivery_feed(spark: SparkSession, raw_path: str, archive_path: str) -> Data
         .schema(FEED_SCHEMA)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
-        .option("cleanSource", "archive")
-        .option("sourceArchiveDir", archive_path)
         .load(raw_path)
         .select(F.split_part(below, F.lit("/"), F.lit(1)).alias("delivery"))
     )
@@ -122,12 +129,13 @@ def ingest_stream(
     With ``as_of``, rows of the window before it are deleted once per run, together with
     the first delivery; without any delivery nothing is deleted. ``combine`` merges
     neighbouring deliveries in one step where that gives the same table, so that a
-    backlog costs one pass over it.
+    backlog costs one pass over it. Merged deliveries end under ``archive_path`` by their
+    own names, empty ones under ``failed_path``.
     """
     if not files.exists(spark, raw_path):
         return
+    archive_merged(spark, raw_path, archive_path, checkpoint, applied(spark, table.path))
     reject_empty(spark, raw_path, failed_path)
-    drop_archived(spark, raw_path, archive_path)
 
     def load_waiting(feed: DataFrame, batch_id: int) -> None:
         # The stream's own session plans without adaptive execution; rows are read in ours.
@@ -152,10 +160,11 @@ def ingest_stream(
             )
 
     stream = (
-        delivery_feed(spark, raw_path, archive_path)
+        delivery_feed(spark, raw_path)
         .writeStream.foreachBatch(load_waiting)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
     stream.awaitTermination()
+    archive_merged(spark, raw_path, archive_path, checkpoint, applied(spark, table.path))
