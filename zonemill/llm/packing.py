@@ -23,6 +23,8 @@ import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
@@ -74,24 +76,59 @@ class Example:
         return max(0, min(self.tokens, tokens, free + loss))
 
 
+# Letters below U+0250, and white space that the tokenizer drops. Runs of these letters never
+# touch the tokens around them, but for an apostrophe.
+LETTERS = "a-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+RUNS = re.compile(rf"[{LETTERS}]+|[^\x20\x09-\x0D{LETTERS}]+")
+RUN = re.compile(rf"[{LETTERS}]+")
+UNSURE = re.compile(r"['\u0250-\U0010ffff]|<\|")
+
+
 class TextIds:
-    """Token ids of texts, word by word: the tokenizer drops white space, so words do not touch each other."""
+    """Token ids of texts by a cache of words; the same as the tokenizer gives for the whole text.
+
+    The tokenizer drops white space, so words do not touch each other. In texts of plain
+    Latin letters, runs of letters are looked up instead, in lower case, as the tokenizer
+    splits there too; their ids come from its merges alone, past its text handling. Any
+    other text is looked up by its words as they are.
+    """
 
     def __init__(self, path: str, end_id: int):
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.merges = self.tokenizer.model
         self.end = np.array([end_id], dtype="<u4").tobytes()
-        self.words = WordCache(
-            lambda word: np.array(tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        )
+        self.runs = WordCache(self._run, 300_000)
+        self.words = WordCache(self._word, 50_000)
+        self.letters = WordCache(lambda c: "".join(p for p, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(c)))
+
+    def _word(self, word: str) -> bytes:
+        return np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _run(self, run: str) -> bytes:
+        if not RUN.fullmatch(run):
+            return self._word(run)
+        coded = run if run.isascii() else "".join(map(self.letters.__getitem__, run))
+        return np.array([token.id for token in self.merges.tokenize(coded)], dtype="<u4").tobytes()
 
     def of(self, text: str | None) -> bytes:
-        ids = b"".join(map(self.words.__getitem__, WORD.findall(text or "")))
+        text = text or ""
+        if UNSURE.search(text) or not is_normalized("NFC", text):
+            ids = b"".join(map(self.words.__getitem__, WORD.findall(text)))
+        else:
+            ids = b"".join(map(self.runs.__getitem__, RUNS.findall(text.lower())))
         self.words.trim()
+        self.runs.trim()
         return ids + self.end
 
 
+@lru_cache(maxsize=2)
+def text_ids(path: str, end_id: int) -> TextIds:
+    """One for all tasks of a Python worker."""
+    return TextIds(path, end_id)
+
+
 class Packer:
     """Packs a stream of examples of one task; yields (example, start, length, sequence, offset, loss)."""
 
@@ -166,7 +203,7 @@ class Packer:
 
 def _pack(path: str, limits: Limits, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = TextIds(path, end_id)
+        ids = text_ids(path, end_id)
         packer = Packer(limits, TaskContext.get().partitionId() << 33)
         names = [c.split()[0] for c in PIECES.split(", ")]
 
