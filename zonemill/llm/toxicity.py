@@ -3,7 +3,7 @@
 The kernel compares two spans by the subsequences of three characters they share. An
 occurrence weighs ``DECAY`` to the power of its length, gaps included, and reaches over at
 most ``REACH`` characters, so a span with inserted or missing characters stays close to the
-plain one. Similar characters (accents, digits written for letters) count as one.
+plain one. Digits and signs written for letters count as these.
 
 A span is a word of a sentence with its ends marked, the word with inner punctuation left
 out, or a run of single spaced characters read as one word. A sentence is as toxic as its
@@ -28,7 +28,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 
@@ -38,8 +38,12 @@ from pyspark.sql import functions as F
 from zonemill.llm.common import WordCache, add_columns, labelled_texts
 
 SAMPLE_TEXTS = 1000
-LANDMARKS = 160
-ORDER, REACH, DECAY = 3, 6, 0.7
+LANDMARKS = 200
+SURE = 5.0
+WORST = 5
+# How much worse a lost clean text is than a missed toxic one: clean texts are many.
+CLEAN = 4.0
+ORDER, REACH, DECAY = 3, 6, 0.5
 SIZE = 64
 LONGEST = 48
 SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
@@ -47,7 +51,7 @@ SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)")
 EDGE = re.compile(r"^\W+|\W+$")
 INNER = re.compile(r"[\W_]+")
 # Characters that stand for a letter.
-ALIKE = str.maketrans("0134578@$áàâäåéèêëíìîïóòôöúùûüñç", "oleasTbasaaaaaeeeeiiiioooouuuunc".lower())
+ALIKE = str.maketrans("0134578@$", "oleastbas")
 
 
 CLASSES = np.array([at - 94 if 97 <= at <= 122 else 30 + at % 33 for at in range(0x110000 >> 4)], dtype=np.int32)
@@ -135,12 +139,17 @@ def kernel(spans: list[str], row: np.ndarray, table: np.ndarray) -> np.ndarray:
 
 @dataclass
 class ToxicModel:
-    """Weight per subsequence, the intercept, and the calibration of a text's worst span."""
+    """Weight per subsequence and the intercept; what a span's value tells; the text's calibration.
+
+    ``gains`` are log likelihood ratios of toxic to clean texts at the decision values ``marks``.
+    """
 
     weights: np.ndarray
     bias: float
-    slope: float
-    middle: float
+    slope: float = 1.0
+    middle: float = 0.0
+    marks: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
+    gains: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
 
     def span_scores(self, spans: list[str]) -> np.ndarray:
         """Decision values of the machine."""
@@ -150,8 +159,12 @@ class ToxicModel:
             scores[places] += self.weights[codes] @ weights
         return scores
 
-    def probability(self, worst: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.slope * (worst - self.middle), -30, 30)))
+    def span_gains(self, spans: list[str]) -> np.ndarray:
+        return np.interp(self.span_scores(spans), self.marks, self.gains)
+
+    def probability(self, totals: np.ndarray) -> np.ndarray:
+        """Of texts, from the sums of the gains of their ``WORST`` worst spans."""
+        return 1 / (1 + np.exp(-np.clip(self.slope * (totals - self.middle), -30, 30)))
 
 
 def text_spans(text: str) -> set[str]:
@@ -198,22 +211,32 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> ToxicModel | Non
     good = [b for b, label in zip(bags, toxic, strict=True) if label == 0 and b]
     if not bad or not good:
         return None
+    # A quarter of the texts is set apart for the calibration, if that is enough of them.
+    apart_bad, apart_good = bad, good
+    if min(len(bad), len(good)) >= 60:
+        apart_bad, apart_good = bad[::4], good[::4]
+        bad, good = ([b for i, b in enumerate(bs) if i % 4] for bs in (bad, good))
     random = np.random.default_rng(seed)
     in_bad, in_good = Counter(s for b in bad for s in b), Counter(s for b in good for s in b)
-    # First witness: parts of words that many toxic texts and few clean ones hold.
+    # First witnesses: parts of words that far more toxic texts than clean ones hold.
     parts_bad = Counter(p for b in bad for p in {s[:n] for s in b for n in (4, 5, 6)} | set(b))
     parts_good = Counter(p for b in good for p in {s[:n] for s in b for n in (4, 5, 6)} | set(b))
 
-    def odds(part: str) -> float:
-        return np.log((parts_bad[part] + 0.5) / len(bad)) - np.log((parts_good[part] + 0.5) / len(good))
+    def excess(part: str) -> float:
+        """How far more toxic texts hold the part than clean texts let expect, in deviations."""
+        expected = len(bad) * (parts_good[part] + 0.5) / len(good)
+        return (parts_bad[part] - expected) / np.sqrt(expected + 1)
 
     def evidence(span: str) -> float:
-        return max(odds(span), *(odds(span[:n]) for n in (4, 5, 6)))
+        return max(excess(span), *(excess(span[:n]) for n in (4, 5, 6)))
 
     known = {s: evidence(s) for s in in_bad}
     clean = sorted(in_good)
     clean_sample = [clean[i] for i in random.permutation(len(clean))[:12_000]]
-    witness = {max(b, key=known.__getitem__) for b in bad}
+    # A toxic text without a telling span teaches nothing yet.
+    best = [max(b, key=lambda s: (known[s], s)) for b in bad]
+    sure = min(SURE, max(known[s] for s in best))
+    witness = {s for s in best if known[s] >= sure}
     model = None
     for turn in range(4):
         found = Counter({s: in_bad[s] for s in witness})
@@ -231,7 +254,7 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> ToxicModel | Non
         root = vectors[:, keep] / np.sqrt(values[keep])
         w = _svm(kernel(spans, row, table) @ root, y)
         weights = (table @ (root @ w[:-1]))[row]
-        model = ToxicModel(weights, float(w[-1]), 1.0, 0.0)
+        model = ToxicModel(weights, float(w[-1]))
         if turn == 3:
             break
         # The hardest clean spans join, and every toxic text names its worst span anew.
@@ -239,40 +262,61 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> ToxicModel | Non
         hard = np.argsort(-scores, kind="stable")[:4000]
         clean_sample = sorted(set(clean_sample) | {clean[i] for i in hard})
         ranked = dict(zip(known, model.span_scores(list(known)), strict=True))
+        usual = dict(zip(clean, scores, strict=True))
+        limit = np.quantile([max(map(usual.__getitem__, b)) for b in good], 0.95)
         witness = set()
         for b in bad:
             top = sorted(b, key=ranked.__getitem__, reverse=True)[:3]
-            witness.update(s for i, s in enumerate(top) if (i == 0 or ranked[s] > 0.5) and not in_good[s])
-    score = dict(zip(clean, model.span_scores(clean), strict=True))
-    score.update(zip(known, model.span_scores(list(known)), strict=True))
-    worst_bad = np.array([max(map(score.__getitem__, b)) for b in bad])
-    worst_good = np.array([max(map(score.__getitem__, b)) for b in good])
-    model.middle, model.slope = _calibrated(worst_bad, worst_good)
+            witness.update(s for i, s in enumerate(top) if ranked[s] > max(limit, 0.5 * i) and not in_good[s])
+        if not witness:
+            break
+    _calibrate(model, apart_bad, apart_good)
     return model
 
 
-def _calibrated(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
+def _calibrate(model: ToxicModel, bad: list[list[str]], good: list[list[str]]) -> None:
+    """What values of spans tell, by how often toxic and clean texts hold such spans; then the cut between texts."""
+    spans = sorted({s for b in (*bad, *good) for s in b})
+    value = dict(zip(spans, model.span_scores(spans), strict=True))
+    of_bad, of_good = (np.sort([value[s] for b in bags for s in b]) for bags in (bad, good))
+    marks = np.arange(-1.0, 1.65, 0.05)
+
+    def rate(values: np.ndarray, texts: int) -> np.ndarray:
+        near = np.searchsorted(values, marks + 0.15) - np.searchsorted(values, marks - 0.15)
+        return (near + 0.5) / (texts + 1)
+
+    gains = np.log(rate(of_bad, len(bad))) - np.log(rate(of_good, len(good)))
+    gains[marks + 0.15 > max(of_bad[-1], of_good[-1])] = -np.inf
+    model.marks, model.gains = marks, np.maximum(np.maximum.accumulate(gains), 0.0)
+    gain = dict(zip(spans, np.interp([value[s] for s in spans], model.marks, model.gains), strict=True))
+
+    def totals(bags: list[list[str]]) -> np.ndarray:
+        return np.array([sum(sorted((gain[s] for s in b), reverse=True)[:WORST]) for b in bags])
+
+    model.middle, model.slope = _cut(totals(bad), totals(good))
+
+
+def _cut(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
     """Where the two classes are told apart best, in the middle of the gap, and a slope for the gap's width."""
     values = np.unique(np.r_[bad, good])
     cuts = np.r_[values[0] - 1, (values[1:] + values[:-1]) / 2, values[-1] + 1]
     bad, good = np.sort(bad), np.sort(good)
-    wrong = np.searchsorted(bad, cuts) / len(bad) + (len(good) - np.searchsorted(good, cuts)) / len(good)
+    wrong = np.searchsorted(bad, cuts) / len(bad) + CLEAN * (len(good) - np.searchsorted(good, cuts)) / len(good)
     best = np.nonzero(wrong == wrong.min())[0]
-    middle = (cuts[best[0]] + cuts[best[-1]]) / 2
-    spread = max(0.05, float(np.median(bad) - np.median(good)))
-    return float(middle), 6.0 / spread
+    best = best[best - best[0] == np.arange(len(best))]
+    low, high = max(values[0], cuts[best[0]]), min(values[-1], cuts[best[-1]])
+    return float((low + high) / 2), 6.0 / max(0.5, float(np.median(bad) - np.median(good)))
 
 
 class TextScorer:
-    """Worst-span scores of texts, with a bounded cache of word scores."""
+    """Scores of texts, with a bounded cache of what words tell."""
 
     def __init__(self, model: ToxicModel):
         self.model = model
-        self.words = WordCache(lambda word: self._worst(pieces(word)))
-        self.neutral = model.bias
+        self.words = WordCache(lambda word: self._gain(pieces(word)))
 
-    def _worst(self, spans: list[str]) -> float:
-        return float(self.model.span_scores(spans).max()) if spans else -np.inf
+    def _gain(self, spans: list[str]) -> float:
+        return float(self.model.span_gains(spans).max()) if spans else 0.0
 
     def _learn(self, words: set[str]) -> None:
         new = [w for w in words if w not in self.words and w not in self.words.old]
@@ -281,24 +325,25 @@ class TextScorer:
             for span in pieces(word):
                 spans.append(span)
                 owner.append(at)
-        worst = np.full(len(new), -np.inf)
+        most = np.zeros(len(new))
         if spans:
-            np.maximum.at(worst, owner, self.model.span_scores(spans))
-        self.words.update(zip(new, worst.tolist(), strict=True))  # bounded by the words of 50 texts
+            np.maximum.at(most, owner, self.model.span_gains(spans))
+        self.words.update(zip(new, most.tolist(), strict=True))  # bounded by the words of 50 texts
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
         low = [(t or "").lower() for t in texts]
-        words = [t.split() for t in low]
-        out = np.empty(len(texts))
+        totals = np.empty(len(texts))
         for start in range(0, len(texts), 50):
-            self._learn({w for ws in words[start : start + 50] for w in ws})
-            for at in range(start, min(start + 50, len(texts))):
-                worst = max(map(self.words.__getitem__, words[at]), default=-np.inf)
-                for run in spaced_words(low[at]):
-                    worst = max(worst, self._worst(pieces(run)))
-                out[at] = worst if worst > -np.inf else self.neutral
+            part = low[start : start + 50]
+            words = [set(t.split()) for t in part]
+            self._learn(set().union(*words))
+            for at, (text, some) in enumerate(zip(part, words, strict=True), start):
+                telling = {EDGE.sub("", w): gain for w in some if (gain := self.words[w]) > 0}
+                for run in spaced_words(text):
+                    telling[run] = self._gain(pieces(run))
+                totals[at] = sum(sorted(telling.values(), reverse=True)[:WORST])
             self.words.trim()
-        return self.model.probability(out)
+        return self.model.probability(totals)
 
 
 def fit(
