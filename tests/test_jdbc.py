@@ -38,6 +38,10 @@ def test_reader_calls():
     options.return_value.option.assert_called_with("customSchema", "a int")
     read_jdbc_table(spark, {"url": "u"}, "dw", "t")
     assert options.call_args.kwargs == {"url": "u", "dbtable": "dw.t"}
+    read_jdbc_table(spark, {"url": "u"}, "dw", "t", Split("id", 0, 9, 3))
+    assert options.call_args.kwargs == {
+        "url": "u", "dbtable": "dw.t", "partitionColumn": "id", "lowerBound": "0", "upperBound": "9", "numPartitions": "3"
+    }
 
 
 def test_table_options(spark):

@@ -25,6 +25,14 @@ class Split:
     upper: object
     partitions: int
 
+    def options(self) -> dict[str, str]:
+        return {
+            "partitionColumn": self.column,
+            "lowerBound": str(self.lower),
+            "upperBound": str(self.upper),
+            "numPartitions": str(self.partitions),
+        }
+
 
 def query_options(query: str, filter_text: str = "", split: Split | None = None) -> dict[str, str]:
     """Reader options for a source query; the filter text carries its own leading space."""
@@ -35,10 +43,7 @@ def query_options(query: str, filter_text: str = "", split: Split | None = None)
     return {
         **options,
         "dbtable": f"({text}) q",
-        "partitionColumn": split.column,
-        "lowerBound": str(split.lower),
-        "upperBound": str(split.upper),
-        "numPartitions": str(split.partitions),
+        **split.options(),
     }
 
 
@@ -58,9 +63,15 @@ def extract_query(
     return (reader.option("customSchema", custom_schema) if custom_schema else reader).load()
 
 
-def read_jdbc_table(spark: SparkSession, connection: Mapping[str, str], schema: str, table: str) -> DataFrame:
-    """A warehouse table; filters and columns are pushed down to it."""
-    return spark.read.format("jdbc").options(**connection, dbtable=f"{schema}.{table}").load()
+def read_jdbc_table(
+    spark: SparkSession, connection: Mapping[str, str], schema: str, table: str, split: Split | None = None
+) -> DataFrame:
+    """A warehouse table; filters and columns are pushed down to it.
+
+    Without ``split`` one task reads it all; give one for anything large.
+    """
+    ranges = split.options() if split else {}
+    return spark.read.format("jdbc").options(**connection, dbtable=f"{schema}.{table}", **ranges).load()
 
 
 def table_options(
