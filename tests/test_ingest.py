@@ -227,6 +227,28 @@ def test_work_list_run_records_every_result(spark, lake):
     assert [r.asDict() for r in kept] == [{c: ROW[c] for c in others}]
 
 
+def test_a_run_that_was_cut_off_is_recorded_by_the_next(spark, lake):
+    control, calls = f"{lake}/control", []
+    rows = [
+        {**ROW, "RowKey": name, "TableName": name, "Zone": "trusted", "JobStatus": "1", "JobExecution": 0}
+        for name in ("a", "b")
+    ]
+    spark.createDataFrame(rows).write.parquet(control)
+
+    def cut(row):
+        calls.append(row["RowKey"])
+        if len(calls) == 2:
+            raise KeyboardInterrupt
+
+    with pytest.raises(KeyboardInterrupt):
+        loads.run_work_list(spark, control, "trusted", cut, run_date="2022-01-01")
+    status = lambda: {r["RowKey"]: (r["JobExecution"], r["UpdatedDate"]) for r in spark.read.parquet(control).collect()}
+    assert {n for n, _ in status().values()} == {0}
+    loads.run_work_list(spark, control, "refined", lambda row: None)
+    assert status() == {calls[0]: (1, "2022-01-01"), calls[1]: (0, ROW["UpdatedDate"])}
+    assert not files.exists(spark, control + loads.RUN_SUFFIX)
+
+
 def test_empty_delivery_directory(spark, lake_):
     lake_.land("001", (1, "2020-01-01", "a"))
     spark.createDataFrame([], "k int, d date, v string").write.parquet(f"{lake_.raw}/002_t.parquet")
