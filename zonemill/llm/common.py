@@ -16,6 +16,7 @@ from zonemill.session import work_dir
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 # Bytes and rows of one Arrow batch, so that a worker's memory does not follow text length.
 BATCH_BYTES, BATCH_ROWS = "16m", "2000"
+SAMPLE_PARTS = 64
 
 
 def prepare(spark: SparkSession) -> None:
@@ -44,13 +45,17 @@ def remainder(id_col: str, divisor: int) -> Column:
 def sampled_rows(df: DataFrame, id_col: str, by: str, rows: int) -> DataFrame:
     """At most ``rows`` ids of each value of ``by``, chosen by a hash of the id.
 
-    Every task keeps ``rows`` of a value before the shuffle. The bound is the caller's
-    documented training parameter.
+    Ranked first within ``SAMPLE_PARTS`` parts of each value, then among the parts' first
+    rows, so that no task holds more than that many times ``rows``, however large a value
+    is. The bound is the caller's documented training parameter.
     """
     draw = F.xxhash64(F.lit("training"), F.col(id_col).cast("string"))
-    order = Window.partitionBy(by).orderBy(draw, id_col)
-    ranked = df.select(id_col, by).withColumn("_rank", F.row_number().over(order))
-    return ranked.filter(F.col("_rank") <= rows).drop("_rank")
+    part = F.pmod(draw, F.lit(SAMPLE_PARTS))
+    chosen = df.select(id_col, by).withColumns({"_draw": draw, "_part": part})
+    for groups in ([by, "_part"], [by]):
+        order = Window.partitionBy(*groups).orderBy("_draw", id_col)
+        chosen = chosen.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= rows).drop("_rank")
+    return chosen.select(id_col, by)
 
 
 def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, rows: int) -> list[tuple]:
