@@ -51,6 +51,28 @@ def test_gaps_and_inserted_characters(toxic_model):
     assert sentence == "You stupid idiot here"
 
 
+def test_insults_cut_by_spaces(toxic_model):
+    bad = ["the mo ron of id iot and stu pid with wor thless", "an i  d  i  o  t and s \t t u  p  i  d of t  r a s h",
+           "it is i d i o t of it, s tu p id as tr a sh is", "id. iot, mo-ron, stu pid; wor th less"]
+    good = ["the on and er in of to at it is", "a b c d e f", "un it io to of or on mo"]
+    scorer = toxicity.TextScorer(toxic_model)
+    assert (scorer.scores(bad) >= 0.5).all() and (scorer.scores(good) < 0.5).all()
+
+
+@pytest.mark.parametrize("block", [3, 20_000])
+def test_windows_have_the_values_of_the_joined_words(monkeypatch, block):
+    monkeypatch.setattr(toxicity, "BLOCK", block)
+    weights = toxicity.np.random.default_rng(1).normal(size=toxicity.SIZE**toxicity.ORDER)
+    model, seen = toxicity.ToxicModel(weights, 0.3), set()
+    words, owner = toxicity.word_rows(["i d io t the mo ron", "a b", "", "...", "q", "éß 0 x of idiots", "to " * 20])
+    for first, many, values in model.window_scores(words, owner):
+        joined = ["".join(words[a : a + n]) for a, n in zip(first, many, strict=True)]
+        assert abs(values - model.span_scores(joined)).max() < 1e-9
+        seen |= set(zip(first.tolist(), many.tolist(), strict=True))
+    assert {(0, 2), (0, 4), (4, 3), (5, 2), (7, 2)} <= seen and not {(0, 5), (6, 2), (8, 2), (9, 2)} & seen
+    assert max(n for _, n in seen) == toxicity.PIECES
+
+
 def test_folded_weights_equal_kernels_with_every_landmark():
     landmarks = ["idiot", "stupid", "the", "onre"]
     row, table = toxicity.landmark_table(landmarks)

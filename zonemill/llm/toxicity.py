@@ -5,12 +5,15 @@ occurrence weighs ``DECAY`` to the power of its length, gaps included, and reach
 most ``REACH`` characters, so a span with inserted or missing characters stays close to the
 plain one. Digits and signs written for letters count as these.
 
-A span is a word of a sentence with its ends marked, the word with inner punctuation left
-out, or a run of single spaced characters read as one word. A sentence is as toxic as its
-worst span, and a text as its worst sentence. Training is multiple-instance: only texts are
-labelled, so the span that the current model finds worst in a toxic text stands for its
-toxic sentence, and every span of a clean text is clean. Copies with inserted characters are
-added to the toxic spans.
+A span is a word with its ends marked, the word with inner punctuation left out, or a window:
+neighbouring words read as one, up to ``JOINED`` of any length and up to ``PIECES`` of at most
+``SHORT`` letters, with any white space or punctuation between them. Each span tells a gain,
+and a text scores the sum of its ``WORST`` worst spans that share no word, wherever they
+stand, each counted once. Training is multiple-instance: only texts are labelled, so the spans
+that the current model finds worst in a toxic text stand for it, and every span of a clean
+text is clean. Copies with inserted characters are added to the toxic spans. What a window
+tells compares toxic words with the windows of clean texts, as words are joined by chance
+there.
 
 The machine is trained on Nyström features of ``LANDMARKS`` landmark spans. Its decision is
 linear in the kernel, so it folds into one weight per subsequence, and scoring looks these
@@ -46,7 +49,9 @@ CLEAN = 4.0
 ORDER, REACH, DECAY = 3, 6, 0.5
 SIZE = 64
 LONGEST = 48
-SPACED = re.compile(r"(?<!\S)\S(?:\s\S){2,}(?!\S)")
+JOINED, PIECES, SHORT = 3, 16, 2
+# Words whose windows are read at once.
+BLOCK = 20_000
 SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)")
 EDGE = re.compile(r"^\W+|\W+$")
 INNER = re.compile(r"[\W_]+")
@@ -81,9 +86,10 @@ def pieces(word: str) -> list[str]:
     return [s[i : i + LONGEST] for s in found for i in range(0, max(1, len(s) - step), step)]
 
 
-def spaced_words(text: str) -> list[str]:
-    """Runs of single characters with spaces between, joined."""
-    return ["".join(m.group().split()) for m in SPACED.finditer(text)]
+def word_rows(texts: list[str]) -> tuple[list[str], np.ndarray]:
+    """The words of all texts without punctuation, and the number of the text of each."""
+    rows = [[w for w in (INNER.sub("", w) for w in t.split()) if w] for t in texts]
+    return [w for row in rows for w in row], np.repeat(np.arange(len(rows)), [len(row) for row in rows])
 
 
 def subsequences(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -102,6 +108,21 @@ def subsequences(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(parts, axis=1), weight / max(np.linalg.norm(weight), 1e-9)
 
 
+def _windows(sizes: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First word and number of words of every window within one text."""
+    long = np.r_[0, np.cumsum(sizes > SHORT)]
+    first, many = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    at = np.arange(len(sizes))
+    for number in range(2, PIECES + 1):
+        at = at[at + number <= len(sizes)]
+        at = at[owner[at] == owner[at + number - 1]]
+        if number > JOINED:
+            at = at[long[at + number] == long[at]]
+        first.append(at)
+        many.append(np.full(len(at), number))
+    return np.concatenate(first), np.concatenate(many)
+
+
 def by_length(spans: list[str]) -> Iterator[tuple[list[int], list[str]]]:
     """Spans grouped by length, with their places, in parts of bounded size."""
     groups: dict[int, list[int]] = {}
@@ -142,6 +163,7 @@ class ToxicModel:
     """Weight per subsequence and the intercept; what a span's value tells; the text's calibration.
 
     ``gains`` are log likelihood ratios of toxic to clean texts at the decision values ``marks``.
+    Repeats of spans up to ``sure`` do not count.
     """
 
     weights: np.ndarray
@@ -150,6 +172,9 @@ class ToxicModel:
     middle: float = 0.0
     marks: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
     gains: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
+    window_gains: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
+    spelled_gains: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
+    sure: float = np.inf
 
     def span_scores(self, spans: list[str]) -> np.ndarray:
         """Decision values of the machine."""
@@ -162,15 +187,59 @@ class ToxicModel:
     def span_gains(self, spans: list[str]) -> np.ndarray:
         return np.interp(self.span_scores(spans), self.marks, self.gains)
 
+    def window_scores(self, words: list[str], owner: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """First words, numbers of words and decision values of all windows, in blocks.
+
+        The values are those of :meth:`span_scores` for the joined words, by sums over all
+        subsequences that begin before a place.
+        """
+        for start in range(0, len(words), BLOCK):
+            some = words[start : start + BLOCK + PIECES - 1]
+            sizes = np.fromiter(map(len, some), dtype=np.int64, count=len(some))
+            first, many = _windows(sizes, owner[start : start + len(some)])
+            first, many = first[own := first < BLOCK], many[own]
+            if len(first):
+                yield first + start, many, self._joined("".join(some), sizes, first, many)
+
+    def _joined(self, text: str, sizes: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
+        codes = folded([text])[0, 1:-1]
+        after = np.r_[codes, np.zeros(REACH, dtype=np.int32)]
+        ends = np.cumsum(sizes)
+        starts = ends - sizes
+        begin, end = starts[first], ends[first + many - 1]
+        length = end - begin
+        total, squares = np.zeros(len(first)), np.zeros(len(first))
+        head, tail = np.zeros((REACH + 1, len(sizes))), np.zeros((REACH + 1, len(sizes)))
+        for two in range(2, REACH + 1):
+            decay = DECAY ** (two - ORDER + 1)
+            inner = np.zeros(len(codes))
+            back = np.maximum(ends - two, 0)
+            for one in range(1, two):
+                inner += self.weights[(codes * SIZE + after[one : one + len(codes)]) * SIZE + after[two : two + len(codes)]]
+                # The mark before the first character is 1, the one after the last is 2.
+                head[two] += self.weights[(SIZE + after[starts + one - 1]) * SIZE + after[starts + two - 1]]
+                tail[two] += self.weights[(codes[back] * SIZE + after[back + one]) * SIZE + 2]
+            sums = np.r_[0.0, np.cumsum(inner)]
+            total += decay * (sums[np.maximum(end - two, begin)] - sums[begin])
+            head[two] = head[two - 1] + decay * head[two]
+            tail[two] = tail[two - 1] + decay * tail[two]
+            squares += np.maximum(length + 2 - two, 0) * (two - 1) * decay**2
+        reach = np.minimum(length, REACH)
+        total += head[reach, first] + tail[reach, first + many - 1]
+        few = np.nonzero(length < REACH)[0]
+        for one in range(REACH - 1):
+            few = few[length[few] > one]
+            total[few] += DECAY ** (length[few] + 2.0 - ORDER) * self.weights[(SIZE + codes[begin[few] + one]) * SIZE + 2]
+        return self.bias + total / np.maximum(np.sqrt(squares), 1e-9)
+
     def probability(self, totals: np.ndarray) -> np.ndarray:
         """Of texts, from the sums of the gains of their ``WORST`` worst spans."""
         return 1 / (1 + np.exp(-np.clip(self.slope * (totals - self.middle), -30, 30)))
 
 
 def text_spans(text: str) -> set[str]:
-    """The distinct spans of all sentences of a text."""
-    low = text.lower()
-    return {s for word in {*low.split(), *spaced_words(low)} for s in pieces(word)}
+    """The distinct spans of the words of a text."""
+    return {s for word in set(text.lower().split()) for s in pieces(word)}
 
 
 def sentences(text: str) -> list[str]:
@@ -206,9 +275,10 @@ def _noisy(span: str, random: np.random.Generator) -> str:
 
 def train(texts: list[str], toxic: list[int], seed: int = 7) -> ToxicModel | None:
     """The machine from labelled texts; ``None`` without texts of both classes."""
-    bags = [sorted(text_spans(t or "")) for t in texts]
-    bad = [b for b, label in zip(bags, toxic, strict=True) if label == 1 and b]
-    good = [b for b, label in zip(bags, toxic, strict=True) if label == 0 and b]
+    low = [(t or "").lower() for t in texts]
+    bags = [sorted(text_spans(t)) for t in low]
+    bad = [(b, t) for b, t, label in zip(bags, low, toxic, strict=True) if label == 1 and b]
+    good = [(b, t) for b, t, label in zip(bags, low, toxic, strict=True) if label == 0 and b]
     if not bad or not good:
         return None
     # A quarter of the texts is set apart for the calibration, if that is enough of them.
@@ -216,6 +286,8 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> ToxicModel | Non
     if min(len(bad), len(good)) >= 60:
         apart_bad, apart_good = bad[::4], good[::4]
         bad, good = ([b for i, b in enumerate(bs) if i % 4] for bs in (bad, good))
+    rows_bad, rows_good = word_rows([t for _, t in bad]), word_rows([t for _, t in good])
+    bad, good = [b for b, _ in bad], [b for b, _ in good]
     random = np.random.default_rng(seed)
     in_bad, in_good = Counter(s for b in bad for s in b), Counter(s for b in good for s in b)
     # First witnesses: parts of words that far more toxic texts than clean ones hold.
@@ -233,10 +305,13 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> ToxicModel | Non
     known = {s: evidence(s) for s in in_bad}
     clean = sorted(in_good)
     clean_sample = [clean[i] for i in random.permutation(len(clean))[:12_000]]
+    clean_sample += _joined_sample(rows_good, random, 4000)
     # A toxic text without a telling span teaches nothing yet.
     best = [max(b, key=lambda s: (known[s], s)) for b in bad]
     sure = min(SURE, max(known[s] for s in best))
-    witness = {s for s in best if known[s] >= sure}
+    # Spans that many toxic texts and no clean one hold stay, also beside worse ones.
+    firm = {s for s in known if not in_good[s] and excess(s) >= sure}
+    witness = {s for s in best if known[s] >= sure} | firm
     model = None
     for turn in range(4):
         found = Counter({s: in_bad[s] for s in witness})
@@ -264,36 +339,75 @@ def train(texts: list[str], toxic: list[int], seed: int = 7) -> ToxicModel | Non
         ranked = dict(zip(known, model.span_scores(list(known)), strict=True))
         usual = dict(zip(clean, scores, strict=True))
         limit = np.quantile([max(map(usual.__getitem__, b)) for b in good], 0.95)
-        witness = set()
+        witness = set(firm)
         for b in bad:
             top = sorted(b, key=ranked.__getitem__, reverse=True)[:3]
             witness.update(s for i, s in enumerate(top) if ranked[s] > max(limit, 0.5 * i) and not in_good[s])
+        joined, usual_windows = _worst_windows(model, *rows_good, len(good), 4000)
+        clean_sample = sorted(set(clean_sample) | set(joined))
+        # A window names a toxic text only where it is worse than all of the text's words.
+        worst = [max(map(ranked.__getitem__, b)) for b in bad]
+        limit = max(limit, np.quantile(usual_windows, 0.95))
+        of_text, values = _worst_windows(model, *rows_bad, len(bad), 0)
+        shared = in_good.keys() | set(joined)
+        witness.update(w for w, v, least in zip(of_text, values, worst, strict=True) if v > max(limit, least) and w not in shared)
         if not witness:
             break
     _calibrate(model, apart_bad, apart_good)
     return model
 
 
-def _calibrate(model: ToxicModel, bad: list[list[str]], good: list[list[str]]) -> None:
+def _joined_sample(rows: tuple[list[str], np.ndarray], random: np.random.Generator, number: int) -> list[str]:
+    """Joined words of random windows."""
+    words, owner = rows
+    first, many = _windows(np.array([len(w) for w in words], dtype=np.int64), owner)
+    some = random.permutation(len(first))[:number]
+    return sorted({"".join(words[first[i] : first[i] + many[i]]) for i in some})
+
+
+def _worst_windows(
+    model: ToxicModel, words: list[str], owner: np.ndarray, texts: int, number: int
+) -> tuple[list[str], np.ndarray]:
+    """The joined words of the ``number`` worst windows of all texts, or for 0 of the worst one of
+    each text, and the worst value of each."""
+    most, best = np.full(texts, -np.inf), [""] * texts
+    held: list[tuple[float, str]] = []
+    for first, many, values in model.window_scores(words, owner):
+        order = np.argsort(-values, kind="stable")
+        if number:
+            held += [(values[i], "".join(words[first[i] : first[i] + many[i]])) for i in order[:number]]
+            held = sorted(held, reverse=True)[:number]
+        texts_of, at = np.unique(owner[first[order]], return_index=True)
+        for text, i in zip(texts_of, order[at], strict=True):
+            if values[i] > most[text]:
+                most[text], best[text] = values[i], "".join(words[first[i] : first[i] + many[i]])
+    return ([w for _, w in held] if number else best), most
+
+
+def _calibrate(model: ToxicModel, bad: list[tuple[list[str], str]], good: list[tuple[list[str], str]]) -> None:
     """What values of spans tell, by how often toxic and clean texts hold such spans; then the cut between texts."""
-    spans = sorted({s for b in (*bad, *good) for s in b})
+    spans = sorted({s for b, _ in (*bad, *good) for s in b})
     value = dict(zip(spans, model.span_scores(spans), strict=True))
-    of_bad, of_good = (np.sort([value[s] for b in bags for s in b]) for bags in (bad, good))
+    of_bad, of_good = (np.sort([value[s] for b, _ in bags for s in b]) for bags in (bad, good))
     marks = np.arange(-1.0, 1.65, 0.05)
 
     def rate(values: np.ndarray, texts: int) -> np.ndarray:
         near = np.searchsorted(values, marks + 0.15) - np.searchsorted(values, marks - 0.15)
         return (near + 0.5) / (texts + 1)
 
-    gains = np.log(rate(of_bad, len(bad))) - np.log(rate(of_good, len(good)))
-    gains[marks + 0.15 > max(of_bad[-1], of_good[-1])] = -np.inf
-    model.marks, model.gains = marks, np.maximum(np.maximum.accumulate(gains), 0.0)
-    gain = dict(zip(spans, np.interp([value[s] for s in spans], model.marks, model.gains), strict=True))
-
-    def totals(bags: list[list[str]]) -> np.ndarray:
-        return np.array([sum(sorted((gain[s] for s in b), reverse=True)[:WORST]) for b in bags])
+    def told(of_good: np.ndarray) -> np.ndarray:
+        gains = np.log(rate(of_bad, len(bad))) - np.log(rate(of_good, len(good)))
+        gains[marks + 0.15 > max(of_bad[-1], of_good[-1])] = -np.inf
+        return np.maximum(np.maximum.accumulate(gains), 0.0)
 
-    model.middle, model.slope = _cut(totals(bad), totals(good))
+    model.marks, model.gains = marks, told(of_good)
+    scorer = TextScorer(model)
+    joined = scorer.worse_windows([t for _, t in good], marks[0])
+    # Single letters are rarer in clean texts than words that happen to make another.
+    for name, of_windows in (("window_gains", joined[0]), ("spelled_gains", joined[1])):
+        setattr(model, name, np.minimum(model.gains, told(np.sort(np.r_[of_good, of_windows]))))
+    scorer = TextScorer(model)
+    model.middle, model.slope = _cut(*(scorer.totals([t for _, t in bags]) for bags in (bad, good)))
 
 
 def _cut(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
@@ -309,41 +423,96 @@ def _cut(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
 
 
 class TextScorer:
-    """Scores of texts, with a bounded cache of what words tell."""
+    """Scores of texts, with a bounded cache of the value of a word's worst span and its bare form."""
 
     def __init__(self, model: ToxicModel):
         self.model = model
-        self.words = WordCache(lambda word: self._gain(pieces(word)))
+        self.words = WordCache(lambda word: (self._values([word])[0], INNER.sub("", word)))
+        # The least values that tell anything, of windows of words and of single characters.
+        before = np.r_[-np.inf, model.marks]
+        telling = [np.nonzero(gains)[0] for gains in (model.window_gains, model.spelled_gains)]
+        self.least = tuple(float(before[t[0]]) if len(t) else np.inf for t in telling)
 
-    def _gain(self, spans: list[str]) -> float:
-        return float(self.model.span_gains(spans).max()) if spans else 0.0
-
-    def _learn(self, words: set[str]) -> None:
-        new = [w for w in words if w not in self.words and w not in self.words.old]
+    def _values(self, words: list[str]) -> list[float]:
         spans, owner = [], []
-        for at, word in enumerate(new):
+        for at, word in enumerate(words):
             for span in pieces(word):
                 spans.append(span)
                 owner.append(at)
-        most = np.zeros(len(new))
+        most = np.full(len(words), -np.inf)
         if spans:
-            np.maximum.at(most, owner, self.model.span_gains(spans))
-        self.words.update(zip(new, most.tolist(), strict=True))  # bounded by the words of 50 texts
+            np.maximum.at(most, owner, self.model.span_scores(spans))
+        return most.tolist()
+
+    def _rows(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The bare words of the texts, their texts and the values of their worst spans."""
+        rows = [t.split() for t in texts]
+        new = [w for w in set().union(*rows) if w not in self.words and w not in self.words.old]
+        # Bounded by the words of 50 texts.
+        self.words.update((w, (value, INNER.sub("", w))) for w, value in zip(new, self._values(new), strict=True))
+        known = [[e for e in map(self.words.__getitem__, row) if e[1]] for row in rows]
+        self.words.trim()
+        values, bare = zip(*(e for row in known for e in row), strict=True) if any(known) else ((), ())
+        return list(bare), np.repeat(np.arange(len(rows)), [len(row) for row in known]), np.array(values)
+
+    def _worse(
+        self, words: list[str], owner: np.ndarray, of_words: np.ndarray, least: tuple[float, float]
+    ) -> Iterator[tuple[int, int, float, bool]]:
+        """First word, number of words and value of each window above ``least`` that is worse
+        than each of its words, and whether it is spelled in single characters."""
+        single = np.r_[0, np.cumsum(np.fromiter((len(w) == 1 for w in words), dtype=np.int64, count=len(words)))]
+        for first, many, values in self.model.window_scores(words, owner):
+            spelled = single[first + many] - single[first] == many
+            hot = values > np.maximum(np.where(spelled, least[1], least[0]), np.maximum(of_words[first], of_words[first + 1]))
+            for at, number, value, one in zip(*(x[hot].tolist() for x in (first, many, values, spelled)), strict=True):
+                if number == 2 or value > of_words[at + 2 : at + number].max():
+                    yield at, number, value, one
+
+    def worse_windows(self, texts: list[str], least: float) -> tuple[list[float], list[float]]:
+        """The values of all such windows: of words, and of single characters."""
+        found: tuple[list[float], list[float]] = [], []
+        for start in range(0, len(texts), 50):
+            for _, _, value, spelled in self._worse(*self._rows(texts[start : start + 50]), (least, least)):
+                found[spelled].append(value)
+        return found
+
+    def _telling(self, texts: list[str]) -> list[list[tuple[float, int, int, str]]]:
+        """Gain, first word, number of words and, if repeats do not count, name of each telling span."""
+        model, found = self.model, [[] for _ in texts]
+        words, owner, of_words = self._rows(texts)
+        gains = np.interp(of_words, model.marks, model.gains)
+        for at in np.nonzero(gains)[0].tolist():
+            name = "" if of_words[at] > model.sure else words[at]
+            found[owner[at]].append((float(gains[at]), at, 1, name))
+        for at, number, value, spelled in self._worse(words, owner, of_words, self.least):
+            gain = float(np.interp(value, model.marks, model.spelled_gains if spelled else model.window_gains))
+            if gain > 0:
+                name = "" if value > model.sure else "".join(words[at : at + number])
+                found[owner[at]].append((gain, at, number, name))
+        return found
+
+    def totals(self, texts: list[str]) -> np.ndarray:
+        """Of lower-case texts, the sums of the gains of their ``WORST`` worst spans that share no word."""
+        totals = np.zeros(len(texts))
+        for start in range(0, len(texts), 50):
+            for at, found in enumerate(self._telling(texts[start : start + 50]), start):
+                used: set[int] = set()
+                names: set[str] = set()
+                left = WORST
+                for gain, first, number, name in sorted(found, key=lambda x: (-x[0], x[2], x[1])):
+                    span = range(first, first + number)
+                    if name not in names and used.isdisjoint(span):
+                        used.update(span)
+                        if name:
+                            names.add(name)
+                        totals[at] += gain
+                        left -= 1
+                        if not left:
+                            break
+        return totals
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        low = [(t or "").lower() for t in texts]
-        totals = np.empty(len(texts))
-        for start in range(0, len(texts), 50):
-            part = low[start : start + 50]
-            words = [set(t.split()) for t in part]
-            self._learn(set().union(*words))
-            for at, (text, some) in enumerate(zip(part, words, strict=True), start):
-                telling = {EDGE.sub("", w): gain for w in some if (gain := self.words[w]) > 0}
-                for run in spaced_words(text):
-                    telling[run] = self._gain(pieces(run))
-                totals[at] = sum(sorted(telling.values(), reverse=True)[:WORST])
-            self.words.trim()
-        return self.model.probability(totals)
+        return self.model.probability(self.totals([(t or "").lower() for t in texts]))
 
 
 def fit(
