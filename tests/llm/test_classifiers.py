@@ -51,6 +51,13 @@ def test_gaps_and_inserted_characters(toxic_model):
     assert sentence == "You stupid idiot here"
 
 
+def test_repeats_of_one_insult_count(toxic_model):
+    scorer = toxicity.TextScorer(toxic_model)
+    insults = ["idiot", "stupid", "trash", "worthless", "scum", "moron"]
+    assert (scorer.scores([f"the {w} of a {w}, {w} and again {w}, that {w}" for w in insults]) >= 0.5).all()
+    assert (scorer.scores([f"the {w} of" for w in insults]) < 0.5).all()
+
+
 def test_insults_cut_by_spaces(toxic_model):
     bad = ["the mo ron of id iot and stu pid with wor thless", "an i  d  i  o  t and s \t t u  p  i  d of t  r a s h",
            "it is i d i o t of it, s tu p id as tr a sh is", "id. iot, mo-ron, stu pid; wor th less"]

@@ -9,11 +9,13 @@ A span is a word with its ends marked, the word with inner punctuation left out,
 neighbouring words read as one, up to ``JOINED`` of any length and up to ``PIECES`` of at most
 ``SHORT`` letters, with any white space or punctuation between them. Each span tells a gain,
 and a text scores the sum of its ``WORST`` worst spans that share no word, wherever they
-stand, each counted once. Training is multiple-instance: only texts are labelled, so the spans
-that the current model finds worst in a toxic text stand for it, and every span of a clean
-text is clean. Copies with inserted characters are added to the toxic spans. What a window
-tells compares toxic words with the windows of clean texts, as words are joined by chance
-there.
+stand, with repeats of sure ones counted: a text that says one insult often is as toxic as one
+that says several. Repeats of mild spans, which clean texts hold too, do not count, since they
+come with the length of a text. Training is multiple-instance: only texts are labelled, so the
+spans that the current model finds worst in a toxic text stand for it, and every span of a
+clean text is clean. Copies with inserted characters are added to the toxic spans. What a
+window tells compares toxic words with the windows of clean texts, as words are joined by
+chance there.
 
 The machine is trained on Nyström features of ``LANDMARKS`` landmark spans. Its decision is
 linear in the kernel, so it folds into one weight per subsequence, and scoring looks these
@@ -163,7 +165,7 @@ class ToxicModel:
     """Weight per subsequence and the intercept; what a span's value tells; the text's calibration.
 
     ``gains`` are log likelihood ratios of toxic to clean texts at the decision values ``marks``.
-    Repeats of spans up to ``sure`` do not count.
+    Repeats of spans above ``sure`` count: those of milder ones come with the length of a text.
     """
 
     weights: np.ndarray
@@ -174,7 +176,7 @@ class ToxicModel:
     gains: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
     window_gains: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
     spelled_gains: np.ndarray = field(default_factory=lambda: np.array([0.0, 1.0]))
-    sure: float = np.inf
+    sure: float = -np.inf
 
     def span_scores(self, spans: list[str]) -> np.ndarray:
         """Decision values of the machine."""
@@ -401,6 +403,7 @@ def _calibrate(model: ToxicModel, bad: list[tuple[list[str], str]], good: list[t
         return np.maximum(np.maximum.accumulate(gains), 0.0)
 
     model.marks, model.gains = marks, told(of_good)
+    model.sure = float(np.quantile([max(map(value.__getitem__, b)) for b, _ in good], 0.95))
     scorer = TextScorer(model)
     joined = scorer.worse_windows([t for _, t in good], marks[0])
     # Single letters are rarer in clean texts than words that happen to make another.
