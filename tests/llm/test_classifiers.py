@@ -51,6 +51,16 @@ def test_gaps_and_inserted_characters(toxic_model):
     assert sentence == "You stupid idiot here"
 
 
+def test_dictionaries_see_whole_texts(monkeypatch):
+    given = []
+    learn = quality.zstandard.train_dictionary
+    monkeypatch.setattr(quality.zstandard, "train_dictionary", lambda room, parts: given.append(b"".join(parts)) or learn(room, parts))
+    words = [f"w{i * 7919 % 3000}" for i in range(3000)]
+    texts = [f"{' '.join(words[i:] + words[:i])} end{i}" for i in range(0, 400, 10)]
+    assert quality.train(texts, [i % 2 for i in range(40)])
+    assert all(f"end{i * 10}".encode() in b"".join(given) for i in range(40) if i % 4 < 2)
+
+
 def test_repeats_of_one_insult_count(toxic_model):
     scorer = toxicity.TextScorer(toxic_model)
     insults = ["idiot", "stupid", "trash", "worthless", "scum", "moron"]

@@ -8,7 +8,7 @@ labelled texts that the dictionaries have not seen. A plain compression, without
 dictionary, is the scale for a text's own repetition.
 
 Training reads at most ``SAMPLE_TEXTS`` labelled texts of each class (a documented bound):
-half for the dictionaries, half for the curve. Every text is scored whole, in every chunk.
+half for the dictionaries, which see every chunk of them, half for the curve. Every text is scored whole, in every chunk.
 Defined cases: NULL counts as the empty text, which has a score like any other; labels
 other than 0 and 1 are not used; without labelled texts of both classes, or with too few
 for a dictionary, every score is 1, so that nothing is rejected; repeated rows are scored
@@ -28,7 +28,7 @@ from zonemill.llm.common import add_columns, labelled_texts
 
 SAMPLE_TEXTS = 1600
 CHUNKS = (256, 1024)
-DICTIONARY_BYTES, CHUNKS_OF_TEXT, LEVEL = 65536, 6, 3
+DICTIONARY_BYTES, LEVEL = 65536, 3
 PLAIN = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
 
 
@@ -97,7 +97,7 @@ def train(texts: list[str | None], quality: list[int]) -> QualityModel | None:
     for size in CHUNKS:
         pieces = {}
         for label in (0, 1):
-            parts = [chunks(t.encode(), size)[:CHUNKS_OF_TEXT] for t in halves[label][0]]
+            parts = [chunks(t.encode(), size) for t in halves[label][0]]
             pieces[label] = [p for ps in parts for p in ps if p]
         # A dictionary must be much smaller than its samples.
         room = min(DICTIONARY_BYTES, min(sum(map(len, p)) for p in pieces.values()) // 8)
