@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from zonemill.llm.mixing import mix
+from zonemill.llm.queries import MIX_POWERS, topic
 
 SCHEMA = "doc_id long, source string, lang string, text string, kept string"
 
@@ -47,3 +48,15 @@ def test_nulls_empty_texts_and_missing_targets(spark):
     kept = {r["doc_id"] for r in mix(docs(spark, rows), targets=only, keep_share=0.3).filter("kept").collect()}
     assert kept <= {0, 1, 2} and {3, 4}.isdisjoint(kept)
     assert mix(docs(spark, []), {"source": 0.5}).count() == 0
+
+
+def test_weighted_marginals_at_the_registered_parameters(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").withColumn("topic", topic(F.col("text")))
+    mixed = mix(given.withColumn("w", F.lit("old")), MIX_POWERS, weight="w").select(*MIX_POWERS, "tokens", "probability", "w").cache()
+    total = mixed.agg(F.sum("tokens")).first()[0]
+    for column, power in MIX_POWERS.items():
+        kept = F.col("tokens") * F.col("probability")
+        rows = mixed.groupBy(column).agg(F.sum("tokens").alias("t"), F.sum(kept).alias("k"), F.sum(kept * F.col("w")).alias("w")).collect()
+        goal = sum(r["t"] ** power for r in rows)
+        assert [r["w"] / (0.9 * total) for r in rows] == pytest.approx([r["t"] ** power / goal for r in rows], rel=0.01)
+        assert sum(r["k"] for r in rows) == pytest.approx(0.9 * total) == pytest.approx(sum(r["w"] for r in rows))

@@ -8,11 +8,16 @@ held)`` with the scale that makes the expected sum of kept tokens the asked shar
 tokens, in closed form over the cells. A document is kept if a hash of its id, as a number
 in [0, 1), is below its cell's probability, so a repeated run or task keeps the same rows.
 
+Where many tokens are kept, probabilities of wanted cells end at 1 and the kept tokens alone
+fall short of the targets. The ``weight`` of a document, ``keep_share * wanted / (held *
+probability)``, makes up for it: the expected kept tokens times weights have the raked shares
+for every ``keep_share``, and in total ``keep_share`` of all tokens.
+
 Cells are as many as there are combinations of values, not documents. They are joined by
 broadcast only where their counted number is below ``BROADCAST_CELLS``, else by a shuffle.
 
 Defined cases: NULL values of a mixed column are one value of their own; NULL and empty
-texts count no token and are kept, unless a target is 0; a value without a target has target
+texts count no token and are drawn with their cell, or kept where it holds no token; a value without a target has target
 0 and its documents go; targets need not sum to 1; repeated rows count and are drawn alike;
 an empty table gives an empty result; other columns are kept, and clashing ones replaced.
 """
@@ -60,7 +65,7 @@ def raked(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUN
 
 
 def calibrated(cells: DataFrame, columns: list[str], keep_share: float) -> DataFrame:
-    """``cells`` with ``probability`` such that the expected kept tokens are ``keep_share`` of all.
+    """``cells`` with ``probability`` such that the expected kept tokens are ``keep_share`` of all, and ``weight``.
 
     The expected sum is the least of the lines "the k cells most wanted for what they hold are
     kept whole, the others in proportion", so the scale is the greatest solution over k.
@@ -80,6 +85,8 @@ def calibrated(cells: DataFrame, columns: list[str], keep_share: float) -> DataF
     cells = cells.withColumn("_scale", F.max("_line").over(all_cells))
     chance = F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.col("_scale") * F.col("_rate")))
     cells = cells.withColumn("probability", chance)
+    lifted = F.when(F.col("probability") > 0, F.col("_rate") * F.lit(keep_share) / F.col("probability")).otherwise(0.0)
+    cells = cells.withColumn("weight", F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(lifted))
     return cells.drop("_all", "_sum", "_wanted", "_rate", "_line", "_scale")
 
 
@@ -97,19 +104,23 @@ def mix(
     tokens: Column | None = None,
     id_col: str = "doc_id",
     names: tuple[str, str, str] = ("tokens", "probability", "kept"),
+    weight: str | None = None,
 ) -> DataFrame:
     """Add ``tokens``, ``probability`` and ``kept``, or columns of other ``names``.
 
+    ``weight`` names a column for the weights with which kept tokens reach the targets.
+
     ``targets`` gives (value, target) of each mixed column; ``powers`` derives the targets
     of a column from the documents themselves (see :func:`flattened`).
     """
-    docs = docs.drop(*names)
+    docs = docs.drop(*names, *([weight] if weight else []))
     docs = docs.withColumn(names[0], text_tokens(F.col("text")) if tokens is None else tokens)
     columns = [*(powers or {}), *(targets or {})]
     cells = written(docs.groupBy(*columns).agg(F.sum(names[0]).alias("tokens")), "cells")
     wanted = {c: flattened(cells, c, p) for c, p in (powers or {}).items()} | dict(targets or {})
     cells = written(calibrated(raked(cells, wanted), columns, keep_share), "mix")
-    named = cells.select(*[F.col(c).alias(f"_cell{i}") for i, c in enumerate(columns)], F.col("probability").alias(names[1]))
+    added = [F.col("probability").alias(names[1]), *([F.col("weight").alias(weight)] if weight else [])]
+    named = cells.select(*[F.col(c).alias(f"_cell{i}") for i, c in enumerate(columns)], *added)
     if named.count() <= BROADCAST_CELLS:
         named = F.broadcast(named)
     same = [F.col(c).eqNullSafe(F.col(f"_cell{i}")) for i, c in enumerate(columns)]
