@@ -69,3 +69,10 @@ def test_decoding_is_the_best_of_all_labellings(field):
 
     every = [[(n >> i) & 1 for i in range(len(page))] for n in range(1 << len(page))]
     assert [int(k) for k in field.decode(page)] == max(every, key=score)
+
+
+@pytest.mark.parametrize("tag", ["svg", "select", "object", "canvas", "noscript", "template"])
+def test_unclosed_elements_hide_nothing(tag):
+    texts = lambda html: [b.text for b in leaf_blocks(html)]
+    assert texts(f"<p>one</p><{tag}><p>two</p><{tag} a=b><p>three</p>") == ["one", "two", "three"]
+    assert texts(f"<p>one</p><{tag}>gone</{tag}><p>two</p><script>x<p>three</p>") == ["one", "two"]

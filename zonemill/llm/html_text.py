@@ -43,6 +43,7 @@ BLOCKS = frozenset(
     "select summary table tbody td textarea tfoot th thead title tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+ENDLESS = frozenset("script style iframe textarea title".split())
 RAW = frozenset("script style noscript template iframe svg textarea title select object canvas".split())
 CLOSES_P = BLOCKS - frozenset("body html head option optgroup button".split())
 SIBLINGS = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option"}
@@ -114,6 +115,7 @@ def leaf_blocks(html: str) -> Iterator[Block]:
             if any(tag == "a" for tag, _ in stack):
                 linked += len(text.strip())
 
+    unclosed: set[str] = set()
     while True:
         match = TAG.search(html, at)
         if match is None:
@@ -130,8 +132,12 @@ def leaf_blocks(html: str) -> Iterator[Block]:
         if tag in RAW and not close:
             yield from flush() if tag in BLOCKS else ()
             if not attributes.endswith("/"):
-                end = re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
-                at = end.end() if end else len(html)
+                end = None if tag in unclosed else re.compile(rf"</{tag}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(html, at)
+                # Without an end tag only raw text hides the rest of the page.
+                if not end and tag not in ENDLESS:
+                    unclosed.add(tag)
+                else:
+                    at = end.end() if end else len(html)
             continue
         if tag == "br":
             say(" ")
