@@ -1,5 +1,7 @@
 import random
 
+import pytest
+
 from zonemill.llm import text_dups
 from zonemill.llm.text_dups import Shingles, near_duplicates
 
@@ -75,3 +77,8 @@ def test_shingles_of_fewer_words_than_one():
     of = Shingles().of
     assert len(of("a b c")) == 1 and len(of("a b c d e f")) == 2 and len(of("a a a a a a a")) == 1
     assert set(of("a b c").tolist()) != set(of("a b c d e").tolist())
+
+
+def test_similarities_that_the_trees_would_lose_are_refused(spark):
+    with pytest.raises(ValueError, match="at least 75"):
+        near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 50)

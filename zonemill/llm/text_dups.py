@@ -40,7 +40,7 @@ from zonemill.llm.components import connected_components, merged
 
 WORDS, TREES, DEPTH = 5, 32, 4
 HASHES = TREES * DEPTH
-SCREEN = 0.56
+SCREEN, LEAST = 0.56, 75
 WINDOW, OVERLAP, BLOCK = 64, 16, 256
 MARKS = "n_shingles long, h1 long, h2 long, keys array<long>, sketch binary"
 
@@ -244,7 +244,12 @@ def _confirm(size: int, percent: int):
 def near_duplicates(
     docs: DataFrame, percent: int = 75, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+
+    ``percent`` is at least ``LEAST``: trees, depth and screen would lose most links below it.
+    """
+    if percent < LEAST:
+        raise ValueError(f"percent must be at least {LEAST}, not {percent}")
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     marked = written(given.mapInArrow(_marked(words), f"doc_id long, {MARKS}"), "shingles")
     same = ["n_shingles", "h1", "h2"]
