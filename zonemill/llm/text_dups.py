@@ -14,8 +14,11 @@
    are the result.
 
 A pair at a similarity of 0.75 shares no key with probability (1 - 0.75**4)**32 < 1e-5 and
-falls below the screen with probability < 1e-6. There is no cap on candidates. A component of
-more than ``BLOCK`` different texts costs work that is quadratic in its number of different
+falls below the screen with probability < 1e-6. These bounds hold for regions of up to ``WINDOW``
+classes that one task reads. In a larger region a class is compared with those of its windows of
+``WINDOW`` in the order of the 16 values that follow; windows overlap by ``OVERLAP`` within a task,
+not where a region is cut between tasks. Pairs further apart there rely on other trees and on
+links through third texts, and their probability to be missed is not bounded here. A component of more than ``BLOCK`` different texts costs work that is quadratic in its number of different
 texts, spread over tasks; exact copies cost nothing.
 
 Defined cases: NULL texts and texts without a word have no shingles, link with nothing and
