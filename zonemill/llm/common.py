@@ -30,11 +30,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back, which cuts its lineage."""
-    path = work_dir(df.sparkSession, name)
+def table_at(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
+    return spark.read.schema(schema).parquet(path)
+
+
+def written_at(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to a path of the shared folder and read back, which cuts its lineage."""
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return table_at(df.sparkSession, path, df.schema)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh path of the shared folder and read back."""
+    return written_at(df, work_dir(df.sparkSession, name))
 
 
 def remainder(id_col: str, divisor: int) -> Column:

@@ -48,7 +48,40 @@ FROM docs d JOIN chosen c ON d.source IS NOT DISTINCT FROM c.source AND d.lang I
     )
 
 
+def clusters_sql(k: int, rounds: int) -> str:
+    """Assignment and update as a chain of queries; products of whole numbers are exact in doubles."""
+    parts = [
+        """kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS rid, vec_id, list_transform(embedding, lambda x : floor(1024 * x::DOUBLE)) AS p
+  FROM embeddings WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x : isfinite(x))) = 64)""",
+        "flat AS MATERIALIZED (SELECT rid, unnest(p)::BIGINT AS x, generate_subscripts(p, 1) AS place FROM kept)",
+        f"""start AS (SELECT row_number() OVER (ORDER BY h, vec_id) - 1 AS c, p AS q FROM (
+  SELECT vec_id, p, sha256('3:' || vec_id) AS h FROM kept ORDER BY h, vec_id LIMIT {k}))""",
+        "centre_0 AS MATERIALIZED (SELECT * FROM start)",
+    ]
+    for step in range(rounds + 1):
+        parts.append(
+            f"""near_{step} AS MATERIALIZED (SELECT rid, arg_min(c, d * {k} + c) AS c, min(d) AS d FROM (
+  SELECT rid, c, (list_dot_product(p, p) + list_dot_product(q, q) - 2 * list_dot_product(p, q))::BIGINT AS d
+  FROM kept, centre_{step}) GROUP BY rid)"""
+        )
+        if step < rounds:
+            parts.append(
+                f"""centre_{step + 1} AS MATERIALIZED (SELECT c, coalesce(m.q, o.q) AS q FROM centre_{step} o LEFT JOIN (
+  SELECT c, list(((s - ((s % n) + n) % n) // n)::DOUBLE ORDER BY place) AS q FROM (
+    SELECT c, place, sum(x)::BIGINT AS s, count(*) AS n FROM near_{step} JOIN flat USING (rid) GROUP BY c, place) GROUP BY c) m USING (c))"""
+            )
+    return (
+        "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, c::INT AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+  (sum(d) OVER ())::BIGINT AS inertia,
+  sha256(array_to_string(list_transform(q, lambda x : x::BIGINT::VARCHAR), ',')) AS centroid_sha256
+FROM near_{rounds} JOIN kept USING (rid) JOIN centre_{rounds} USING (c)"""
+    )
+
+
 ORACLE_SQL = {
+    "op13_clusters": clusters_sql(8, 10),
     "op6_mixing": mixing_sql({"source": 0.7, "lang": 0.8, "topic": 1.0}, 0.9, 10),
     "op4_nearest": r"""
 WITH good AS (

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from zonemill.llm import html_text, language, quality, text_dups, toxicity
+from zonemill.llm import centroids, html_text, language, quality, text_dups, toxicity
 from zonemill.llm.chat import (
     canonical_turns,
     conversations_to_records,
@@ -149,3 +149,9 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = toxicity.fit(docs, learnable(table(spark, sf_dir, "labels")))
     held_out = (remainder("doc_id", LABEL_FOLDS) == LABEL_HELD_OUT).alias("held_out")
     return toxicity.score_texts(docs, model, keep=["doc_id"]).select("doc_id", held_out, "score", "predicted")
+
+
+@query
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    draw = F.sha2(F.concat(F.lit("3:"), F.col("id").cast("string")).cast("binary"), 256)
+    return centroids.cluster(table(spark, sf_dir, "embeddings"), draw, k=8, rounds=10, dim=64)[0]
