@@ -1,0 +1,153 @@
+import re
+import zlib
+from collections import Counter
+from math import exp, log, log10
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from zonemill.llm import maxent
+from zonemill.llm.maxent import CLASSES, END, ENDINGS, SINGLES, Tables, _contexts, ending, fit, score_texts
+from zonemill.llm.queries import op12_lm_score
+
+PATH = "/root/testdata/sf0.001"
+
+
+def plain_words(text):
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    return [w.encode() for w in re.findall("[^\x20\x09-\x0d]+", low)]
+
+
+def plain_base(docs):
+    """(id, held out, tokens, known, training tokens, base score) of each text."""
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    counts = Counter()
+    for i, text in docs:
+        if not held(i):
+            counts.update([*plain_words(text), END])
+    n, v = sum(counts.values()), len(counts)
+    for i, text in docs:
+        words = [*plain_words(text), END]
+        base = sum(log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in words)
+        yield i, held(i), len(words), sum(counts[w] > 0 for w in words), n, base
+
+
+def plain_score(model, counts, text):
+    """The score of a text token by token, from the tables alone."""
+    one, two, total = 0, 0, 0.0
+    for word in [*plain_words(text), END]:
+        logs = model.tables.log_shares(np.array([one * CLASSES + two]))[0]
+        at = 0 if word == END else model.symbol(word)
+        if counts[word] == 0:
+            unknown = sum(exp(logs[1 + SINGLES + e]) * model.discount[e] for e in range(ENDINGS))
+            total += log(unknown + (0 if model.ends else exp(logs[0])))
+        elif at > SINGLES:
+            e = at - 1 - SINGLES
+            total += logs[at] + log((counts[word] - model.off[e]) / model.members[e])
+        else:
+            total += logs[at]
+        one, two = (0, 0) if at == 0 else (at, one)
+    return total / log(10)
+
+
+@pytest.mark.parametrize("known", [maxent.KNOWN, 300])
+def test_query_equals_brute_force(spark, monkeypatch, known):
+    """Also where most words are looked up by the join."""
+    monkeypatch.setattr(maxent, "KNOWN", known)
+    models = []
+    monkeypatch.setattr(maxent, "fit", lambda *a, fit=maxent.fit: models.append(fit(*a)) or models[0])
+    docs = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{PATH}/documents.parquet").collect()]
+    found = op12_lm_score(spark, PATH)
+    assert found.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    rows = {r["doc_id"]: r for r in found.collect()}
+    expected = list(plain_base(docs))
+    assert len(rows) == len(docs)
+    model = models[0]
+    assert (len(model.known) <= 300) == (known == 300)
+    counts = Counter({bytes(r["word"]): r["n"] for r in model.vocabulary.collect()})
+    for i, held, tokens, some, n, base in expected:
+        r = rows[i]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held, tokens, some, n)
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+    for i, text in docs[:25]:
+        assert rows[i]["score"] == pytest.approx(plain_score(model, counts, text), rel=1e-4)
+    assert sorted(model.likelihoods) == model.likelihoods
+    held = [r for r in rows.values() if r["held_out"]]
+    assert sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def _tables(seed):
+    tables = Tables(np.random.default_rng(seed).standard_normal(CLASSES))
+    tables.weights = np.random.default_rng(seed + 1).standard_normal(len(tables.weights)).astype(np.float32)
+    return tables
+
+
+def test_gradient_is_that_of_the_likelihood():
+    tables = _tables(1)
+    random = np.random.default_rng(2)
+    context, of_class = random.integers(0, CLASSES**2, 50), random.integers(0, CLASSES, 50)
+    events = np.unique(context * CLASSES + of_class)
+    context, of_class, counts = events // CLASSES, events % CLASSES, random.integers(1, 9, len(events))
+    gradient, value = tables.gradient(context, of_class, counts)
+    for at in np.argsort(-np.abs(gradient))[:5]:
+        before = tables.weights[at]
+        tables.weights[at] = before + 0.01
+        above = tables.gradient(context, of_class, counts)[1]
+        tables.weights[at] = before - 0.01
+        below = tables.gradient(context, of_class, counts)[1]
+        tables.weights[at] = before
+        assert (above - below) / 0.02 == pytest.approx(gradient[at], rel=1e-2)
+
+
+def test_probabilities_of_all_next_tokens_add_up(spark):
+    docs = spark.createDataFrame([(i, "a b c a b d " * (i % 3) + f"w{i % 7} x{i}") for i in range(60)], "doc_id long, text string")
+    model = fit(docs, F.lit(True))
+    words = [bytes(r["word"]) for r in model.vocabulary.collect()]
+    counts = Counter({bytes(r["word"]): r["n"] for r in model.vocabulary.collect()})
+    for before in ("", "a", "a b", "w1", "never seen"):
+        start = plain_score(model, counts, before) if before else None
+        total = 0.0
+        for word in words + [b"neverseen"]:
+            # The probability of the word and of the end after it, without that of the end.
+            logs = [plain_tokens(model, counts, [*before.encode().split(), *([word] if word != END else [])])]
+            total += exp(logs[0][len(before.split())])
+        assert total == pytest.approx(1.0, abs=1e-6), (before, start)
+
+
+def plain_tokens(model, counts, words):
+    """Natural log probability of each token."""
+    text = [w.decode() for w in words]
+    return np.diff([0.0, *(_until(model, counts, text, n) for n in range(1, len(text) + 2))]).tolist()
+
+
+def _until(model, counts, words, n):
+    if n > len(words):
+        return plain_score(model, counts, " ".join(words)) * log(10)
+    end = plain_score(model, counts, " ".join(words[:n])) * log(10)
+    one = model.symbol(words[n - 1].encode())
+    two = model.symbol(words[n - 2].encode()) if n > 1 else 0
+    return end - model.tables.log_shares(np.array([one * CLASSES + two]))[0][0]
+
+
+def test_defined_cases(spark):
+    long = "Word " * 200_000
+    rows = [(1, None), (2, ""), (3, " \t\n"), (4, "A a É é"), (4, "A a É é"), (None, "x"), (7, long)]
+    df = spark.createDataFrame([(i, t, "mine", 3) for i, t in rows], "doc_id long, text string, score string, row int")
+    model = fit(df, F.lit(True))
+    found = score_texts(df, model)
+    assert sorted(found.columns) == sorted(["doc_id", "text", "row", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+    found = found.collect()
+    assert sorted(r["n_tokens"] for r in found) == [1, 1, 1, 2, 5, 5, 200_001] and all(r["n_known"] == r["n_tokens"] for r in found)
+    assert {r["train_tokens"] for r in found} == {200_016} and all(r["row"] == 3 and r["score"] < 0 for r in found)
+    assert score_texts(df.limit(0), model).count() == 0
+    nothing = score_texts(df, fit(df, F.lit(False))).collect()
+    assert all(r["score"] == pytest.approx(0, abs=1e-9) and r["base_score"] == 0 and r["n_known"] == 0 for r in nothing)
+
+
+def test_contexts_and_endings(spark):
+    assert _contexts(np.array([5, 6, 0, 7, 0])).tolist() == [0, 5 * CLASSES, 6 * CLASSES + 5, 0, 7 * CLASSES]
+    words = [b"a", b"ab", "café".encode(), b"longer"]
+    df = spark.createDataFrame([(w,) for w in words], "word binary")
+    told = df.select(F.pmod(F.crc32(F.substring("word", -2, 2)), F.lit(ENDINGS)).alias("class")).collect()
+    assert [r["class"] for r in told] == [ending(w) for w in words]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from zonemill.llm import centroids, html_text, language, quality, text_dups, toxicity
+from zonemill.llm import centroids, html_text, language, maxent, quality, spelling, text_dups, toxicity
 from zonemill.llm.chat import (
     canonical_turns,
     conversations_to_records,
@@ -151,6 +151,30 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_texts(docs, model, keep=["doc_id"]).select("doc_id", held_out, "score", "predicted")
 
 
+# What counts as a letter, the least word, and the share of words that lose a letter.
+SPELLING_LETTERS, SPELLING_POINTS, SPELLING_COUNT, SPELLING_LOSS = "A-Za-z\u00C0-\u00FF", 5, 3, 97
+
+
+@query
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    words = spelling.corpus_words(docs, SPELLING_LETTERS, SPELLING_POINTS, spelling.one_in(SPELLING_LOSS))
+    return spelling.group_variants(words.filter(F.col("n") >= SPELLING_COUNT))
+
+
+# Part of the documents that the language model does not learn from.
+SCORE_FOLDS, SCORE_HELD_OUT = 5, 1
+
+
+@query
+def op12_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(remainder("doc_id", SCORE_FOLDS) == SCORE_HELD_OUT, F.lit(False))
+    model = maxent.fit(docs, ~held_out)
+    scored = maxent.score_texts(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 @query
 def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     draw = F.sha2(F.concat(F.lit("3:"), F.col("id").cast("string")).cast("binary"), 256)
