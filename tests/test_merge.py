@@ -144,7 +144,6 @@ def test_a_key_with_a_third_of_all_rows(spark, join_plan):
 def test_every_heavy_source_key_is_spread(spark, monkeypatch):
     """Far more heavy keys than any fixed number of them: no task inserts many rows of one."""
     monkeypatch.setattr(merge, "HEAVY_ROWS", 20)
-    monkeypatch.setattr(merge, "BROADCAST_KEYS", 100)
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

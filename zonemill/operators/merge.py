@@ -16,8 +16,6 @@ from zonemill.session import fits_broadcast
 
 # Rows of one key that a task can take. Every key with more is spread over tasks.
 HEAVY_ROWS = 100_000
-# Up to so many heavy keys are broadcast, by their counted number; more are joined by key.
-BROADCAST_KEYS = 100_000
 AUDIT_MODES = ("null", "preserve", "none")
 
 
@@ -36,10 +34,13 @@ class Upsert:
     row by ``order_by`` of every key. A source column that the target lacks raises
     unless ``evolve`` is set.
 
-    The target is never shuffled when Spark can broadcast the source. Otherwise its rows
-    are shuffled once for the updates, and its distinct keys once for the inserts. Both
-    sides of the update join are plain exchanges, so that adaptive execution can split a
-    heavy target key.
+    The target is never shuffled when Spark can broadcast the source. Otherwise the rows of
+    target and source go through one exchange by key, together, and meet one row per key of
+    what both sides hold (see :meth:`_met`): three exchanges in all. The facts of a key are
+    aggregated in the tasks that read it, and the join is one of plain exchanges, so adaptive
+    execution can split a heavy key of either side. With ``on_duplicate="latest"`` the source
+    is ranked first, its one row per key joined to the target's rows for the updates, and to
+    the target's distinct keys for the inserts. Nothing runs until the result is computed.
     """
 
     def __init__(
@@ -67,19 +68,72 @@ class Upsert:
         # Whether Spark will broadcast the source keys, and whether all of the source.
         self.small_keys = fits_broadcast(on.project(batch))
         self._small_source = self.small_keys and fits_broadcast(batch)
+        self._changes = None
         if on_duplicate == "latest":
             self._changes, self._inserts = _unique(target, batch, on, self.small_keys)
-        else:
-            self._changes, self._inserts = _checked(target, batch, on, self.small_keys, self._small_source)
+        elif self.small_keys:
+            self._changes, self._inserts = _checked(target, batch, on, self._small_source)
 
     def result(self) -> DataFrame:
         """All rows, from one pass over the full target rows."""
+        if self._changes is None:
+            return self._met(F.lit(True))
         return self._updates("left").union(self._inserted())
 
     def changed(self) -> DataFrame:
         """Updated and inserted rows; with small keys only matched target rows are shuffled."""
+        if self._changes is None:
+            return self._met(F.col("_n") > 0)
         return self._updates("inner").union(self._inserted())
 
+    def _met(self, wanted: Column) -> DataFrame:
+        """Target rows that are ``wanted`` and new source rows, by one exchange of all rows.
+
+        One side holds the rows of both tables, source rows as they would be inserted. The other
+        holds one row per key: the number of its source rows, whether the target has it, and the
+        values of a single source row. So each row knows by its key alone whether it is updated,
+        kept, inserted, dropped, or an error. Columns carry numbers in place of names, which may
+        clash between the sides; those that a query does not use reach neither exchange.
+        """
+        on, target, batch = self._on, self._target, self._batch
+        fields, given = [*target.schema, *self._added], batch.columns
+        held = on.project(
+            target,
+            F.lit(False).alias("_new"),
+            *[(col(f.name) if f.name in target.columns else F.lit(None).cast(f.dataType)).alias(f"_c{i}") for i, f in enumerate(fields)],
+        )
+        new = on.project(
+            batch.alias("s"),
+            F.lit(True).alias("_new"),
+            *[_inserted(f, f.name in given, self._audit).alias(f"_c{i}") for i, f in enumerate(fields)],
+        )
+        told = on.project(batch, F.lit(1).alias("_n"), F.lit(False).alias("_held"), *[col(c).alias(f"_s{i}") for i, c in enumerate(given)])
+        known = on.project(
+            target.select(*map(col, on.names)),
+            F.lit(0).alias("_n"),
+            F.lit(True).alias("_held"),
+            *[F.lit(None).cast(batch.schema[c].dataType).alias(f"_s{i}") for i, c in enumerate(given)],
+        )
+        # By key and part: the join then takes a plain exchange, which can be split.
+        part = F.pmod(F.xxhash64(*on.labels), F.lit(2)).alias("_part")
+        facts = told.union(known).groupBy(*on.labels, part).agg(
+            F.sum("_n").alias("_n"),
+            F.max("_held").alias("_held"),
+            *[F.first(f"_s{i}", ignorenulls=True).alias(f"_s{i}") for i in range(len(given))],
+        ).drop("_part")
+        several = F.raise_error(F.lit("several source rows match one target row")).cast("boolean")
+        kept = F.when(F.col("_new"), ~F.col("_held")).when(F.col("_n") > 1, several).otherwise(wanted)
+        met = held.union(new).join(facts, on.labels).filter(kept)
+        hit = ~F.col("_new") & (F.col("_n") == 1)
+        columns = []
+        for i, field in enumerate(fields):
+            value = F.col(f"_c{i}")
+            if field.name in given and not (self._audit == "preserve" and field.name == INSERTED_COLUMN):
+                cleared = self._audit == "null" and field.name == INSERTED_COLUMN
+                value = F.when(hit, F.lit(None) if cleared else F.col(f"_s{given.index(field.name)}")).otherwise(value)
+            columns.append(value.alias(field.name))
+        return met.select(columns)
+
     def unchanged(self) -> DataFrame:
         """Target rows without a match; with small keys they stay in the tasks that read them."""
         kept = self._by_keys("left_anti")
@@ -124,10 +178,8 @@ def _unique(target: DataFrame, batch: DataFrame, on: MergeKeys, small_keys: bool
     return batch, inserts
 
 
-def _checked(
-    target: DataFrame, batch: DataFrame, on: MergeKeys, small_keys: bool, small_source: bool
-) -> tuple[DataFrame, DataFrame]:
-    """Source rows for the update join and source rows to insert.
+def _checked(target: DataFrame, batch: DataFrame, on: MergeKeys, small_source: bool) -> tuple[DataFrame, DataFrame]:
+    """Source rows for the update join and source rows to insert, where the source keys can be broadcast.
 
     A repeated source key raises where it matches. Elsewhere all its rows are inserted,
     however many there are: they are salted over many tasks, and as they cannot match,
@@ -135,9 +187,9 @@ def _checked(
     """
     counts = on.project(batch).groupBy(on.labels).agg(F.count(F.lit(1)).alias("_n"))
     seen = on.project(target)
-    if not (small_keys and fits_broadcast(counts)):
+    if not fits_broadcast(counts):
         seen = seen.distinct()
-    batch = batch.withColumn("_salt", F.lit(0)) if small_source else _salted_repeats(batch, counts, on)
+    batch = batch.withColumn("_salt", F.lit(0)) if small_source else _salted_repeats(batch, counts, on, small=True)
     # The aggregate keeps the check off unmatched keys: Spark moves no test through it.
     matched = seen.join(counts, on.labels).groupBy(on.labels).agg(F.max("_n").alias("_n"))
     several = F.raise_error(F.lit("several source rows match one target row"))
@@ -201,14 +253,15 @@ def _aligned(
     return source.select(picked)
 
 
-def _salted_repeats(batch: DataFrame, counts: DataFrame, on: MergeKeys) -> DataFrame:
+def _salted_repeats(batch: DataFrame, counts: DataFrame, on: MergeKeys, small: bool = False) -> DataFrame:
     """Spread the rows of every source key with more than ``HEAVY_ROWS`` rows over many tasks.
 
     The salt is the input partition, which a retried task keeps. Rows of all other keys
-    have salt 0.
+    have salt 0. ``small`` says that all keys together are within Spark's broadcast limit in
+    bytes, so the heavy ones are too.
     """
     heavy = counts.filter(F.col("_n") > HEAVY_ROWS)
-    if heavy.limit(BROADCAST_KEYS + 1).count() <= BROADCAST_KEYS:
+    if small:
         heavy = F.broadcast(heavy)
     # Taken before the join, which may bring all rows of a key to one partition.
     given = batch.withColumn("_from", 1 + F.spark_partition_id())
