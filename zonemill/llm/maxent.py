@@ -50,7 +50,7 @@ from zonemill.llm.common import WordCache, written
 
 SINGLES, ENDINGS = 159, 96
 CLASSES = 1 + SINGLES + ENDINGS
-KNOWN = 131_072
+KNOWN = 65_536
 TABLE_BITS = 19
 ROUNDS, STEP, PRIOR, LARGEST = 12, 0.4, 0.5, 1.0
 # Tasks that share the contexts: their statistic is bounded by the number of classes.
@@ -210,8 +210,8 @@ def _known_words(words: DataFrame) -> list[tuple[bytes, int]]:
         low = row["step"]
     if low is None:
         return []
-    found = words.filter(step >= low).collect()
-    return sorted(((bytes(r["word"]), r["n"]) for r in found), key=lambda x: (-x[1], x[0]))
+    found = words.filter(step >= low).select("word", "n").toArrow()
+    return sorted(zip(*(c.to_pylist() for c in found.columns), strict=True), key=lambda x: (-x[1], x[0]))
 
 
 def _class_counter(model: Model):
@@ -264,8 +264,9 @@ def train(tables: Tables, counts: DataFrame, rounds: int = ROUNDS) -> list[float
     parts = written(counts.repartition(GRADIENT_PARTS, "context"), "contexts")
     events, values = None, []
     for number in range(rounds):
-        told = parts.mapInArrow(_gradients(tables, number == 0), "gradient binary, events binary, value double")
-        rows = told.coalesce(GRADIENT_PARTS).collect()
+        # However many files the contexts have, a task takes many and returns one row.
+        told = parts.coalesce(GRADIENT_PARTS)
+        rows = told.mapInArrow(_gradients(tables, number == 0), "gradient binary, events binary, value double").collect()
         if not rows:
             break
         gradient = sum(np.frombuffer(r["gradient"], "<f4").astype(np.float64) for r in rows)
