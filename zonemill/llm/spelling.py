@@ -22,10 +22,11 @@ a word has more than m grams, so no near pair is lost.
 
 *Merging.* One edit leaves everything on one side of it alone. A shared gram therefore comes
 with all that stands before it, or with all that stands behind it, and the lists are kept by
-gram and either of these. Words meet in a list by a join, and a pair is checked by its edit
-distance before it leaves the join. A list of more than ``LIST`` words is not merged pair
-by pair: its words meet by gram and the place of the edit, in groups that hold no more words
-than one place has code points.
+gram and either of these, in one shuffle. A task reads its lists as a sorted stream and holds
+one of up to ``LIST`` words. Near words in it are found by what is left of the rest of a word
+without one code point, so the work follows the words of a list, not their pairs. The words of
+a longer list are handed on as they come, and meet by list and place of the edit in a join, in
+groups that hold no more words than one place has code points; there the edit distance decides.
 
 Defined cases: NULL and empty texts hold no word; a NULL id counts as an empty one; a repeated
 row counts again; an empty table gives an empty result; texts and words of any length are read
@@ -47,10 +48,11 @@ from pyspark.sql import functions as F
 from zonemill.llm.common import written
 
 SHORTEST, LONGEST = 2, 5
-COMMON = 5_000
-LIST = 200
+COMMON = 50_000
+LIST = 1_000
 # Words whose counts a task holds before it hands them on.
 HELD = 300_000
+LONG_TEXT, LONG_WORD = 1 << 20, 256
 FIRST, LAST = "\x02", "\x03"
 
 
@@ -103,15 +105,16 @@ def corpus_words(
     given = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("name"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = re.compile(f"[{letters}]{{{least},}}").finditer
+        pattern = re.compile(f"[{letters}]{{{least},}}")
+        every, one_by_one = pattern.findall, pattern.finditer
 
         def of_texts() -> Iterator[Counter]:
             for batch in batches:
                 for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     if not text:
                         continue
-                    # bytes.lower() changes A-Z only.
-                    words = Counter(map(re.Match.group, found(text.encode().lower().decode())))
+                    text = text.encode().lower().decode()  # bytes.lower() changes A-Z only
+                    words = Counter(every(text) if len(text) < LONG_TEXT else map(re.Match.group, one_by_one(text)))
                     if change is None:
                         yield words
                         continue
@@ -141,7 +144,8 @@ def common_grams(words: DataFrame) -> dict[str, int]:
 
     places = words.agg(F.sum(F.char_length("word") + 1)).first()[0] or 0
     grams = words.select("word").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return {r["word"]: r["n"] for r in grams.filter(F.col("n") > max(1, places // COMMON)).collect()}
+    found = grams.filter(F.col("n") > max(1, places // COMMON)).toArrow()
+    return dict(zip(found.column("word").to_pylist(), found.column("n").to_pylist(), strict=True))
 
 
 def decompose(s: str, common: dict[str, int]) -> list[int]:
@@ -161,16 +165,23 @@ def affected(ends: list[int]) -> int:
     return max(sum(e > p for e in ends[max(0, p - LONGEST + 1) : p + 1]) for p in range(len(ends)))
 
 
-def list_keys(word: str, common: dict[str, int]) -> list[int]:
-    """Of the lists that a word enters: by each of its rarest grams, with all before it and with all behind it."""
+def list_keys(word: str, common: dict[str, int]) -> dict[int, int]:
+    """The lists that a word enters: by each of its rarest grams, with all before it and with all behind it.
+
+    Of each its key and how many code points of the word are fixed by it, from the front or, as a
+    negative number, from the back.
+    """
     s = FIRST + word + LAST
     ends = decompose(s, common)
-    order = sorted(range(len(ends)), key=lambda p: (common.get(s[p : ends[p]], 0), s[p : ends[p]], p))
-    keys = []
+    grams = [s[p:e] for p, e in enumerate(ends)]
+    # A shared gram keeps its rank among the grams of the same text, whatever stands around it.
+    order = sorted(range(len(ends)), key=lambda p: (common.get(grams[p], 0), grams[p], p))
+    keys = {}
     for p in order[: affected(ends) + 1]:
-        keys.append(xxhash.xxh3_64_intdigest(f"{p}<{s[: ends[p]]}"))
-        keys.append(xxhash.xxh3_64_intdigest(f"{ends[p] - p}>{s[p:]}"))
-    return [k - (1 << 63) for k in dict.fromkeys(keys)]
+        front, back = min(ends[p] - 1, len(word)), min(len(s) - 1 - p, len(word))
+        keys[xxhash.xxh3_64_intdigest(f"{p}<{s[: ends[p]]}") - (1 << 63)] = front
+        keys[xxhash.xxh3_64_intdigest(f"{ends[p] - p}>{s[p:]}") - (1 << 63)] = -back
+    return keys
 
 
 def _indexed(common: dict[str, int]):
@@ -180,14 +191,94 @@ def _indexed(common: dict[str, int]):
                 part = batch.slice(start, 500)
                 keys = [list_keys(word, common) for word in part.column(0).to_pylist()]
                 rows = pa.array([i for i, some in enumerate(keys) for _ in some], pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([k for some in keys for k in some], pa.int64()), *(c.take(rows) for c in part.columns)],
-                    names=["key", "word", "n"],
-                )
+                given = [pa.array([k for some in keys for k in some], pa.int64()), pa.array([f for some in keys for f in some.values()], pa.int32())]
+                yield pa.RecordBatch.from_arrays([*given, *(c.take(rows) for c in part.columns)], names=["key", "fixed", "word", "n"])
 
     return run
 
 
+def one_edit(a: str, b: str) -> bool:
+    """Whether exactly one code point is inserted, deleted or replaced."""
+    if len(a) > len(b):
+        a, b = b, a
+    if len(b) - len(a) > 1 or a == b:
+        return False
+    low, high = 0, len(a)  # the length of the common front
+    while low < high:
+        middle = (low + high + 1) // 2
+        low, high = (middle, high) if a[low:middle] == b[low:middle] else (low, middle - 1)
+    return a[low + (len(a) == len(b)) :] == b[low + 1 :]
+
+
+def near_in_list(words: list[str], fixed: int) -> set[tuple[int, int]]:
+    """Places of the near words of a list whose words share the ``fixed`` code points.
+
+    Words of ``LONG_WORD`` code points on are compared pair by pair, as their shortened forms take room.
+    """
+    rest = [w[fixed:] if fixed > 0 else w[: len(w) + fixed] for w in words]
+    whole = {r: i for i, r in enumerate(rest)}
+    replaced: dict[tuple[int, str], list[int]] = {}
+    pairs = set()
+    for i, r in enumerate(rest):
+        if len(words[i]) > LONG_WORD:
+            continue
+        for at in range(len(r)):
+            left = r[:at] + r[at + 1 :]
+            other = whole.get(left)
+            if other is not None:
+                pairs.add((i, other))
+            replaced.setdefault((at, left), []).append(i)
+    for same in replaced.values():
+        pairs.update((a, b) for a in same for b in same if a < b)
+    long = [i for i, w in enumerate(words) if len(w) >= LONG_WORD]
+    pairs.update((a, b) for at, a in enumerate(long) for b in long[:at] if one_edit(words[a], words[b]))
+    return pairs
+
+
+MERGED = "word string, n long, other string, other_n long, key long, place long, whole boolean"
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Near pairs of short lists, and the words of long ones by place, from lists that arrive sorted."""
+    out: list[tuple] = []
+
+    def told() -> pa.RecordBatch:
+        kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        columns = list(zip(*out, strict=True)) or [()] * 7
+        out.clear()
+        names = [part.split()[0] for part in MERGED.split(", ")]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
+
+    def short(group: list[tuple[str, int]], fixed: int) -> None:
+        words = [w for w, _ in group]
+        for a, b in near_in_list(words, fixed):
+            if words[a] > words[b]:
+                a, b = b, a
+            out.append((*group[a], *group[b], None, None, None))
+
+    now, fixed_now, group, long = None, 0, [], False
+    for batch in batches:
+        for key, fixed, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != now:
+                if len(group) > 1 and not long:
+                    short(group, fixed_now)
+                now, fixed_now, group, long = key, fixed, [], False
+            group.append((word, n))
+            if long or len(group) > LIST:
+                long = True
+                for w, m in group:
+                    for place, whole in edit_places(w):
+                        out.append((w, m, None, None, key, place, whole))
+                        if len(out) * len(w) > 4_000_000:
+                            yield told()
+                group = []
+            if len(out) > 20_000:
+                yield told()
+    if len(group) > 1 and not long:
+        short(group, fixed_now)
+    yield told()
+
+
 def edit_places(word: str) -> list[tuple[int, bool]]:
     """(place, whole) keys: of the word without each of its code points, and of the word itself at every gap.
 
@@ -210,25 +301,14 @@ def edit_places(word: str) -> list[tuple[int, bool]]:
     return [(key(n - 1, i, n - 1 - i), False) for i in range(n)] + [(key(n, i, n - i), True) for i in range(n + 1)]
 
 
-def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, batch.num_rows, 100):
-            part = batch.slice(start, 100)
-            keys = [edit_places(word) for word in part.column(1).to_pylist()]
-            rows = pa.array([i for i, some in enumerate(keys) for _ in some], pa.int64())
-            found = [pa.array([k[at] for some in keys for k in some], kind) for at, kind in ((0, pa.int64()), (1, pa.bool_()))]
-            yield pa.RecordBatch.from_arrays([*(c.take(rows) for c in part.columns), *found], names=["key", "word", "n", "place", "whole"])
-
-
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, n, other, other_n): near words, each pair in both orders; every word has at least ``LONGEST`` code points."""
-    index = written(words.select("word", "n").mapInArrow(_indexed(common_grams(words)), "key long, word string, n long"), "grams")
-    sizes = index.groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    lists = index.join(sizes.filter(F.col("size").between(2, LIST)).select("key"), "key")
-    a, b = lists.alias("a"), lists.alias("b")
-    by_gram = _checked(a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.word") < F.col("b.word")) & _one_edit()))
-    long = index.join(sizes.filter(F.col("size") > LIST).select("key"), "key")
-    placed = long.mapInArrow(_placed, "key long, word string, n long, place long, whole boolean")
+    index = words.select("word", "n").mapInArrow(_indexed(common_grams(words)), "key long, fixed int, word string, n long")
+    parts = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = index.repartition(parts, "key").sortWithinPartitions("key")
+    merged = written(lists.mapInArrow(_merged, MERGED), "lists")
+    by_gram = merged.filter(F.col("other").isNotNull()).select("word", "n", "other", "other_n")
+    placed = merged.filter(F.col("place").isNotNull()).select("word", "n", "key", "place", "whole")
     # A near word is found on one side by the key of what one edit leaves.
     a, b = placed.filter(~F.col("whole")).alias("a"), placed.alias("b")
     met = (F.col("a.key") == F.col("b.key")) & (F.col("a.place") == F.col("b.place")) & (F.col("a.word") != F.col("b.word"))
