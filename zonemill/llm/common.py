@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import pickle
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -17,6 +18,8 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 # Bytes and rows of one Arrow batch, so that a worker's memory does not follow text length.
 BATCH_BYTES, BATCH_ROWS = "16m", "2000"
 SAMPLE_PARTS = 64
+# Bytes of text of one label that a classifier learns from.
+SAMPLE_BYTES = 64 << 20
 
 
 def prepare(spark: SparkSession) -> None:
@@ -66,17 +69,37 @@ def sampled_rows(df: DataFrame, id_col: str, by: str, rows: int) -> DataFrame:
     return chosen.select(id_col, by)
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, rows: int) -> list[tuple]:
-    """(text, label) of at most ``rows`` labelled texts of each label, in order of the ids.
+def labelled_texts(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label: str, rows: int) -> DataFrame:
+    """(_id, _label, _text): at most ``rows`` labelled texts of each label, of ``SAMPLE_BYTES`` in all.
 
-    Only ids are ranked; the texts of the chosen ids are then read in one scan.
+    Only ids are ranked; the texts of the chosen ids are then read in one scan. Texts count
+    against the bytes in the order of a hash of their ids; the first one always stays.
     """
     chosen = sampled_rows(labels.filter(F.col(id_col).isNotNull() & F.col(label).isNotNull()).distinct(), id_col, label, rows)
     chosen = chosen.select(F.col(id_col).alias("_id"), F.col(label).alias("_label"))
     texts = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     # At most ``rows`` ids a label, so the hint is safe at any size; a repeated id counts once.
     found = texts.join(F.broadcast(chosen), "_id").groupBy("_id", "_label").agg(F.min("_text").alias("_text"))
-    return [(r["_text"], r["_label"]) for r in sorted(found.collect(), key=lambda r: (r["_id"], str(r["_label"])))]
+    order = Window.partitionBy("_label").orderBy(F.xxhash64(F.col("_id").cast("string")), "_id")
+    size = F.coalesce(F.octet_length("_text"), F.lit(0)).cast("long")
+    before = F.coalesce(F.sum(size).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    return found.withColumn("_before", before).filter((F.col("_before") == 0) | (F.col("_before") + size <= SAMPLE_BYTES)).drop("_before")
+
+
+def trained(sample: DataFrame, train: Callable[[list[str | None], list], object]) -> object:
+    """What ``train`` makes of all texts and labels of a bounded sample, in the order of their ids.
+
+    It runs in one task, so that neither the texts nor what training needs take memory of the driver.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True)]
+        rows.sort(key=lambda r: (r[0], str(r[1])))
+        model = train([r[2] for r in rows], [r[1] for r in rows]) if rows else None
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    told = sample.select("_id", "_label", "_text").repartition(1).mapInArrow(run, "model binary").collect()
+    return pickle.loads(told[0]["model"]) if told else None
 
 
 def add_columns(

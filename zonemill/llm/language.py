@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonemill.llm.common import add_columns, labelled_texts
+from zonemill.llm.common import add_columns, labelled_texts, trained
 
 SAMPLE_TEXTS = 500
 LONGEST, SHARE = 5, 0.5
@@ -115,8 +115,7 @@ def train(texts: list[str | None], langs: list[str]) -> LanguageModel | None:
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageModel | None:
     """The model from the rows of ``docs`` with a language; filter them to what may be learnt from."""
     labels = docs.select(id_col, lang_col)
-    sample = labelled_texts(docs, labels, id_col, text_col, lang_col, SAMPLE_TEXTS)
-    return train([t for t, _ in sample], [y for _, y in sample])
+    return trained(labelled_texts(docs, labels, id_col, text_col, lang_col, SAMPLE_TEXTS), train)
 
 
 def identify(

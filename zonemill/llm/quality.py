@@ -24,7 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonemill.llm.common import add_columns, labelled_texts
+from zonemill.llm.common import add_columns, labelled_texts, trained
 
 SAMPLE_TEXTS = 1600
 CHUNKS = (256, 1024)
@@ -120,8 +120,7 @@ def fit(
 ) -> QualityModel | None:
     """The model from labelled texts; ``labels`` holds the rows that may be learnt from."""
     usable = labels.filter(F.col(label_col).isin(0, 1))
-    sample = labelled_texts(docs, usable, id_col, text_col, label_col, SAMPLE_TEXTS)
-    return train([t for t, _ in sample], [int(y) for _, y in sample])
+    return trained(labelled_texts(docs, usable, id_col, text_col, label_col, SAMPLE_TEXTS), train)
 
 
 def score_texts(

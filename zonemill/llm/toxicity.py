@@ -31,16 +31,18 @@ each; other columns are kept, and clashing ones are replaced by the score column
 from __future__ import annotations
 
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from zonemill.llm.common import WordCache, add_columns, labelled_texts
+from zonemill.llm.common import add_columns, labelled_texts, trained
 
 SAMPLE_TEXTS = 1000
 LANDMARKS = 200
@@ -50,6 +52,8 @@ WORST = 5
 CLEAN = 4.0
 ORDER, REACH, DECAY = 3, 6, 0.5
 SIZE = 64
+# Words whose values a worker keeps.
+STORED = 300_000
 LONGEST = 48
 JOINED, PIECES, SHORT = 3, 16, 2
 # Words whose windows are read at once.
@@ -58,39 +62,49 @@ SENTENCE = re.compile(r"[.!?\n]+(?=\s|$)")
 EDGE = re.compile(r"^\W+|\W+$")
 INNER = re.compile(r"[\W_]+")
 # Characters that stand for a letter.
-ALIKE = str.maketrans("0134578@$", "oleastbas")
+ALIKE = {ord(sign): ord(letter) for sign, letter in zip("0134578@$", "oleastbas", strict=True)}
 
 
 CLASSES = np.array([at - 94 if 97 <= at <= 122 else 30 + at % 33 for at in range(0x110000 >> 4)], dtype=np.int32)
+CLASSES[list(ALIKE)] = CLASSES[list(ALIKE.values())]
 
 
 def folded(spans: list[str]) -> np.ndarray:
     """Character classes of spans of one length, a row each, with a mark at both ends."""
-    plain = "".join(spans).translate(ALIKE)
-    points = np.frombuffer(plain.encode("utf-32-le"), dtype=np.uint32).reshape(len(spans), -1)
+    points = np.frombuffer("".join(spans).encode("utf-32-le"), dtype=np.uint32).reshape(len(spans), -1)
     out = np.ones((len(spans), points.shape[1] + 2), dtype=np.int32)
     out[:, 1:-1] = CLASSES[np.minimum(points, len(CLASSES) - 1)]
     out[:, -1] = 2
     return out
 
 
+def bare_form(word: str) -> str:
+    """The word without punctuation."""
+    return word if word.isalnum() else INNER.sub("", word)
+
+
 def pieces(word: str) -> list[str]:
     """The spans of a word: without outer punctuation, and without inner punctuation too.
 
     A word of more than ``LONGEST`` characters is read in overlapping parts, whole.
     """
-    bare = EDGE.sub("", word)
-    found = [bare] if bare else []
-    joined = INNER.sub("", bare)
-    if joined != bare and joined:
-        found.append(joined)
+    if word.isalnum():
+        found = [word]
+    else:
+        bare = EDGE.sub("", word)
+        found = [bare] if bare else []
+        joined = INNER.sub("", bare)
+        if joined != bare and joined:
+            found.append(joined)
+    if len(found) == 1 and len(found[0]) <= LONGEST:
+        return found
     step = LONGEST // 2
     return [s[i : i + LONGEST] for s in found for i in range(0, max(1, len(s) - step), step)]
 
 
 def word_rows(texts: list[str]) -> tuple[list[str], np.ndarray]:
     """The words of all texts without punctuation, and the number of the text of each."""
-    rows = [[w for w in (INNER.sub("", w) for w in t.split()) if w] for t in texts]
+    rows = [[w for w in (bare_form(w) for w in t.split()) if w] for t in texts]
     return [w for row in rows for w in row], np.repeat(np.arange(len(rows)), [len(row) for row in rows])
 
 
@@ -183,7 +197,7 @@ class ToxicModel:
         scores = np.full(len(spans), self.bias)
         for places, some in by_length(spans):
             codes, weights = subsequences(folded(some))
-            scores[places] += self.weights[codes] @ weights
+            scores[places] += self.narrow().take(codes) @ weights
         return scores
 
     def span_gains(self, spans: list[str]) -> np.ndarray:
@@ -195,44 +209,79 @@ class ToxicModel:
         The values are those of :meth:`span_scores` for the joined words, by sums over all
         subsequences that begin before a place.
         """
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        for start, first, many, values, _ in self.word_and_window_scores(words, owner, lengths):
+            if len(first):
+                yield first + start, many, values
+
+    def word_and_window_scores(
+        self, words: list[str], owner: np.ndarray, lengths: np.ndarray
+    ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+        """For each block of words: its start, the windows that begin in it (counted from there), and
+        the values of its words and of the further words that its windows reach."""
         for start in range(0, len(words), BLOCK):
             some = words[start : start + BLOCK + PIECES - 1]
-            sizes = np.fromiter(map(len, some), dtype=np.int64, count=len(some))
+            sizes = lengths[start : start + len(some)]
             first, many = _windows(sizes, owner[start : start + len(some)])
             first, many = first[own := first < BLOCK], many[own]
-            if len(first):
-                yield first + start, many, self._joined("".join(some), sizes, first, many)
+            one = np.arange(len(some))
+            values = self._joined("".join(some), sizes, np.r_[one, first], np.r_[np.ones_like(one), many])
+            yield start, first, many, values[len(some) :], values[: len(some)]
 
     def _joined(self, text: str, sizes: np.ndarray, first: np.ndarray, many: np.ndarray) -> np.ndarray:
         codes = folded([text])[0, 1:-1]
         after = np.r_[codes, np.zeros(REACH, dtype=np.int32)]
         ends = np.cumsum(sizes)
         starts = ends - sizes
-        begin, end = starts[first], ends[first + many - 1]
+        last = first + many - 1
+        begin, end = starts[first], ends[last]
         length = end - begin
-        total, squares = np.zeros(len(first)), np.zeros(len(first))
+        narrow = self.narrow()
         head, tail = np.zeros((REACH + 1, len(sizes))), np.zeros((REACH + 1, len(sizes)))
+        # What all subsequences up to the first place of a word weigh, and up to its end.
+        to_start, to_end, sums = np.zeros(len(sizes)), np.zeros(len(sizes)), {}
+        pairs = {one: (codes * SIZE + after[one : one + len(codes)]) * SIZE for one in range(1, REACH)}
         for two in range(2, REACH + 1):
             decay = DECAY ** (two - ORDER + 1)
             inner = np.zeros(len(codes))
             back = np.maximum(ends - two, 0)
+            third = after[two : two + len(codes)]
             for one in range(1, two):
-                inner += self.weights[(codes * SIZE + after[one : one + len(codes)]) * SIZE + after[two : two + len(codes)]]
+                inner += narrow.take(pairs[one] + third)
                 # The mark before the first character is 1, the one after the last is 2.
-                head[two] += self.weights[(SIZE + after[starts + one - 1]) * SIZE + after[starts + two - 1]]
-                tail[two] += self.weights[(codes[back] * SIZE + after[back + one]) * SIZE + 2]
-            sums = np.r_[0.0, np.cumsum(inner)]
-            total += decay * (sums[np.maximum(end - two, begin)] - sums[begin])
+                head[two] += narrow[(SIZE + after[starts + one - 1]) * SIZE + after[starts + two - 1]]
+                tail[two] += narrow[(codes[back] * SIZE + after[back + one]) * SIZE + 2]
+            sums[two] = np.r_[0.0, np.cumsum(inner)]
+            to_start += decay * sums[two][starts]
+            to_end += decay * sums[two][back]
             head[two] = head[two - 1] + decay * head[two]
             tail[two] = tail[two - 1] + decay * tail[two]
-            squares += np.maximum(length + 2 - two, 0) * (two - 1) * decay**2
+        total = to_end[last] - to_start[first]
+        short = np.nonzero(length < REACH)[0]
+        if len(short):
+            total[short] = 0.0
+            for two, summed in sums.items():
+                part = summed[np.maximum(end[short] - two, begin[short])] - summed[begin[short]]
+                total[short] += DECAY ** (two - ORDER + 1) * part
         reach = np.minimum(length, REACH)
-        total += head[reach, first] + tail[reach, first + many - 1]
-        few = np.nonzero(length < REACH)[0]
+        total += head[reach, first] + tail[reach, last]
+        few = short
         for one in range(REACH - 1):
             few = few[length[few] > one]
-            total[few] += DECAY ** (length[few] + 2.0 - ORDER) * self.weights[(SIZE + codes[begin[few] + one]) * SIZE + 2]
-        return self.bias + total / np.maximum(np.sqrt(squares), 1e-9)
+            total[few] += DECAY ** (length[few] + 2.0 - ORDER) * narrow[(SIZE + codes[begin[few] + one]) * SIZE + 2]
+        sizes_ = np.arange(int(length.max()) + 1)
+        squares = sum(np.maximum(sizes_ + 2 - two, 0) * (two - 1) * (DECAY ** (two - ORDER + 1)) ** 2 for two in range(2, REACH + 1))
+        return self.bias + total / np.maximum(np.sqrt(squares), 1e-9)[length]
+
+    def narrow(self) -> np.ndarray:
+        """The weights in single precision, for look-ups; sums are taken in double precision."""
+        held = self.__dict__.get("_narrow")
+        if held is None or held[0] is not self.weights:
+            held = self.__dict__["_narrow"] = (self.weights, self.weights.astype(np.float32))
+        return held[1]
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k != "_narrow"}
 
     def probability(self, totals: np.ndarray) -> np.ndarray:
         """Of texts, from the sums of the gains of their ``WORST`` worst spans."""
@@ -426,11 +475,12 @@ def _cut(bad: np.ndarray, good: np.ndarray) -> tuple[float, float]:
 
 
 class TextScorer:
-    """Scores of texts, with a bounded cache of the value of a word's worst span and its bare form."""
+    """Scores of texts, with a bounded store of what words with punctuation in them are worth."""
 
     def __init__(self, model: ToxicModel):
         self.model = model
-        self.words = WordCache(lambda word: (self._values([word])[0], INNER.sub("", word)))
+        # The bare form of such a word, and the value of its worst span unless that is the bare form.
+        self.odd: dict[str, tuple[str, float]] = {}
         # The least values that tell anything, of windows of words and of single characters.
         before = np.r_[-np.inf, model.marks]
         telling = [np.nonzero(gains)[0] for gains in (model.window_gains, model.spelled_gains)]
@@ -447,52 +497,84 @@ class TextScorer:
             np.maximum.at(most, owner, self.model.span_scores(spans))
         return most.tolist()
 
-    def _rows(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
-        """The bare words of the texts, their texts and the values of their worst spans."""
+    def _learn(self, words: list[str]) -> None:
+        if len(self.odd) > STORED:
+            self.odd.clear()
+        bare = [bare_form(w) for w in words]
+        several = [w for w, b in zip(words, bare, strict=True) if b and pieces(w) != [b]]
+        own = dict(zip(several, self._values(several), strict=True))
+        self.odd.update((w, (b, own.get(w, np.nan))) for w, b in zip(words, bare, strict=True))
+
+    def _rows(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """The bare words of the texts, their texts, their lengths, and the values of words of several spans."""
         rows = [t.split() for t in texts]
-        new = [w for w in set().union(*rows) if w not in self.words and w not in self.words.old]
-        # Bounded by the words of 50 texts.
-        self.words.update((w, (value, INNER.sub("", w))) for w, value in zip(new, self._values(new), strict=True))
-        known = [[e for e in map(self.words.__getitem__, row) if e[1]] for row in rows]
-        self.words.trim()
-        values, bare = zip(*(e for row in known for e in row), strict=True) if any(known) else ((), ())
-        return list(bare), np.repeat(np.arange(len(rows)), [len(row) for row in known]), np.array(values)
+        words = list(chain.from_iterable(rows))
+        owner = np.repeat(np.arange(len(rows)), [len(row) for row in rows])
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        plain = np.fromiter(map(str.isalnum, words), dtype=bool, count=len(words)) & (lengths <= LONGEST)
+        own = np.full(len(words), np.nan)
+        places = np.nonzero(~plain)[0]
+        if len(places):
+            found = [words[i] for i in places.tolist()]
+            new = [w for w in set(found) if w not in self.odd]
+            if new:
+                self._learn(new)
+                self._learn([w for w in set(found) if w not in self.odd])  # forgotten to make room
+            for at, word in zip(places.tolist(), found, strict=True):
+                words[at], own[at] = self.odd[word]
+            lengths[places] = [len(words[i]) for i in places.tolist()]
+            held = lengths > 0
+            if not held.all():
+                words = [w for w in words if w]
+                owner, lengths, own = owner[held], lengths[held], own[held]
+        return words, owner, lengths, own
 
     def _worse(
-        self, words: list[str], owner: np.ndarray, of_words: np.ndarray, least: tuple[float, float]
-    ) -> Iterator[tuple[int, int, float, bool]]:
-        """First word, number of words and value of each window above ``least`` that is worse
-        than each of its words, and whether it is spelled in single characters."""
-        single = np.r_[0, np.cumsum(np.fromiter((len(w) == 1 for w in words), dtype=np.int64, count=len(words)))]
-        for first, many, values in self.model.window_scores(words, owner):
-            spelled = single[first + many] - single[first] == many
-            hot = values > np.maximum(np.where(spelled, least[1], least[0]), np.maximum(of_words[first], of_words[first + 1]))
+        self, words: list[str], owner: np.ndarray, lengths: np.ndarray, own: np.ndarray, least: tuple[float, float]
+    ) -> Iterator[tuple[np.ndarray, list[tuple[int, int, float, bool]]]]:
+        """For each block of words: their values, and first word, number of words and value of each window
+        above ``least`` that is worse than each of its words, and whether it is spelled in single characters."""
+        single = np.r_[0, np.cumsum(lengths == 1)]
+        for start, first, many, values, of_words in self.model.word_and_window_scores(words, owner, lengths):
+            given = own[start : start + len(of_words)]
+            of_words = np.where(np.isnan(given), of_words, given)
+            spelled = single[start + first + many] - single[start + first] == many
+            hot = values > np.where(spelled, least[1], least[0])
+            if hot.any():
+                at = first[hot]
+                hot[hot] = values[hot] > np.maximum(of_words[at], of_words[at + 1])
+            found = []
             for at, number, value, one in zip(*(x[hot].tolist() for x in (first, many, values, spelled)), strict=True):
                 if number == 2 or value > of_words[at + 2 : at + number].max():
-                    yield at, number, value, one
+                    found.append((start + at, number, value, one))
+            yield of_words[:BLOCK], found
 
     def worse_windows(self, texts: list[str], least: float) -> tuple[list[float], list[float]]:
         """The values of all such windows: of words, and of single characters."""
-        found: tuple[list[float], list[float]] = [], []
+        values: tuple[list[float], list[float]] = [], []
         for start in range(0, len(texts), 50):
-            for _, _, value, spelled in self._worse(*self._rows(texts[start : start + 50]), (least, least)):
-                found[spelled].append(value)
-        return found
+            for _, found in self._worse(*self._rows(texts[start : start + 50]), (least, least)):
+                for _, _, value, spelled in found:
+                    values[spelled].append(value)
+        return values
 
     def _telling(self, texts: list[str]) -> list[list[tuple[float, int, int, str]]]:
         """Gain, first word, number of words and, if repeats do not count, name of each telling span."""
-        model, found = self.model, [[] for _ in texts]
-        words, owner, of_words = self._rows(texts)
-        gains = np.interp(of_words, model.marks, model.gains)
-        for at in np.nonzero(gains)[0].tolist():
-            name = "" if of_words[at] > model.sure else words[at]
-            found[owner[at]].append((float(gains[at]), at, 1, name))
-        for at, number, value, spelled in self._worse(words, owner, of_words, self.least):
-            gain = float(np.interp(value, model.marks, model.spelled_gains if spelled else model.window_gains))
-            if gain > 0:
-                name = "" if value > model.sure else "".join(words[at : at + number])
-                found[owner[at]].append((gain, at, number, name))
-        return found
+        model, told = self.model, [[] for _ in texts]
+        words, owner, lengths, own = self._rows(texts)
+        start = 0
+        for of_words, found in self._worse(words, owner, lengths, own, self.least):
+            gains = np.interp(of_words, model.marks, model.gains)
+            for at in np.nonzero(gains)[0].tolist():
+                name = "" if of_words[at] > model.sure else words[start + at]
+                told[owner[start + at]].append((float(gains[at]), start + at, 1, name))
+            start += len(of_words)
+            for at, number, value, spelled in found:
+                gain = float(np.interp(value, model.marks, model.spelled_gains if spelled else model.window_gains))
+                if gain > 0:
+                    name = "" if value > model.sure else "".join(words[at : at + number])
+                    told[owner[at]].append((gain, at, number, name))
+        return told
 
     def totals(self, texts: list[str]) -> np.ndarray:
         """Of lower-case texts, the sums of the gains of their ``WORST`` worst spans that share no word."""
@@ -523,8 +605,18 @@ def fit(
 ) -> ToxicModel | None:
     """The model from labelled texts; ``labels`` holds the rows that may be learnt from."""
     usable = labels.filter(F.col(label_col).isin(0, 1))
-    sample = labelled_texts(docs, usable, id_col, text_col, label_col, SAMPLE_TEXTS)
-    return train([t for t, _ in sample], [int(y) for _, y in sample])
+    return trained(labelled_texts(docs, usable, id_col, text_col, label_col, SAMPLE_TEXTS), train)
+
+
+_SCORERS: dict[str, TextScorer] = {}
+
+
+def _worker_scorer(name: str, model: ToxicModel) -> TextScorer:
+    """The scorer of a worker process, with the words it knows from earlier tasks of the same model."""
+    if name not in _SCORERS:
+        _SCORERS.clear()
+        _SCORERS[name] = TextScorer(model)
+    return _SCORERS[name]
 
 
 def score_texts(
@@ -537,8 +629,10 @@ def score_texts(
 ) -> DataFrame:
     """Add ``score`` (0 to 1, higher: more toxic) and ``predicted`` (1 from ``cut`` on)."""
 
+    name = uuid.uuid4().hex
+
     def make():
-        scorer = TextScorer(model) if model else None
+        scorer = _worker_scorer(name, model) if model else None
 
         def work(texts: list[str | None]) -> tuple[list[float], list[int]]:
             scores = scorer.scores(texts).tolist() if scorer else [0.0] * len(texts)
