@@ -31,7 +31,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 
 def test_article_without_what_surrounds_it(field):
     assert main_text(PAGE, field) == (
-        "A title of words\nFirst é text & more, with bold and a link.\n"
+        "A title of words\n\nFirst é text & more, with bold and a link.\n\n"
         "Second text, which is long enough to be read as a paragraph — it is."
     )
 
@@ -55,7 +55,7 @@ def test_table_of_pages(spark, field):
     got = [(r["page_id"], r["text"], r["n_chars"]) for r in found.collect()]
     want = main_text(PAGE, field)
     assert got[0] == (1, want, len(want)) and got[1:3] == [(2, "", 0), (3, "", 0)] and got[4][1] == want
-    assert got[3][1].count("\n") == 3999 and len(got) == 6
+    assert got[3][1].count("\n\n") == 3999 and len(got) == 6
     assert extract(df.limit(0), field).count() == 0
 
 

@@ -404,8 +404,9 @@ def fit() -> Field:
 
 
 def main_text(html: str | None, field: Field) -> str:
+    """The kept blocks in page order, two line feeds between them."""
     blocks = list(leaf_blocks(html or ""))
-    return "\n".join(b.text for b, keep in zip(blocks, field.decode(blocks), strict=True) if keep)
+    return "\n\n".join(b.text for b, keep in zip(blocks, field.decode(blocks), strict=True) if keep)
 
 
 def extract(pages: DataFrame, field: Field, html_col: str = "html", keep: list[str] | None = None) -> DataFrame:
