@@ -39,6 +39,8 @@ def test_vectors_that_take_no_part(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     found = [(r["query_id"], r["rank"], r["vec_id"]) for r in nearest(df, df, 2).collect()]
     assert sorted(found) == [(0, 1, 1), (0, 2, 9), (1, 1, 0), (1, 2, 0), (9, 1, 0), (9, 2, 0)]
+    twice = spark.createDataFrame([(0, None, ""), (0, [1.0, 0.0], ""), (0, [9.0, 0.0], ""), (1, [2.0, 0.0], "")], SCHEMA)
+    assert [(r["query_id"], r["vec_id"], r["score"]) for r in nearest(twice, twice.filter("vec_id = 0"), 5).collect()] == [(0, 1, 1.0)]
     assert nearest(df.limit(0), df, 2).count() == 0 and nearest(df, df.limit(0), 2).count() == 0
 
 

@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from zonemill.llm import text_dups
-from zonemill.llm.text_dups import Shingles, near_duplicates
+from zonemill.llm.text_dups import Shingles, near_duplicates, without_near_duplicates
 
 SCHEMA = "doc_id long, text string, keys string"
 
@@ -82,3 +83,16 @@ def test_shingles_of_fewer_words_than_one():
 def test_similarities_that_the_trees_would_lose_are_refused(spark):
     with pytest.raises(ValueError, match="at least 75"):
         near_duplicates(spark.createDataFrame([(1, "a")], "doc_id long, text string"), 50)
+
+
+def test_an_id_with_two_texts_is_two_documents(spark):
+    one = "one text of words that nothing else in here shares with it at all"
+    two = "quite another text of which there is a copy under an id that is less"
+    rows = [(3, two + " x", ""), (5, one, ""), (5, two, ""), (7, one + " y", ""), (9, None, "")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    by_text = {r["text_hash"]: r for r in near_duplicates(df).collect()}
+    hashes = {r["text"]: r["h"] for r in df.selectExpr("text", "xxhash64(text) AS h").collect()}
+    told = {t: (by_text[hashes[t]]["component_id"], by_text[hashes[t]]["kept"]) for _, t, _ in rows}
+    assert told == {two + " x": (3, True), one: (5, True), two: (3, False), one + " y": (5, False), None: (9, True)}
+    left = without_near_duplicates(df.withColumns({"text_hash": F.lit(1), "kept": F.lit("mine")}))
+    assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(3, two + " x"), (5, one), (9, "")]

@@ -50,3 +50,10 @@ def test_components_of_a_long_path_and_a_star(spark):
     found = {r["id"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert found == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 150)}}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_an_id_with_two_vectors_is_two_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.01]), (2, [0.0, 1.0]), (3, [0.0, 1.0]), (3, [1.0, 0.02]), (3, [1.0, 0.02])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in near_duplicates(df, 0.9).collect())
+    assert got == [(1, 2, 1, True), (1, 2, 1, True), (2, 1, 2, True), (3, 1, 2, False), (3, 2, 1, False)]

@@ -142,7 +142,9 @@ def nearest(
         )
         return chosen.mapInArrow(_pack(rows), BLOCK)
 
-    asked = packed(queries.dropDuplicates([id_col]), QUERY_ROWS)
+    # An id with several vectors asks with the least of those that take part.
+    asked = queries.filter(usable(F.col(vector_col))).groupBy(id_col).agg(F.min(vector_col).alias(vector_col))
+    asked = packed(asked, QUERY_ROWS)
     asked = asked.select("dim", *[F.col(n).alias(f"q_{n}") for n in ("ids", "codes", "scales", "errors", "vectors")])
     # A stated query set against all rows, block by block: blocks are dealt to parts, and
     # every part gets every query block.

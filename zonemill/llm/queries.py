@@ -132,7 +132,7 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_text_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return text_dups.near_duplicates(table(spark, sf_dir, "documents"), 75, 5)
+    return text_dups.near_duplicates(table(spark, sf_dir, "documents"), 75, 5).drop("text_hash")
 
 
 @query

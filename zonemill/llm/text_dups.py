@@ -23,8 +23,9 @@ texts, spread over tasks; exact copies cost nothing.
 
 Defined cases: NULL texts and texts without a word have no shingles, link with nothing and
 are kept; texts of fewer words than a shingle are one shingle; a row with a NULL id is
-compared with nothing and kept, its component NULL; rows that repeat an id are one document
-of which every row is returned; columns other than the two named are ignored; an empty
+compared with nothing and kept, its component NULL; rows that repeat an id and its text are one
+document of which every row is returned, rows of one id with different texts are different
+documents, each with its own component; columns other than the two named are ignored; an empty
 table gives an empty result; of equal candidates the smaller ids win.
 """
 
@@ -38,6 +39,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from zonemill.functions.columns import quoted
 from zonemill.llm.common import WordCache, written
 from zonemill.llm.components import connected_components, merged
 
@@ -120,7 +122,7 @@ def _marked(size: int):
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary())
             fresh = [pa.array(c, t) for c, t in zip(columns, kinds, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *fresh], names=["doc_id", "n_shingles", "h1", "h2", "keys", "sketch"]
+                [batch.column(0), batch.column(2), *fresh], names=["doc_id", "text_hash", "n_shingles", "h1", "h2", "keys", "sketch"]
             )
 
     return run
@@ -247,20 +249,24 @@ def _confirm(size: int, percent: int):
 def near_duplicates(
     docs: DataFrame, percent: int = 75, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, kept, and text_hash, which tells rows of one id apart.
 
     ``percent`` is at least ``LEAST``: trees, depth and screen would lose most links below it.
     """
     if percent < LEAST:
         raise ValueError(f"percent must be at least {LEAST}, not {percent}")
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    marked = written(given.mapInArrow(_marked(words), f"doc_id long, {MARKS}"), "shingles")
-    same = ["n_shingles", "h1", "h2"]
+    given = given.withColumn("text_hash", F.xxhash64("text"))
+    marked = given.select("doc_id", "text", "text_hash").mapInArrow(_marked(words), f"doc_id long, text_hash long, {MARKS}")
+    marked = written(marked, "shingles")
+    same, head = ["n_shingles", "h1", "h2"], ["doc_id", "text_hash"]
     named = marked.filter(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
-    classes = named.groupBy(*same).agg(F.min("doc_id").alias("class"))
-    heads = classes.select(F.col("class").alias("doc_id"), *same)
-    heads = named.join(heads, ["doc_id", *same], "left_semi").dropDuplicates(["doc_id", *same])
-    heads = written(heads.select(F.col("doc_id").alias("class"), "keys", "sketch"), "classes")
+    # Classes are numbered as they are written, so an id with several texts names no class. The
+    # first text of the first id stands for a class.
+    classes = named.groupBy(*same).agg(F.min(F.struct(*head)).alias("head")).withColumn("class", F.monotonically_increasing_id())
+    classes = written(classes.select(*same, "head.*", "class"), "classes")
+    heads = named.join(classes, [*same, *head]).dropDuplicates(["class"])
+    heads = written(heads.select("class", *head, "keys", "sketch"), "heads")
 
     places = heads.select("class", F.posexplode("keys").alias("tree", "key"))
     regions = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key")
@@ -286,17 +292,30 @@ def near_duplicates(
         .select("class", "component", "block", F.least("block", "other").alias("one"), F.greatest("block", "other").alias("two"))
     )
     # Texts of the candidates alone are moved, once for all tiles of a class and then to each tile.
-    texts = families.select("class").join(given.withColumnRenamed("doc_id", "class"), "class")
-    full = texts.join(heads.select("class", "sketch"), "class")
+    texts = families.select("class").join(heads.select("class", *head, "sketch"), "class")
+    full = texts.join(given, head).select("class", "text", "sketch")
     tiles = dealt.join(full, "class").repartition("component", "one", "two")
     tiles = tiles.sortWithinPartitions("component", "one", "two")
     links = written(tiles.mapInArrow(_confirm(words, percent), "a long, b long"), "links")
 
     groups = connected_components(links, "groups").select(F.col("id").alias("class"), "component")
-    of_class = classes.join(groups, "class", "left").select(
-        *same, F.coalesce("component", "class").alias("component_id")
-    )
-    found = marked.select("doc_id", *same).join(of_class, same, "left")
+    grouped = classes.join(groups, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    least = grouped.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    of_class = grouped.join(least, "component").select(*same, "component_id")
+    found = marked.select(*head, *same).join(of_class, same, "left")
     own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id")
-    found = found.select("doc_id", "n_shingles", own)
-    return found.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    found = found.select("doc_id", "n_shingles", own, "text_hash")
+    kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")
+    return found.select("doc_id", "n_shingles", "component_id", kept, "text_hash")
+
+
+def without_near_duplicates(
+    docs: DataFrame, percent: int = 75, words: int = WORDS, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """The rows of ``docs`` that :func:`near_duplicates` keeps, told apart by id and text."""
+    found = near_duplicates(docs, percent, words, id_col, text_col).filter(~F.col("kept"))
+    gone = found.select("doc_id", "text_hash").distinct().alias("gone")
+    given = docs.alias("given")
+    of_id = F.col(f"given.{quoted(id_col)}").cast("long") == F.col("gone.doc_id")
+    of_text = F.xxhash64(F.col(f"given.{quoted(text_col)}")) == F.col("gone.text_hash")
+    return given.join(gone, of_id & of_text, "left_anti")

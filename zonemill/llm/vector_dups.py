@@ -12,8 +12,9 @@ missed with probability ``MISS`` at most, a closer one far less often.
 
 Defined cases: vectors that are NULL, zero, or hold NULL or non-finite components link with
 nothing and stay. Vectors of different lengths never link. Repeated vectors under different
-ids link with each other (cosine 1). Rows that repeat an id as well are one vector. Rows
-with a NULL id are left out. Other columns are ignored, and an empty table is an empty result.
+ids link with each other (cosine 1). Rows that repeat an id as well are one vector; an id with
+several vectors has a row for each, as they are different vectors. Rows with a NULL id are left
+out. Other columns are ignored, and an empty table is an empty result.
 """
 
 from __future__ import annotations
@@ -108,10 +109,10 @@ def near_duplicates(
         F.col("vec_id").isNotNull()
     )
     good = given.filter(usable(F.col("embedding"))).dropDuplicates(["vec_id", "embedding"])
-    # A whole vector is one key: equal ones meet in a pre-aggregated count.
-    classes = written(
-        good.groupBy("embedding").agg(F.min("vec_id").alias("class"), F.count(F.lit(1)).alias("copies")), "classes"
-    )
+    # A whole vector is one key: equal ones meet in a pre-aggregated count. Classes are numbered as
+    # they are written, so an id with several vectors names no class.
+    classes = good.groupBy("embedding").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("copies"))
+    classes = written(classes.withColumn("class", F.monotonically_increasing_id()), "classes")
     bits, tables = tables_for(classes.count(), threshold)
     coded = classes.select("class", "embedding").mapInArrow(_coded(bits, tables), "class long, codes array<long>")
     coded = written(coded, "codes")
@@ -125,7 +126,7 @@ def near_duplicates(
         .withColumn("tile", F.least("block", "other") * 2**20 + F.greatest("block", "other"))
         .select("class", "table", "code", "block", "tile")
     )
-    vectors = classes.join(coded, "class")
+    vectors = classes.drop("least").join(coded, "class")
     tiles = dealt.join(vectors, "class").withColumn("dim", F.size("embedding"))
     found = written(
         tiles.groupBy("dim", "table", "code", "tile").applyInPandas(_compare(threshold), "a long, b long, links long"),
@@ -134,10 +135,11 @@ def near_duplicates(
     linked = found.groupBy(F.col("a").alias("class")).agg(F.sum("links").alias("others"))
     components = connected_components(found.select("a", "b")).withColumnRenamed("id", "class")
     of_class = classes.join(linked, "class", "left").join(components, "class", "left")
+    of_class = of_class.withColumn("component", F.coalesce("component", "class"))
+    least = of_class.groupBy("component").agg(F.min("least").alias("component_id"))
+    of_class = of_class.select("embedding", "copies", "others", "component").join(least, "component")
     named = good.join(of_class, "embedding").select(
-        "vec_id",
-        (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
-        F.coalesce("component", "class").alias("component_id"),
+        "vec_id", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), "component_id"
     )
     rest = given.select("vec_id").distinct().join(named.select("vec_id").distinct(), "vec_id", "left_anti")
     rest = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
