@@ -16,7 +16,8 @@ from zonemill.layout import MONTH_FORMAT, PARTITION_MONTH, WINDOW_DAYS, split_ke
 from zonemill.operators.merge import Upsert, keys_as, latest_per_key
 from zonemill.operators.window_delete import delete_window, in_window
 from zonemill.session import fits_broadcast
-from zonemill.sources.datasets import read_table
+from zonemill.sources import ledger
+from zonemill.sources.ledger import Held
 from zonemill.sources.publish import publish_table, table_exists
 
 
@@ -34,6 +35,13 @@ class TrustedTable:
     partitioned: bool = False
     merge_options: Mapping[str, object] = field(default_factory=dict)
 
+    def month_from_key(self) -> bool:
+        return self.date_column is not None and self.date_column.lower() in [k.lower() for k in self.keys]
+
+    def digest_keys(self) -> list[str] | None:
+        """The keys by which months are looked up, where their values do not tell the month."""
+        return self.keys if self.partitioned and not self.month_from_key() else None
+
     @classmethod
     def from_control(cls, row: Mapping[str, str], path: str, **merge_options: object) -> TrustedTable:
         return cls(
@@ -75,15 +83,16 @@ def load_delivery(
     if not exists:
         if table.merge_options.get("on_duplicate") == "latest":
             batch = latest_per_key(batch, table.keys, table.merge_options["order_by"])
-        return publish_table(batch, table.path, partition_by, record=record)
+        return publish_table(batch, table.path, partition_by, record=record, keys=table.digest_keys())
 
-    # Files may differ in their columns. All of them must be read before any file is replaced.
-    current = read_table(spark, table.path, merge_schema=True)
+    # Files may differ in their columns; the table's record says which there are.
+    held = ledger.held(spark, table.path)
+    current = held.rows
     months = None
     if table.partitioned and PARTITION_MONTH not in current.columns:
         current = with_partition_month(current, table.date_column)
     elif table.partitioned:
-        months = touched_months(current, batch, table, as_of)
+        months = touched_months(current, batch, table, as_of, held)
         current = current.filter(_is_one_of(PARTITION_MONTH, months))
     if as_of is not None:
         current = delete_window(current, table.date_column, as_of)
@@ -93,25 +102,30 @@ def load_delivery(
         changed, unchanged = upsert.changed(), upsert.unchanged()
     else:
         changed, unchanged = upsert.result(), None
-    return publish_table(changed, table.path, partition_by, touched=months, record=record, in_place=unchanged)
+    return publish_table(
+        changed, table.path, partition_by, touched=months, record=record, in_place=unchanged, held=held, keys=table.digest_keys()
+    )
 
 
 def touched_months(
-    current: DataFrame, batch: DataFrame, table: TrustedTable, as_of: str | None = None
+    current: DataFrame, batch: DataFrame, table: TrustedTable, as_of: str | None = None, held: Held | None = None
 ) -> list[str | None]:
     """Months whose rows an upsert of ``batch`` changes, adds to or deletes from.
 
-    A matched row may leave its month, so the months of all matches count. They need a
-    look at the keys of the whole table, unless the month derives from a key.
+    A matched row may leave its month, so the months of all matches count, unless the month
+    derives from a key. They need a look at the keys of the months that may hold one, by the
+    digests that ``held`` knows of, or else of the whole table.
     """
     parts = [batch.select(PARTITION_MONTH) if PARTITION_MONTH in batch.columns else _no_month(batch)]
-    if table.date_column.lower() not in [k.lower() for k in table.keys]:
+    if not table.month_from_key():
         on = MergeKeys(current, table.keys, "the target")
         wanted = on.project(keys_as(current, batch, on)).distinct()
-        held = on.project(current, col(PARTITION_MONTH))
+        known = ledger.candidate_partitions(held, table.path, on, wanted) if held and held.keys else None
+        looked_at = current if known is None else current.filter(_is_one_of(PARTITION_MONTH, known))
+        keys = on.project(looked_at, col(PARTITION_MONTH))
         if not fits_broadcast(wanted):
-            held = held.distinct()
-        parts.append(held.join(wanted, on.labels, "left_semi").select(PARTITION_MONTH))
+            keys = keys.distinct()
+        parts.append(keys.join(wanted, on.labels, "left_semi").select(PARTITION_MONTH))
     if as_of is not None:
         # The month before the window is read too, for dates near midnight in another zone.
         first = F.date_format(F.add_months(F.date_add(F.lit(as_of).cast("date"), -WINDOW_DAYS), -1), MONTH_FORMAT)
@@ -135,4 +149,5 @@ def repartition_table(spark: SparkSession, path: str, date_column: str) -> int:
     """Rewrite a table that was built without partitions by month."""
     if not table_exists(spark, path):
         raise ValueError(f"there is no table at {path}")
-    return publish_table(with_partition_month(read_table(spark, path, merge_schema=True), date_column), path, PARTITION_MONTH)
+    held = ledger.held(spark, path)
+    return publish_table(with_partition_month(held.rows, date_column), path, PARTITION_MONTH, held=held)
