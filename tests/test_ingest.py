@@ -291,3 +291,25 @@ def test_deliveries_with_audit_columns_are_not_combined(spark, lake):
     assert [n for _, n in ingest.combined([dated, dated], plain)] == [2]
     wider = dated.withColumn("z", F.lit(1))
     assert [n for _, n in ingest.combined([dated, wider, wider], plain)] == [1, 2]
+
+
+def test_a_backlog_takes_as_many_jobs_as_two_deliveries(spark, lake):
+    """Repeats within deliveries are found in one aggregate over all of them."""
+    from zonemill.plans.deliveries import TrustedTable
+    from zonemill.streaming.ingest import combined
+
+    def jobs(number):
+        paths = [f"{lake}/{number}/{i}" for i in range(number)]
+        for i, path in enumerate(paths):
+            keys = [1, 2, 2] if i == 3 else [i, i + 1]
+            spark.createDataFrame([(k, i) for k in keys], "k int, v int").write.parquet(path)
+        frames = [spark.read.schema("k int, v int").parquet(path) for path in paths]
+        group = f"combine-{number}"
+        spark.sparkContext.setJobGroup(group, group)
+        runs = combined(frames, TrustedTable(f"{lake}/t", ["K"]))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return [n for _, n in runs], len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)), runs
+
+    two, eight = jobs(2), jobs(8)
+    assert two[0] == [2] and eight[0] == [3, 1, 4] and eight[1] <= two[1] + 1
+    assert sorted((r["k"], r["v"]) for r in eight[2][0][0].collect()) == [(0, 0), (1, 1), (2, 2), (3, 2)]

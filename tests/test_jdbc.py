@@ -3,6 +3,7 @@
 from unittest.mock import MagicMock
 
 import pytest
+from pyspark.sql import functions as F
 
 from zonemill.plans.loads import publish_to_warehouse
 from zonemill.sources.jdbc import (
@@ -81,3 +82,25 @@ def test_publish_copies_the_refined_table(spark, lake):
         spark, row, lake, {"url": "u"}, write=lambda df, *args, **kwargs: written.append((df.count(), args, kwargs))
     )
     assert written == [(3, ({"url": "u"}, "dw", "t"), {"mode": "overwrite"})]
+
+
+def test_balanced_ranges_hold_every_row_once_and_none_is_large(spark):
+    from zonemill.sources.jdbc import balanced_ranges
+
+    # Most values are small: ranges of equal width would put nearly all rows into one.
+    rows = spark.range(40_000).selectExpr("CASE WHEN id % 50 = 0 THEN NULL ELSE CAST(pow(id / 40000.0, 9) * 1000000 AS INT) END AS k")
+    rows = rows.withColumn("d", F.expr("date_add(DATE '2020-01-01', k % 1000)"))
+    rows.createOrReplaceTempView("zonemill_split_source")
+    for column in ("k", "d"):
+        ranges = balanced_ranges(spark.table("zonemill_split_source").sample(0.5, seed=1), column, 16)
+        counts = [spark.sql(f"SELECT * FROM zonemill_split_source WHERE {r}").count() for r in ranges]
+        assert sum(counts) == 40_000
+        own = spark.sql(f"SELECT max(n) FROM (SELECT count(*) AS n FROM zonemill_split_source GROUP BY {column})").first()[0]
+        assert max(counts) <= max(2 * 40_000 / 16, 2 * own)
+    even = spark.range(1000).selectExpr("id AS k", "CAST(id AS TIMESTAMP) AS t")
+    even.createOrReplaceTempView("zonemill_split_even")
+    for column in ("k", "t"):
+        ranges = balanced_ranges(even, column, 8)
+        counts = [spark.sql(f"SELECT * FROM zonemill_split_even WHERE {r}").count() for r in ranges]
+        assert sum(counts) == 1000 and max(counts) <= 2 * 1000 / 8
+    assert balanced_ranges(even.limit(0), "k", 4) == balanced_ranges(even, "k", 1) == ["1 = 1"]

@@ -321,3 +321,31 @@ def test_window_delete_reaches_the_scan(spark):
     orders = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     plan = delete_window(orders, "o_orderdate", "2001-08-01")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [Or(LessThan(o_orderdate" in plan
+
+
+def test_rows_without_a_match_are_not_shuffled_with_a_digest(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(merge, "DIGEST_BITS", 1 << 15)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        schema = "k int, s string, v int"
+        target = spark.createDataFrame([(i % 3000 if i % 7 else None, "" if i % 2 else None, i) for i in range(6000)], schema)
+        source = spark.createDataFrame([(i, None, 0) for i in range(0, 900, 3)] + [(None, "", 0), (5000, "x", 0)], schema)
+        target.write.parquet(f"{tmp_path}/t")
+        source.write.parquet(f"{tmp_path}/s")
+        target, source = spark.read.parquet(f"{tmp_path}/t"), spark.read.parquet(f"{tmp_path}/s")
+        found = missing_from_source(target, source, ["k", "s"], prefilter=True)
+        assert rows(found) == rows(missing_from_source(target, source, ["k", "s"]))
+        assert found.count() > 4000
+        on = MergeKeys(target, ["k", "s"], "the target")
+        digested = merge._may_be_held(target, on.project(source), on)
+        plan = digested.filter("NOT _may").select("t.*")._jdf.queryExecution().executedPlan().toString()
+        # Only the digest itself is aggregated by an exchange; target rows stay in the tasks that read them.
+        assert plan.count("Exchange hashpartitioning(_bucket") == plan.count("Exchange hashpartitioning") == 1
+        assert digested.filter("_may").count() < 1800  # 300 keys and chance hits of 32768 bits
+        monkeypatch.setattr(merge, "DIGEST_KEYS", 0)
+        plan = missing_from_source(target, source, ["k", "s"], prefilter=True)._jdf.queryExecution().executedPlan().toString()
+        assert "bitmap" not in plan
+        assert missing_from_source(target, source.limit(0), ["k", "s"], prefilter=True).count() == 6000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -200,3 +200,27 @@ def test_an_emptied_table_is_loaded_anew(spark, lake):
     assert not table_exists(spark, lake) and applied(spark, lake) == {"n": 3}
     assert load_delivery(spark, delivery(spark, (2, "2020-01-01", "b")), table) == 1
     assert values(spark, lake)[0][0] == 2 and applied(spark, lake) == {"n": 3}
+
+
+def test_a_delivery_rewrites_the_buckets_of_its_keys_only(spark, lake):
+    table = TrustedTable(lake, ["K"], "d", buckets=16)
+    first = spark.range(200).selectExpr("CAST(id AS INT) AS k", "DATE '2020-01-01' AS d", "'old' AS v")
+    load_delivery(spark, first, table, record={"n": 1})
+    assert applied(spark, lake) == {"n": 1, "buckets": 16}
+    before = {p: snapshot(f"{lake}/{p}") for p in os.listdir(lake) if p.startswith("KEY_BUCKET")}
+    assert len(before) == 16
+    # The delivery has its key in another type.
+    second = spark.createDataFrame([(7, "2020-02-01", "new"), (500, "2020-02-01", "new")], "k long, d string, v string")
+    load_delivery(spark, second.withColumn("d", F.col("d").cast("date")), table)
+    changed = {p for p in before if snapshot(f"{lake}/{p}") != before[p]}
+    held = {r["k"]: (r["v"], r["KEY_BUCKET"]) for r in spark.read.parquet(lake).collect()}
+    assert len(held) == 201 and held[7][0] == held[500][0] == "new"
+    assert changed == {f"KEY_BUCKET={held[7][1]}", f"KEY_BUCKET={held[500][1]}"}
+    # The window delete reaches rows of every bucket, another number of buckets moves every row.
+    load_delivery(spark, second.limit(0).withColumn("d", F.col("d").cast("date")), table, as_of="2020-02-20")
+    assert {r["k"] for r in spark.read.parquet(lake).collect()} == set(range(200)) - {7}
+    load_delivery(spark, first.filter("k < 3").withColumn("v", F.lit("third")), TrustedTable(lake, ["K"], "d", buckets=3))
+    held = {r["k"]: r["KEY_BUCKET"] for r in spark.read.parquet(lake).collect()}
+    assert len(held) == 199 and set(held.values()) == {0, 1, 2}
+    with pytest.raises(ValueError, match="not both"):
+        TrustedTable(lake, ["k"], "d", partitioned=True, buckets=2)

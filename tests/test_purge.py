@@ -83,3 +83,23 @@ def test_a_failed_dataset_keeps_its_data_and_the_others_go_on(spark, lake):
     assert spark.read.parquet(f"{lake}/c/a").count() == 3 and spark.read.parquet(f"{lake}/c/b").count() == 1
     purge(spark, listed, lambda c, p: f"{lake}/{c}/{p}", f"{lake}/result")
     assert spark.read.parquet(f"{lake}/result").count() == 4
+
+
+def test_a_second_purge_reads_none_of_the_files_of_the_first(spark, lake):
+    import glob
+
+    rows = spark.createDataFrame([(1, "a", 5), (1, "a", 7), (2, "b", 6)], "k int, v string, updated long")
+    rows.write.parquet(lake)
+    purge_dataset(spark, lake, "updated")
+    (kept,) = glob.glob(f"{lake}/updated=7/*.parquet")
+    with open(kept, "rb") as f:
+        data = f.read()
+    with open(kept, "wb") as f:
+        f.write(b"not to be read")
+    first, second = purge_dataset(spark, lake, "UPDATED")
+    assert first == second
+    with open(kept, "wb") as f:
+        f.write(data)
+    spark.createDataFrame([(1, "a"), (3, "c")], "k int, v string").write.mode("append").parquet(f"{lake}/updated=9")
+    purge_dataset(spark, lake, "updated")
+    assert sorted(tuple(r) for r in spark.read.parquet(lake).collect()) == [(1, "a", 9), (2, "b", 9), (3, "c", 9)]

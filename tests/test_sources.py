@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from zonemill.sources import files
 from zonemill.sources.datasets import (
     read_by_unit,
+    read_units,
     read_control_csv,
     read_parquet,
     read_table,
@@ -119,3 +120,27 @@ def test_small_texts_and_moves(spark, lake):
     files.write_text(spark, f"{lake}/t", "")
     with pytest.raises(FileExistsError):
         files.move(spark, f"{lake}/t", f"{lake}/deep/u")
+
+
+def test_units_are_one_scan_pruned_by_the_file_path(spark, lake):
+    rows = spark.createDataFrame([(1, "a b"), (2, "a b"), (3, "c+d%"), (4, "é")], "v int, u string")
+    rows.write.partitionBy("u").parquet(f"{lake}/t")
+    rows.filter("v = 1").select("v", "v").toDF("v", "extra").write.parquet(f"{lake}/s/x.y/data")
+    rows.filter("v > 1").select("v").write.parquet(f"{lake}/s/z/data")
+    every = read_units(spark, f"{lake}/t/u=%bu%", template=True)
+    assert every._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    assert len(every.inputFiles()) >= 3
+    found = sorted((r["v"], r["bu"]) for r in every.collect())
+    assert [v for v, _ in found] == [1, 2, 3, 4] and found[0][1] == "a b" and found[3][1] == "é"
+    some = read_units(spark, f"{lake}/t/u=%bu%", ["a b"], template=True, tag="unit")
+    assert sorted((r["v"], r["unit"]) for r in some.collect()) == [(1, "a b"), (2, "a b")]
+    below = read_units(spark, f"{lake}/s/%bu%/data/", template=True)
+    assert sorted((r["v"], r["extra"], r["bu"]) for r in below.collect()) == [(1, 1, "x.y"), (2, None, "z"), (3, None, "z"), (4, None, "z")]
+    one = below.filter("bu = 'z'")
+    one.collect()
+    metrics = one._jdf.queryExecution().executedPlan()
+    assert "file_path" in metrics.toString()
+    with pytest.raises(ValueError, match="no units"):
+        read_units(spark, f"{lake}/t", [])
+    with pytest.raises(ValueError, match="no %bu%"):
+        read_units(spark, f"{lake}/t", template=True)

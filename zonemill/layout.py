@@ -8,6 +8,7 @@ TRUSTED_ZONE = "trusted"
 FAILED_ZONE = "failed"
 ARCHIVE_ZONE = "raw_processados"
 PARTITION_MONTH = "PARTITION_DT"
+KEY_BUCKET = "KEY_BUCKET"
 INSERTED_COLUMN = "InsertedDate"
 UPDATED_COLUMN = "UpdatedDate"
 WINDOW_DAYS = 35

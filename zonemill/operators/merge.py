@@ -12,10 +12,12 @@ from zonemill.functions.clean import cast_in_range
 from zonemill.functions.columns import col, find, require
 from zonemill.functions.keys import MergeKeys
 from zonemill.layout import INSERTED_COLUMN, UPDATED_COLUMN
-from zonemill.session import fits_broadcast
+from zonemill.session import fits_broadcast, size_in_bytes
 
 # Rows of one key that a task can take. Every key with more is spread over tasks.
 HEAVY_ROWS = 100_000
+# Bits of the digest of source keys, the most keys it is made for, and the least bytes of a key in a size estimate.
+DIGEST_BITS, DIGEST_KEYS, KEY_BYTES = 1 << 28, 1 << 25, 8
 AUDIT_MODES = ("null", "preserve", "none")
 
 
@@ -274,18 +276,48 @@ def _salted_repeats(batch: DataFrame, counts: DataFrame, on: MergeKeys, small: b
     )
 
 
-def missing_from_source(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def missing_from_source(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], prefilter: bool = False
+) -> DataFrame:
     """Target rows whose key the source does not hold.
 
     A source too large to broadcast meets the target by key. Its distinct keys are found by
     key and part, so that both sides of the join are plain exchanges and adaptive execution
     can split a heavy target key over tasks, however many such keys there are.
+
+    With ``prefilter``, which pays where most target rows have no match, such a source is
+    first digested to a bit set of its hashed keys, of ``DIGEST_BITS`` at most, which is
+    broadcast. A target row whose bit is not set has no match: the task that reads it hands
+    it on. Only the others are shuffled. Beyond ``DIGEST_KEYS`` source keys, by Spark's size
+    estimate, the digest would tell too little, and all rows are shuffled.
     """
     on = MergeKeys(target, list(keys), "the target")
     given = on.project(keys_as(target, source, on))
     part = F.pmod(F.xxhash64(*on.labels), F.lit(2)).alias("_part")
     present = given.groupBy(*on.labels, part).agg(F.lit(1).alias("_one")).select(*on.labels)
-    return target.alias("t").join(present.alias("p"), on.match_projected("t", "p"), "left_anti")
+    met, by_key = target.alias("t"), on.match_projected("t", "p")
+    if not prefilter or fits_broadcast(given) or size_in_bytes(given) > DIGEST_KEYS * KEY_BYTES:
+        return met.join(present.alias("p"), by_key, "left_anti")
+    possible = _may_be_held(target, given, on)
+    absent = possible.filter(~F.col("_may")).select("t.*")
+    doubtful = possible.filter(F.col("_may")).select("t.*").alias("t")
+    return absent.union(doubtful.join(present.alias("p"), by_key, "left_anti"))
+
+
+def _may_be_held(target: DataFrame, given: DataFrame, on: MergeKeys) -> DataFrame:
+    """Target rows ``t`` with ``_may``: whether the digest of the ``given`` keys has their bit.
+
+    The digest is a bit set in rows of 4 KB, fewer than ``DIGEST_BITS / 32768`` of them.
+    """
+    place = F.xxhash64(*on.labels).bitwiseAND(F.lit(DIGEST_BITS - 1))
+    digest = given.select(F.bitmap_bucket_number(place).alias("_bucket"), F.bitmap_bit_position(place).alias("_bit"))
+    digest = digest.groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bits"))
+    place = F.xxhash64(*on.columns("t")).bitwiseAND(F.lit(DIGEST_BITS - 1))
+    found = target.alias("t").join(F.broadcast(digest.alias("d")), F.bitmap_bucket_number(place) == F.col("d._bucket"), "left")
+    bit = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("d._bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    mask = F.element_at(F.array(*[F.lit(1 << i) for i in range(8)]), (bit % 8 + 1).cast("int"))
+    return found.withColumn("_may", F.coalesce(byte.bitwiseAND(mask) > 0, F.lit(False)))
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column]) -> DataFrame:

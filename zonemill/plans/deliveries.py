@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from zonemill.functions.clean import blank_to_null, with_partition_month
 from zonemill.functions.columns import col, find
 from zonemill.functions.keys import MergeKeys
-from zonemill.layout import MONTH_FORMAT, PARTITION_MONTH, WINDOW_DAYS, split_keys
+from zonemill.layout import KEY_BUCKET, MONTH_FORMAT, PARTITION_MONTH, WINDOW_DAYS, split_keys
 from zonemill.operators.merge import Upsert, keys_as, latest_per_key
 from zonemill.operators.window_delete import delete_window, in_window
 from zonemill.session import fits_broadcast
 from zonemill.sources import ledger
 from zonemill.sources.ledger import Held
-from zonemill.sources.publish import publish_table, table_exists
+from zonemill.sources.publish import applied, publish_table, table_exists
 
 
 @dataclass(frozen=True)
@@ -26,7 +26,9 @@ class TrustedTable:
     """How a trusted table is kept.
 
     ``date_column`` gives the month of a partitioned table and the date of the window
-    delete. ``merge_options`` go to the upsert.
+    delete. A table without months may be cut into ``buckets`` directories by a hash of its
+    keys, so that a delivery rewrites the buckets of its keys only; another number rewrites
+    the table once. ``merge_options`` go to the upsert.
     """
 
     path: str
@@ -34,6 +36,11 @@ class TrustedTable:
     date_column: str | None = None
     partitioned: bool = False
     merge_options: Mapping[str, object] = field(default_factory=dict)
+    buckets: int = 0
+
+    def __post_init__(self):
+        if self.partitioned and self.buckets:
+            raise ValueError("a table has months or buckets, not both")
 
     def month_from_key(self) -> bool:
         return self.date_column is not None and self.date_column.lower() in [k.lower() for k in self.keys]
@@ -70,7 +77,7 @@ def load_delivery(
     The first delivery creates the table as it is, with one row per key where the merge
     options ask for the latest. Of a partitioned table only those
     months are read in full and replaced that hold a matched row, a new row or a deleted
-    row. Any error leaves the table as it was. Returns the number of rows written.
+    row; of a table in buckets, those buckets. Any error leaves the table as it was. Returns the number of rows written.
     """
     batch = blank_to_null(delivery)
     exists = table_exists(spark, table.path)
@@ -79,7 +86,11 @@ def load_delivery(
             raise ValueError("a partitioned table needs a date column")
         if not exists or find(batch, table.date_column):
             batch = with_partition_month(batch, table.date_column)
-    partition_by = PARTITION_MONTH if table.partitioned else None
+    partition_by = PARTITION_MONTH if table.partitioned else KEY_BUCKET if table.buckets else None
+    if table.buckets:
+        record = (record or {}) | {"buckets": table.buckets}
+        if not exists:
+            batch = _in_buckets(batch, MergeKeys(batch, table.keys, "the delivery"), table)
     if not exists:
         if table.merge_options.get("on_duplicate") == "latest":
             batch = latest_per_key(batch, table.keys, table.merge_options["order_by"])
@@ -89,7 +100,15 @@ def load_delivery(
     held = ledger.held(spark, table.path)
     current = held.rows
     months = None
-    if table.partitioned and PARTITION_MONTH not in current.columns:
+    if table.buckets:
+        on = MergeKeys(current, table.keys, "the target")
+        batch = _in_buckets(keys_as(current, batch, on), on, table)
+        if applied(spark, table.path).get("buckets") == table.buckets:
+            months = touched_buckets(current, batch, table, as_of)
+            current = current.filter(col(KEY_BUCKET).isin(months))
+        else:
+            current = _in_buckets(current, on, table)
+    elif table.partitioned and PARTITION_MONTH not in current.columns:
         current = with_partition_month(current, table.date_column)
     elif table.partitioned:
         months = touched_months(current, batch, table, as_of, held)
@@ -135,6 +154,18 @@ def touched_months(
     return [row[0] for row in months.collect()]
 
 
+def touched_buckets(current: DataFrame, batch: DataFrame, table: TrustedTable, as_of: str | None = None) -> list[int]:
+    """Buckets whose rows an upsert of ``batch`` changes, adds to or deletes from: a key never leaves its bucket."""
+    touched = batch.select(KEY_BUCKET)
+    if as_of is not None:
+        touched = touched.union(current.filter(in_window(current, table.date_column, as_of)).select(KEY_BUCKET))
+    return [row[0] for row in touched.distinct().collect()]
+
+
+def _in_buckets(rows: DataFrame, on: MergeKeys, table: TrustedTable) -> DataFrame:
+    return rows.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*on.columns()), F.lit(table.buckets)).cast("int"))
+
+
 def _no_month(batch: DataFrame) -> DataFrame:
     return batch.select(F.lit(None).cast("string").alias(PARTITION_MONTH))
 

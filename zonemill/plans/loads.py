@@ -95,7 +95,7 @@ def publish_to_warehouse(
 ) -> None:
     """Copy a refined table to the warehouse table of the same name, replacing its rows."""
     refined = "/".join([root.rstrip("/"), row["Zone"], row["SchemaName"], row["TableName"]])
-    write(read_parquet(spark, refined), connection, row["Container"], row["TableName"], mode=mode, **options)
+    write(read_parquet(spark, refined, merge_schema=True), connection, row["Container"], row["TableName"], mode=mode, **options)
 
 
 def _record_run(spark: SparkSession, control_path: str) -> None:

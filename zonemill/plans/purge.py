@@ -12,9 +12,10 @@ from zonemill.functions.columns import require
 from zonemill.functions.times import fixed, now_text
 from zonemill.layout import PURGE_GREW_MESSAGE
 from zonemill.operators.compact import compact, size_label
-from zonemill.sources.datasets import read_control_csv, read_parquet, write_dataset
+from zonemill.sources import ledger
+from zonemill.sources.datasets import read_control_csv, write_dataset
 from zonemill.sources.files import dataset_size
-from zonemill.sources.publish import publish_table, recover
+from zonemill.sources.publish import applied, publish_table
 
 # Schemas and markers of the purge tables.
 PURGE_SCHEMA = (
@@ -57,16 +58,20 @@ def _purge_row(fields: tuple) -> tuple:
 def purge_dataset(spark: SparkSession, path: str, update_column: str, convert_date: bool = False) -> tuple[int, int]:
     """Compact one dataset in place, into one partition; returns its size before and after.
 
-    The distinct rows are rebalanced, so the size of a file follows the session's advisory
-    partition size. ``convert_date`` reads a numeric update column as epoch milliseconds; a
+    A dataset that has only the files of its last purge by that column is left as it is, and
+    none of them is read. The distinct rows are rebalanced, so the size of a file follows the
+    session's advisory partition size. ``convert_date`` reads a numeric update column as epoch milliseconds; a
     dataset whose column is a date already, as after a purge, is compacted as it is.
     """
-    recover(spark, path)
+    last = applied(spark, path)
     initial = dataset_size(spark, path).first()["bytes"]
-    rows = read_parquet(spark, path, merge_schema=True)
+    held = ledger.held(spark, path)
+    if last.get("purged") == update_column.lower() and held.files and not held.unknown:
+        return initial, initial
+    rows = held.rows
     (name,) = require(rows, [update_column], "the dataset")
     numeric = isinstance(rows.schema[name].dataType, T.NumericType)
-    publish_table(compact(rows, name, convert_date and numeric), path, name)
+    publish_table(compact(rows, name, convert_date and numeric), path, name, record={"purged": name.lower()}, held=held)
     return initial, dataset_size(spark, path).first()["bytes"]
 
 

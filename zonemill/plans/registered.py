@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from zonemill.functions.clean import blank_to_null, conform, with_partition_month
 from zonemill.functions.times import epoch_ms_to_date, run_stamp, run_time_text
-from zonemill.layout import PARTITION_MONTH, RAW_ZONE
+from zonemill.layout import KEY_BUCKET, PARTITION_MONTH, RAW_ZONE
 from zonemill.operators.compact import compact
 from zonemill.operators.control import record_status, with_connection, work_list
 from zonemill.operators.merge import latest_per_key, merge_upsert, missing_from_source
@@ -20,12 +20,11 @@ from zonemill.plans.deliveries import TrustedTable, load_delivery, repartition_t
 from zonemill.session import work_dir
 from zonemill.sources import files
 from zonemill.sources.datasets import (
-    read_by_unit,
     read_parquet,
     read_table,
+    read_units,
     register_query_views,
     register_views,
-    tagged_union,
     write_dataset,
 )
 from zonemill.streaming.ingest import ingest_stream, reject_empty
@@ -107,10 +106,8 @@ def scan_table_by_value(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def scan_by_unit(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "customer")
-    customer = table(spark, sf_dir, "customer")
-    write_dataset(customer, path, partition_by="c_mktsegment")
-    units = [row[0] for row in customer.select("c_mktsegment").distinct().collect()]
-    return tagged_union(read_by_unit(spark, f"{path}/c_mktsegment=%bu%", units, template=True))
+    write_dataset(table(spark, sf_dir, "customer"), path, partition_by="c_mktsegment")
+    return read_units(spark, f"{path}/c_mktsegment=%bu%", template=True)
 
 
 @query
@@ -256,6 +253,16 @@ def merge_touched_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
+@query
+def merge_touched_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two loads of a table in buckets; the second delivers a few customers' orders again and some new ones."""
+    path = work_dir(spark, "orders")
+    trusted = TrustedTable(path, ["o_orderkey"], buckets=8)
+    load_delivery(spark, loaded_orders(spark, sf_dir), trusted)
+    load_delivery(spark, delivered_orders(spark, sf_dir), trusted)
+    return read_table(spark, path).drop(KEY_BUCKET)
+
+
 @query
 def partition_rewrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "orders")
@@ -334,7 +341,7 @@ def partial_update(spark: SparkSession, sf_dir: str) -> DataFrame:
 def missing_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").filter(F.col("o_orderdate") >= "2001-07-01")
     return missing_from_source(
-        table(spark, sf_dir, "customer"), orders.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"]
+        table(spark, sf_dir, "customer"), orders.withColumnRenamed("o_custkey", "c_custkey"), ["c_custkey"], prefilter=True
     )
 
 
@@ -378,7 +385,7 @@ def work_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_status(after, work_list(control, Zone="trusted"), False, "2001-08-01")
 
 
-def _landing_run(spark: SparkSession, sf_dir: str) -> str:
+def _landing_run(spark: SparkSession, sf_dir: str, run_date: str | None = "2001-08-01") -> str:
     """A run that lands the customers of each listed nation; Europe's source is down."""
     root = work_dir(spark, "lake")
     register_views(spark, {"zonemill_run_source": f"{sf_dir}/customer.parquet"})
@@ -396,7 +403,7 @@ def _landing_run(spark: SparkSession, sf_dir: str) -> str:
     def land(row: Row) -> None:
         extract_to_raw(spark, row, root, spark.sql, "20220901172013123")
 
-    run_work_list(spark, f"{root}/control", RAW_ZONE, land, run_date="2001-08-01", log_path=f"{root}/log")
+    run_work_list(spark, f"{root}/control", RAW_ZONE, land, run_date=run_date, log_path=f"{root}/log")
     return root
 
 
@@ -408,6 +415,14 @@ def work_run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return log.select("FilePath", "status", F.col("error").isNotNull().alias("failed"), today.alias("dated"))
 
 
+@query
+def work_run_today(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Control table after a run without a given date: whether a row now bears today's."""
+    after = read_parquet(spark, f"{_landing_run(spark, sf_dir, run_date=None)}/control")
+    today = F.col("UpdatedDate") >= F.date_format(F.date_sub(F.current_date(), 1), "yyyy-MM-dd")
+    return after.select("RowKey", "Zone", "JobExecution", today.alias("today"))
+
+
 @query
 def work_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Control table after a run."""
@@ -506,6 +521,17 @@ def ingest_backlog(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _ingest(spark, root, combine=True))
 
 
+@query
+def ingest_mixed_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One delivery of two files, of which one has a column more."""
+    root = work_dir(spark, "lake")
+    orders, late = table(spark, sf_dir, "orders"), _from("o_orderdate", LOADED_BEFORE)
+    name = f"{root}/raw/20220901000000001_orders.parquet"
+    write_dataset(orders.filter(~late).drop("o_orderpriority"), name)
+    write_dataset(orders.filter(late), name)
+    return read_table(spark, _ingest(spark, root))
+
+
 @query
 def ingest_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second run replaces the rows of the window before its reference date."""

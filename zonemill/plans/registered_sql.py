@@ -51,6 +51,10 @@ ORACLE_SQL: dict[str, str] = {
         WITH t AS ({T}), s AS ({S})
         SELECT * FROM s UNION ALL SELECT t.* FROM t ANTI JOIN s USING (o_orderkey)
     """,
+    "merge_touched_buckets": f"""
+        WITH t AS ({T}), s AS ({S})
+        SELECT * FROM s UNION ALL SELECT t.* FROM t ANTI JOIN s USING (o_orderkey)
+    """,
     "merge_months": f"""
         WITH t AS ({T}), s AS ({S}),
              m AS (SELECT * FROM s UNION ALL SELECT t.* FROM t ANTI JOIN s USING (o_orderkey))
@@ -150,6 +154,10 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN done THEN 1 ELSE 0 END AS JobExecution, CASE WHEN done THEN landed END AS landed
         FROM run LEFT JOIN held USING (RowKey)
     """,
+    "work_run_today": f"""
+        SELECT RowKey, Zone, CASE WHEN done THEN 1 ELSE 0 END AS JobExecution, done AS today
+        FROM (SELECT *, Zone = 'raw' AND FlagFilter = '0' AND JobStatus = '1' AND highway <> 'EUROPE' AS done FROM ({CONTROL}))
+    """,
     "epoch_dates": "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events",
     "run_stamps": """
         SELECT event_id, strftime(ts - INTERVAL 3 HOUR, '%Y-%m-%d %H:%M:%S.%g') AS run_time,
@@ -181,9 +189,13 @@ ORACLE_SQL: dict[str, str] = {
                        WHEN year(o_orderdate) >= 1995 THEN 1997 ELSE 1995 END AS told_in, {MONTH}
         FROM orders
     """,
+    "ingest_mixed_delivery": f"""
+        SELECT * REPLACE (CASE WHEN o_orderdate >= TIMESTAMP '2000-07-01' THEN o_orderpriority END AS o_orderpriority), {MONTH}
+        FROM orders
+    """,
     "ingest_window": f"""
         WITH m AS (
-            SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-06-27'
+            SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '2001-06-27' OR o_orderdate IS NULL
             UNION ALL
             SELECT * REPLACE (o_totalprice * 2 AS o_totalprice) FROM orders
             WHERE o_orderdate >= TIMESTAMP '2001-07-01' AND o_orderstatus = 'O')

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from functools import reduce
 
@@ -14,6 +15,8 @@ from zonemill.functions.columns import col, quoted
 from zonemill.layout import unit_path
 
 CONTROL_SEPARATOR = ";"
+# Fixed value: what stands for the unit in a path.
+UNIT_MARK = "%bu%"
 
 
 def read_parquet(
@@ -66,6 +69,34 @@ def read_by_unit(
     return {u: read_parquet(spark, unit_path(path, u, template), column, value, glob) for u in units or []}
 
 
+def read_units(
+    spark: SparkSession,
+    path: str,
+    units: Sequence[str] | None = None,
+    template: bool = False,
+    tag: str = "bu",
+    glob: str = "*.parquet",
+) -> DataFrame:
+    """The datasets of all business units, or of the given ones, as one scan with the unit in a column.
+
+    The unit is read from the path of each file. Only the directories of given units are
+    listed, and a filter on the column passes the files of other units over. Columns that
+    only some units have are NULL for the others.
+    """
+    place = path if template else f"{path.rstrip('/')}/%bu%"
+    if UNIT_MARK not in place:
+        raise ValueError(f"the template {path!r} holds no {UNIT_MARK}")
+    reader = spark.read.option("pathGlobFilter", glob).option("mergeSchema", True)
+    roots = [place.replace(UNIT_MARK, u) for u in units] if units is not None else [place.replace(UNIT_MARK, "*")]
+    if not roots:
+        raise ValueError("there are no units to unite")
+    before, after = place.split(UNIT_MARK)
+    shape = f"{re.escape(before)}([^/]*){re.escape(after.rstrip('/'))}/"
+    found = F.regexp_extract(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), shape, 1)
+    rows = reader.parquet(*roots)
+    return rows.select(*map(col, rows.columns), found.alias(tag))
+
+
 def tagged_union(frames: dict[str, DataFrame], tag: str = "bu") -> DataFrame:
     """The datasets of :func:`read_by_unit` as one, with the unit in a column."""
     if not frames:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +35,33 @@ class Split:
         }
 
 
+def balanced_ranges(values: DataFrame, column: str, partitions: int) -> list[str]:
+    """Predicates that cut the rows of a source into about equal parts by a numeric, date or timestamp column.
+
+    ``values`` are the column's values, or a sample of them. Ranges end at their quantiles, so a
+    crowded stretch is cut finely; a value that alone fills several parts has one of its own. NULLs
+    go with the first range. Together the predicates hold every row once.
+    """
+    shares = [i / partitions for i in range(1, partitions)]
+    found = values.select(F.percentile_approx(col(column), shares, F.lit(10_000))).first()[0] if shares else None
+    if not found:
+        return ["1 = 1"]
+    heavy = {v for v, next_ in zip(found, found[1:]) if v == next_}
+    name, predicates, lower = column, [], ""
+    for value in sorted(set(found)):
+        text = _literal(value)
+        predicates.append(f"{name} < {text}" + (f" AND {lower}" if lower else f" OR {name} IS NULL"))
+        lower = f"{name} >= {text}"
+        if value in heavy:
+            predicates.append(f"{name} = {text}")
+            lower = f"{name} > {text}"
+    return [*predicates, lower]
+
+
+def _literal(value: object) -> str:
+    return str(value) if isinstance(value, (int, float, Decimal)) else f"'{value}'"
+
+
 def query_options(query: str, filter_text: str = "", split: Split | None = None) -> dict[str, str]:
     """Reader options for a source query; the filter text carries its own leading space."""
     text = query + (filter_text or "")
@@ -54,11 +82,18 @@ def extract_query(
     filter_text: str = "",
     split: Split | None = None,
     custom_schema: str | None = None,
+    ranges: Sequence[str] | None = None,
 ) -> DataFrame:
     """Result of a query that the source database runs.
 
-    Without ``split`` one task reads it all; give one for anything large.
+    Without ``split`` or ``ranges`` (see :func:`balanced_ranges`) one task reads it all; give
+    one for anything large.
     """
+    if ranges:
+        options = {**connection, "queryTimeout": str(QUERY_TIMEOUT_SECONDS)}
+        url = options.pop("url")
+        reader = spark.read.option("customSchema", custom_schema) if custom_schema else spark.read
+        return reader.jdbc(url, f"({query}{filter_text or ''}) q", predicates=list(ranges), properties=options)
     reader = spark.read.format("jdbc").options(**connection, **query_options(query, filter_text, split))
     return (reader.option("customSchema", custom_schema) if custom_schema else reader).load()
 

@@ -5,7 +5,7 @@ that names sort by time. It must appear complete, by one rename, and not change
 
 A file stream decides which deliveries are new; its checkpoint remembers them across
 runs. The stream carries paths only. The rows of a delivery are then read as a plain
-Parquet scan, with the columns that delivery has, so that pruning, file statistics and
+Parquet scan, with the columns that any file of that delivery has, so that pruning, file statistics and
 adaptive execution work as for any batch job.
 
 Deliveries waiting at the start of a run are one micro-batch. A batch may be repeated
@@ -73,26 +73,41 @@ def combined(deliveries: list[DataFrame], table: TrustedTable) -> list[tuple[Dat
     columns, no audit columns and no repeated key within a delivery: the last delivery
     that holds a key decides its row. Anything else stays a delivery of its own.
     """
-    fit = [_combines(delivery, table) for delivery in deliveries]
+    fit = [_may_combine(delivery, table) for delivery in deliveries]
+    alone = {i for i, d in enumerate(deliveries) if not (_alike(deliveries, fit, i - 1, i) or _alike(deliveries, fit, i, i + 1))}
+    repeats = _with_repeats({i: d for i, d in enumerate(deliveries) if fit[i] and i not in alone}, table.keys)
+    fit = [f and i not in repeats for i, f in enumerate(fit)]
     runs: list[list[DataFrame]] = []
     for i, delivery in enumerate(deliveries):
-        if i > 0 and fit[i - 1] and fit[i] and delivery.schema == deliveries[i - 1].schema:
+        if _alike(deliveries, fit, i - 1, i):
             runs[-1].append(delivery)
         else:
             runs.append([delivery])
     return [(_last_rows(run, table) if len(run) > 1 else run[0], len(run)) for run in runs]
 
 
-def _combines(delivery: DataFrame, table: TrustedTable) -> bool:
+def _alike(deliveries: list[DataFrame], fit: list[bool], i: int, j: int) -> bool:
+    return 0 <= i and j < len(deliveries) and fit[i] and fit[j] and deliveries[i].schema == deliveries[j].schema
+
+
+def _may_combine(delivery: DataFrame, table: TrustedTable) -> bool:
     audited = table.merge_options.get("audit", "null") != "none" and (
         find(delivery, INSERTED_COLUMN) or find(delivery, UPDATED_COLUMN)
     )
     if audited or table.merge_options.get("on_duplicate", "error") != "error":
         return False
-    if any(find(delivery, key) is None for key in table.keys):
-        return False
-    on = MergeKeys(delivery, table.keys, "the delivery")
-    return on.project(delivery).groupBy(on.labels).count().filter("count > 1").isEmpty()
+    return all(find(delivery, key) is not None for key in table.keys)
+
+
+def _with_repeats(deliveries: dict[int, DataFrame], keys: list[str]) -> set[int]:
+    """Deliveries that hold a key more than once, by one aggregate over the keys of all of them."""
+    tagged = [MergeKeys(d, keys, "the delivery").project(d, F.lit(i).alias("_delivery")) for i, d in deliveries.items()]
+    groups: dict[str, DataFrame] = {}
+    for given in tagged:  # deliveries with keys of other types are counted apart
+        name = given.schema.simpleString()
+        groups[name] = groups[name].union(given) if name in groups else given
+    counts = [g.groupBy(*g.columns).count().filter("count > 1").select("_delivery").distinct() for g in groups.values()]
+    return {row[0] for row in reduce(DataFrame.union, counts).distinct().collect()} if counts else set()
 
 
 def _last_rows(run: list[DataFrame], table: TrustedTable) -> DataFrame:
@@ -147,7 +162,8 @@ def ingest_stream(
         repeated = last.get("query") == query and last["batch"] == batch_id
         merged = list(last["deliveries"]) if repeated else []
         left = [name for name in waiting if name not in merged]
-        frames = [spark.read.parquet(f"{raw_path}/{name}") for name in left]
+        # Files of one delivery may differ in their columns.
+        frames = [spark.read.option("mergeSchema", True).parquet(f"{raw_path}/{name}") for name in left]
         for delivery, size in combined(frames, table) if combine else [(frame, 1) for frame in frames]:
             first = not merged
             merged, left = merged + left[:size], left[size:]
