@@ -144,3 +144,70 @@ def test_a_cache_forgets_and_stays_right():
         assert cache[word] == len(word)
         cache.trim()
     assert len(cache) <= 3 and len(cache.old) <= 4
+
+
+def test_language_query_equals_a_plain_reading(spark):
+    """Every text word by word, from the model's tables, without caches and batches."""
+    import math
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from zonemill.llm import language
+    from zonemill.llm.common import remainder
+    from zonemill.llm.queries import op1_language
+
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    model = language.fit(docs.filter(remainder("doc_id", 3) != 1))
+    found = {r["doc_id"]: r for r in op1_language(spark, path).collect()}
+    for row in docs.select("doc_id", "text").collect():
+        words = Counter(language.words_of(row["text"]))
+        got = found[row["doc_id"]]
+        if not any(w.isalpha() for w in words):
+            assert (got["lang_pred"], got["score"]) == ("und", 0.0)
+            continue
+        total = [0.0] * len(model.languages)
+        for word, n in words.items():
+            for i, value in enumerate(model.word_scores(word)):
+                total[i] += n * float(value)
+        top = max(total)
+        assert total[model.languages.index(got["lang_pred"])] == pytest.approx(top, abs=1e-6)
+        assert got["score"] == pytest.approx(1 / sum(math.exp(t - top) for t in total), abs=1e-6)
+    assert docs.filter(F.col("text").isNotNull()).count() > 100
+
+
+def test_quality_query_equals_a_plain_reading(spark):
+    """Compressed sizes chunk by chunk and the logistic curve term by term, a text at a time."""
+    import math
+
+    import zstandard
+
+    from zonemill.llm import quality
+    from zonemill.llm.queries import learnable, op9_quality
+
+    path = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    model = quality.fit(docs, learnable(spark.read.parquet(f"{path}/labels.parquet")))
+    found = {r["doc_id"]: r for r in op9_quality(spark, path).collect()}
+
+    def packed(chunk, dictionary=None):
+        held = zstandard.ZstdCompressionDict(dictionary) if dictionary else None
+        settings = {"write_content_size": False, "write_checksum": False, "write_dict_id": False}
+        return len(zstandard.ZstdCompressor(level=3, dict_data=held, **settings).compress(chunk))
+
+    for row in docs.select("doc_id", "text").filter("length(text) < 3000").limit(40).collect():
+        data, features = (row["text"] or "").encode(), []
+        for size, (good, bad) in model.dictionaries.items():
+            parts = [data[i : i + size] for i in range(0, len(data), size)] or [b""]
+            a, b = (sum(packed(p, d) for p in parts) for d in (good, bad))
+            features += [(b - a) / max(a, b), a / max(1, len(data)), b / max(1, len(data))]
+        largest = max(model.dictionaries)
+        parts = [data[i : i + largest] for i in range(0, len(data), largest)] or [b""]
+        features.append(sum(map(packed, parts)) / max(1, len(data)))
+        z = [min(6.0, max(-6.0, (x - float(m)) / float(s))) for x, m, s in zip(features, model.middle, model.spread, strict=True)]
+        terms = [1.0, *z, *[z[i] * z[j] for i in range(len(z)) for j in range(i, len(z))]]
+        value = sum(t * float(c) for t, c in zip(terms, model.curve, strict=True))
+        score = 1 / (1 + math.exp(-min(30.0, max(-30.0, value))))
+        got = found[row["doc_id"]]
+        assert got["score"] == pytest.approx(score, abs=1e-9) and got["predicted"] == int(got["score"] >= 0.3)

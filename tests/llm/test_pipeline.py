@@ -1,10 +1,14 @@
+import hashlib
+import re
 import zlib
 
 import corpus_pipeline
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from zonemill.llm import quality, toxicity
 from zonemill.llm.oracles import ORACLE_SQL
 from zonemill.llm.queries import QUERIES, learnable
 
@@ -34,6 +38,55 @@ def test_stages_hand_on_the_columns_of_documents(stages):
         assert out.exceptAll(given).isEmpty()
 
 
+@pytest.mark.parametrize("name, classifier, cut, wanted", [("toxicity", toxicity, 0.5, 0), ("quality", quality, 0.3, 1)])
+def test_classifier_stages_keep_what_scores_say_text_by_text(spark, stages, name, classifier, cut, wanted):
+    given, out = stages[name]
+    model = classifier.fit(given, learnable(spark.read.parquet(f"{SF_DIR}/labels.parquet")))
+    if classifier is toxicity:
+        score = lambda text: float(toxicity.TextScorer(model).scores([text])[0])
+    else:
+        measure = model.features()
+        score = lambda text: float(model.probability(np.array([measure(text)]))[0])
+    rows = given.select("doc_id", "text").collect()
+    kept = sorted(r["doc_id"] for r in rows if int(score(r["text"]) >= cut) == wanted)
+    assert sorted(r["doc_id"] for r in out.select("doc_id").collect()) == kept and 0 < len(kept) < len(rows)
+
+
+def test_mixing_keeps_what_plain_raking_says(stages):
+    given, out = stages["mixing"]
+    rows = given.select("doc_id", "source", "lang", "text").collect()
+    kind = lambda t: "table" if "|" in t else "shout" if "!!" in t else "numbers" if re.search("[0-9]", t) else "prose"
+    cell_of = {r["doc_id"]: (r["source"], r["lang"], kind(r["text"])) for r in rows}
+    held = {}
+    for r in rows:
+        held[cell_of[r["doc_id"]]] = held.get(cell_of[r["doc_id"]], 0) + -(-len(r["text"]) // 4)
+    targets = []
+    for at, power in enumerate((0.7, 0.8, 1.0)):
+        sums = {}
+        for cell, n in held.items():
+            sums[cell[at]] = sums.get(cell[at], 0) + n
+        raised = {v: float(n) ** power for v, n in sums.items()}
+        targets.append({v: x / sum(raised.values()) for v, x in raised.items()})
+    share = {cell: float(n) for cell, n in held.items()}
+    for _ in range(10):
+        for at in range(3):
+            sums = {}
+            for cell, x in share.items():
+                sums[cell[at]] = sums.get(cell[at], 0) + x
+            share = {cell: x * targets[at][cell[at]] / sums[cell[at]] if sums[cell[at]] else 0.0 for cell, x in share.items()}
+    everything = sum(held.values())
+    wanted = {cell: x / sum(share.values()) * everything for cell, x in share.items()}
+    low, high = 0.0, 1e6  # the scale at which 0.9 of the tokens are kept, by halving
+    for _ in range(200):
+        scale = (low + high) / 2
+        kept = sum(n * min(1.0, scale * wanted[cell] / n) for cell, n in held.items() if n)
+        low, high = (scale, high) if kept < 0.9 * everything else (low, scale)
+    chance = {cell: min(1.0, high * wanted[cell] / n) if n else 1.0 for cell, n in held.items()}
+    draw = lambda i: int(hashlib.md5(f"mix:{i}".encode()).hexdigest()[:8], 16) / 2**32
+    expected = sorted(i for i, cell in cell_of.items() if draw(i) < chance[cell])
+    assert sorted(r["doc_id"] for r in out.select("doc_id").collect()) == expected
+
+
 def test_near_duplicates_leave_one_of_each_group(stages):
     given, out = stages["near_duplicates"]
     texts = {r["doc_id"]: r["text"] for r in given.collect()}
