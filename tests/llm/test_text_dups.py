@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -96,3 +97,50 @@ def test_an_id_with_two_texts_is_two_documents(spark):
     assert told == {two + " x": (3, True), one: (5, True), two: (3, False), one + " y": (5, False), None: (9, True)}
     left = without_near_duplicates(df.withColumns({"text_hash": F.lit(1), "kept": F.lit("mine")}))
     assert sorted((r["doc_id"], r["text"] or "") for r in left.collect()) == [(3, two + " x"), (5, one), (9, "")]
+
+
+def test_large_regions_lose_nothing_that_the_windows_miss(spark, monkeypatch):
+    """Without any window, all links come from the comparison of what is in different components."""
+    texts = corpus(seed=9)
+    df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], SCHEMA).repartition(3)
+    monkeypatch.setattr(text_dups, "WINDOW", 1)
+    monkeypatch.setattr(text_dups, "REGION_BLOCK", 16)
+
+    def nothing(batches):
+        import pyarrow
+
+        for _ in batches:
+            pass
+        yield pyarrow.RecordBatch.from_arrays([pyarrow.array([], pyarrow.int64())] * 2, names=["a", "b"])
+
+    nothing.__module__ = "__main__"  # workers cannot import this file
+    monkeypatch.setattr(text_dups, "_windows", nothing)
+    assert found(df) == brute(texts)
+
+
+def test_a_region_of_two_thousand_classes_equals_brute_force(spark):
+    """Texts of one base with a tenth of their words changed: most pairs are near the threshold."""
+    draw = random.Random(4)
+    base = [f"b{i}" for i in range(200)]
+    texts = {}
+    for i in range(2000):
+        words = list(base)
+        for _ in range(draw.choice([0, 1, 2, 3, 4])):
+            words[draw.randrange(len(words))] = f"n{draw.randrange(10**6)}"
+        texts[i] = " ".join(words)
+    sets = {i: shingles(t) for i, t in texts.items()}
+    numbers = {s: n for n, s in enumerate({x for one in sets.values() for x in one})}
+    held = np.zeros((len(texts), len(numbers)), dtype=np.float32)
+    for i, one in sets.items():
+        held[i, [numbers[s] for s in one]] = 1
+    both = held @ held.T
+    size = held.sum(axis=1)
+    near = 100 * both >= 75 * (size[:, None] + size[None, :] - both)
+    label = np.arange(len(texts))
+    while True:
+        least = np.where(near, label[None, :], len(texts)).min(axis=1)
+        if (least == label).all():
+            break
+        label = least
+    df = spark.createDataFrame([(i, t, "x") for i, t in texts.items()], SCHEMA).repartition(3)
+    assert {i: c for i, (_, c) in found(df).items()} == dict(enumerate(label.tolist()))

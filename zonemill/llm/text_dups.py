@@ -5,20 +5,19 @@
    values. Texts with equal sets are one class from here on.
 2. Classes that share a key form a region of that order. Regions are sorted by the values
    that follow and read in windows, so that neighbours share the longest common prefix: a
-   small region is compared as a whole, a large one only where prefixes go on, to whatever
-   depth the region needs. A window hands on the strongest links between its classes, by
+   small region is compared as a whole, a large one first where prefixes go on, to whatever
+   depth the region needs, and then between what that left apart. A window hands on the strongest links between its classes, by
    the share of equal signature values, that join those above ``SCREEN``.
 3. The components of these candidates are compared exactly: the texts of a component meet in
    one task, or in one task for every two blocks of it, and pairs above the screen are
    confirmed on the full sets unless confirmed links join them already. Their components
    are the result.
 
-A pair at a similarity of 0.75 shares no key with probability (1 - 0.75**4)**32 < 1e-5 and
-falls below the screen with probability < 1e-6. These bounds hold for regions of up to ``WINDOW``
-classes that one task reads. In a larger region a class is compared with those of its windows of
-``WINDOW`` in the order of the 16 values that follow; windows overlap by ``OVERLAP`` within a task,
-not where a region is cut between tasks. Pairs further apart there rely on other trees and on
-links through third texts, and their probability to be missed is not bounded here. A component of more than ``BLOCK`` different texts costs work that is quadratic in its number of different
+A region of up to ``WINDOW`` classes is read by one task as a whole. The windows of a larger one
+join most of what is alike; then all its pairs of classes that are in different components are
+compared too, in blocks of ``REGION_BLOCK``. So every pair that shares a key is compared or joined
+by others, whatever the size of its regions. A pair at a similarity of 0.75 shares no key with
+probability (1 - 0.75**4)**32 < 1e-5 and falls below the screen with probability < 1e-6. A component of more than ``BLOCK`` different texts costs work that is quadratic in its number of different
 texts, spread over tasks; exact copies cost nothing.
 
 Defined cases: NULL texts and texts without a word have no shingles, link with nothing and
@@ -36,7 +35,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonemill.functions.columns import quoted
@@ -46,7 +45,7 @@ from zonemill.llm.components import connected_components, merged
 WORDS, TREES, DEPTH = 5, 32, 4
 HASHES = TREES * DEPTH
 SCREEN, LEAST = 0.56, 75
-WINDOW, OVERLAP, BLOCK = 64, 16, 256
+WINDOW, OVERLAP, BLOCK, REGION_BLOCK = 64, 16, 256, 2048
 MARKS = "n_shingles long, h1 long, h2 long, keys array<long>, sketch binary"
 
 _random = np.random.default_rng(20260102)
@@ -198,6 +197,54 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
+def _rest_of_regions(members: DataFrame, families: DataFrame) -> DataFrame:
+    """Links above the screen between classes of a large region that are in different components.
+
+    The classes outside the region's largest component meet all classes of the region, block
+    by block, so that no task holds more than two blocks, however large a region is.
+    """
+    own = members.join(families, "class", "left").withColumn("component", F.coalesce("component", "class"))
+    counts = own.groupBy("key", "component").agg(F.count(F.lit(1)).alias("held"))
+    top = counts.groupBy("key").agg(F.max(F.struct("held", "component")).alias("top"), F.sum("held").alias("all"))
+    top = top.filter(F.col("top.held") < F.col("all"))
+    blocks, others = F.ceil(F.col("all") / REGION_BLOCK), F.ceil((F.col("all") - F.col("top.held")) / REGION_BLOCK)
+    own = own.join(top.select("key", F.col("top.component").alias("largest"), blocks.alias("blocks"), others.alias("others")), "key")
+
+    def block(number: str, salt: str) -> Column:
+        return F.pmod(F.xxhash64("class", F.lit(salt)), F.col(number))
+
+    def each(number: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(number) - 1))
+
+    told = ["key", "class", "sketch", "component"]
+    rest = own.filter(F.col("component") != F.col("largest"))
+    rest = rest.select(*told, F.lit(True).alias("asks"), block("others", "rest").alias("one"), each("blocks").alias("two"))
+    every = own.select(*told, F.lit(False).alias("asks"), each("others").alias("one"), block("blocks", "all").alias("two"))
+    tiles = rest.unionByName(every).repartition("key", "one", "two").sortWithinPartitions("key", "one", "two")
+    return tiles.mapInArrow(_between, "a long, b long")
+
+
+def _between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The strongest links between components of tiles that arrive sorted."""
+    for rows in _in_groups(batches, ["key", "one", "two"]):
+        asking, asked = [r for r in rows if r["asks"]], [r for r in rows if not r["asks"]]
+        if not asking or not asked:
+            continue
+        ids = np.array([r["class"] for r in (*asking, *asked)])
+        _, root = np.unique([r["component"] for r in (*asking, *asked)], return_inverse=True)
+        one, two = (np.frombuffer(b"".join(r["sketch"] for r in some), np.uint8).reshape(len(some), -1) for some in (asking, asked))
+        links = []
+        equal = alike(one, two)
+        x, y = np.nonzero((equal >= SCREEN * HASHES) & (root[: len(one), None] != root[None, len(one) :]))
+        for at in np.argsort(-equal[x, y], kind="stable"):
+            a, b = x[at], len(one) + y[at]
+            if root[a] != root[b]:
+                root[root == max(root[a], root[b])] = min(root[a], root[b])
+                links.append((int(max(ids[a], ids[b])), int(min(ids[a], ids[b]))))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+
 def shared(one: np.ndarray, two: np.ndarray) -> int:
     """Size of the intersection of two sorted sets."""
     if len(one) > len(two):
@@ -269,20 +316,29 @@ def near_duplicates(
     heads = written(heads.select("class", *head, "keys", "sketch"), "heads")
 
     places = heads.select("class", F.posexplode("keys").alias("tree", "key"))
-    regions = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select("key")
+    regions = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
     active = written(places.join(regions, "key"), "regions")
     following = F.substring(F.concat("sketch", "sketch"), DEPTH * (F.col("tree") + 1) + 1, F.lit(16))
     members = written(
         active.join(heads.select("class", "sketch"), "class").select(
-            "key", following.alias("following"), "class", "sketch"
+            "key", "n", following.alias("following"), "class", "sketch"
         ),
         "members",
     )
-    ordered = members.repartitionByRange("key", "following", "class").sortWithinPartitions("key", "following", "class")
-    candidates = ordered.mapInArrow(_windows, "a long, b long")
+    small, large = members.filter(F.col("n") <= WINDOW), members.filter(F.col("n") > WINDOW)
+    order, read = ["key", "following", "class"], ["key", "class", "sketch"]
+    whole = small.repartition("key").sortWithinPartitions(*order).select(*read)
+    cut = large.repartitionByRange(*order).sortWithinPartitions(*order).select(*read)
+    candidates = whole.mapInArrow(_windows, "a long, b long").unionByName(cut.mapInArrow(_windows, "a long, b long"))
     families = written(
         connected_components(candidates, "candidates").select(F.col("id").alias("class"), "component"), "families"
     )
+    # Pairs of large regions that no window held, unless they are in one component already.
+    more = written(_rest_of_regions(large.select("key", "class", "sketch", "n"), families), "more")
+    if more.limit(1).count():
+        known = families.select(F.col("class").alias("a"), F.col("component").alias("b"))
+        both = connected_components(known.unionByName(more), "candidates")
+        families = written(both.select(F.col("id").alias("class"), "component"), "families")
 
     sizes = families.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
     dealt = (
