@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import pickle
+import shutil
+import tempfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -23,8 +25,13 @@ SAMPLE_BYTES = 64 << 20
 
 
 def prepare(spark: SparkSession) -> None:
-    """Let Python workers import this package, and keep their batches small."""
-    spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+    """Send this package to the Python workers, once a Spark context, and keep their batches small."""
+    context = spark.sparkContext
+    if not getattr(context, "_zonemill_sent", False):
+        # The driver hands the archive to the executors, wherever they run.
+        folder = tempfile.mkdtemp(prefix="zonemill-")
+        context.addPyFile(shutil.make_archive(f"{folder}/zonemill_source", "zip", ROOT, "zonemill"))
+        context._zonemill_sent = True
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
 
