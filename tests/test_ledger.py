@@ -25,7 +25,7 @@ def candidates(spark, path, keys, rows):
 
 
 def test_no_footer_of_an_untouched_month_is_read(spark, lake):
-    table = TrustedTable(lake, ["k", "d"], "d", partitioned=True)
+    table = TrustedTable(lake, ["k", "d"], "d", partitioned=True, key_digests=True)
     load_delivery(spark, delivery(spark, (1, "2020-01-01", "a"), (2, "2020-02-01", "b"), (3, "2020-03-01", "c")), table)
     (other,) = glob.glob(f"{lake}/PARTITION_DT=2020-02/*.parquet")
     with open(other, "wb") as f:
@@ -37,7 +37,7 @@ def test_no_footer_of_an_untouched_month_is_read(spark, lake):
 
 
 def test_columns_and_rows_of_another_writer_are_seen(spark, lake):
-    table = TrustedTable(lake, ["k"], "d", partitioned=True)
+    table = TrustedTable(lake, ["k"], "d", partitioned=True, key_digests=True)
     load_delivery(spark, delivery(spark, (1, "2020-01-01", "a"), (2, "2020-02-01", "b")), table)
     more = delivery(spark, (9, "2020-02-05", "x")).withColumn("extra", F.lit(7))
     more.write.mode("append").parquet(f"{lake}/PARTITION_DT=2020-02")
@@ -52,7 +52,7 @@ def test_columns_and_rows_of_another_writer_are_seen(spark, lake):
 def test_a_table_without_a_record_gets_one(spark, lake):
     rows = delivery(spark, (1, "2020-01-01", "a"), (2, "2020-02-01", "b")).withColumn("PARTITION_DT", F.date_format("d", "yyyy-MM"))
     rows.write.partitionBy("PARTITION_DT").parquet(lake)
-    table = TrustedTable(lake, ["k"], "d", partitioned=True)
+    table = TrustedTable(lake, ["k"], "d", partitioned=True, key_digests=True)
     load_delivery(spark, delivery(spark, (2, "2020-02-02", "B")), table)
     held = ledger.held(spark, lake)
     assert held.files.keys() == {"PARTITION_DT=2020-01", "PARTITION_DT=2020-02"} and not held.unknown
@@ -63,7 +63,7 @@ def test_a_table_without_a_record_gets_one(spark, lake):
 
 
 def test_only_months_that_may_hold_a_key_are_looked_at(spark, lake, monkeypatch):
-    table = TrustedTable(lake, ["K"], "d", partitioned=True)
+    table = TrustedTable(lake, ["K"], "d", partitioned=True, key_digests=True)
     months = F.expr("add_months(DATE '2020-01-15', CAST(k % 6 AS INT))")
     rows = spark.range(600).select(F.col("id").cast("int").alias("k"), F.lit("old").alias("v")).withColumn("d", months)
     load_delivery(spark, rows, table)
@@ -88,7 +88,7 @@ def test_only_months_that_may_hold_a_key_are_looked_at(spark, lake, monkeypatch)
 def test_false_candidates_only_cost_time(spark, lake, tmp_path, monkeypatch):
     first = delivery(spark, (1, "2020-01-01", "a"), (2, "2020-02-01", "b"), (None, "2020-03-01", "c"), (4, None, "d"))
     second = delivery(spark, (2, "2020-04-01", "B"), (None, "2020-05-01", "C"), (4, None, "D"), (6, "2020-01-09", "f"))
-    tables = [TrustedTable(f"{lake}/{n}", ["k"], "d", partitioned=True) for n in ("exact", "all")]
+    tables = [TrustedTable(f"{lake}/{n}", ["k"], "d", partitioned=True, key_digests=True) for n in ("exact", "all")]
     for table in tables:
         load_delivery(spark, first, table)
     load_delivery(spark, second, tables[0])

@@ -28,7 +28,9 @@ class TrustedTable:
     ``date_column`` gives the month of a partitioned table and the date of the window
     delete. A table without months may be cut into ``buckets`` directories by a hash of its
     keys, so that a delivery rewrites the buckets of its keys only; another number rewrites
-    the table once. ``merge_options`` go to the upsert.
+    the table once. ``key_digests`` keeps digests of the keys of each month, which spare a
+    delivery the keys of most months of a large table; a small one is faster without.
+    ``merge_options`` go to the upsert.
     """
 
     path: str
@@ -37,6 +39,7 @@ class TrustedTable:
     partitioned: bool = False
     merge_options: Mapping[str, object] = field(default_factory=dict)
     buckets: int = 0
+    key_digests: bool = False
 
     def __post_init__(self):
         if self.partitioned and self.buckets:
@@ -47,7 +50,7 @@ class TrustedTable:
 
     def digest_keys(self) -> list[str] | None:
         """The keys by which months are looked up, where their values do not tell the month."""
-        return self.keys if self.partitioned and not self.month_from_key() else None
+        return self.keys if self.key_digests and self.partitioned and not self.month_from_key() else None
 
     @classmethod
     def from_control(cls, row: Mapping[str, str], path: str, **merge_options: object) -> TrustedTable:

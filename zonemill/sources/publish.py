@@ -130,7 +130,8 @@ def _stage_keys(
     if names != held.get("names"):
         held, kept = {}, set()
     bits = held.get("bits") or ledger.bits_for(rows, len(fresh))
-    told = ledger.key_digests(staged, MergeKeys(staged, keys), partition_by, bits)
+    # Rebalanced, so that a partition's digests are one file unless they are large.
+    told = _laid_out(ledger.key_digests(staged, MergeKeys(staged, keys), partition_by, bits), [partition_by], None)
     told.write.partitionBy(partition_by).parquet(path)
     return {"names": names, "bits": bits, "partitions": sorted(kept | fresh)}
 
