@@ -35,6 +35,28 @@ def test_equals_brute_force_with_a_dense_group_in_blocks(spark, monkeypatch):
     assert max(n for n, _ in found.values()) > 100
 
 
+def test_equals_brute_force_over_many_tables_of_small_buckets(spark, monkeypatch):
+    monkeypatch.setattr(vector_dups, "BUCKET", 4)
+    monkeypatch.setattr(vector_dups, "BLOCK", 16)
+    random = np.random.default_rng(7)
+    base = random.standard_normal((300, 24))
+    near = base[random.integers(0, 60, 700)] + 0.32 * random.standard_normal((700, 24))
+    rows = {i: v.tolist() for i, v in enumerate(np.vstack([base, near]))}
+    assert vector_dups.tables_for(len(rows), 0.9)[1] > 20
+    df = spark.createDataFrame(list(rows.items()), "vec_id long, embedding array<double>").repartition(3)
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in near_duplicates(df, 0.9).collect()}
+    assert found == brute(rows, 0.9)
+    assert sum(n for n, _ in found.values()) > 1000
+
+
+def test_codes_do_not_depend_on_the_rows_beside():
+    vectors = np.random.default_rng(1).standard_normal((500, 64)).astype(np.float32).astype(np.float64)
+    planes, numbers = vector_dups.directions(64, 9, 30), vector_dups.whole(vectors)
+    together = vector_dups.sign_codes(numbers, planes, 9)
+    apart = np.array([[vector_dups.sign_codes(numbers[i : i + 1], planes[:, t * 9 : t * 9 + 9], 9)[0, 0] for t in range(30)] for i in range(500)])
+    assert (together == apart).all()
+
+
 def test_vectors_that_link_with_nothing(spark):
     rows = [(1, None, ""), (2, [0.0, 0.0], ""), (3, [float("nan"), 1.0], ""), (4, [1.0, None], ""), (5, [1.0, 0.0], ""),
             (6, [1.0, 0.0], ""), (6, [1.0, 0.0], "again"), (7, [1.0, 0.0, 0.0], ""), (None, [1.0, 0.0], ""), (8, [2.0, 0.1], "")]
