@@ -1,7 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from zonemill.llm.mixing import mix
+from zonemill.llm import mixing
+from zonemill.llm.mixing import calibrated, mix
 from zonemill.llm.queries import MIX_POWERS, topic
 
 SCHEMA = "doc_id long, source string, lang string, text string, kept string"
@@ -60,3 +61,37 @@ def test_weighted_marginals_at_the_registered_parameters(spark):
         goal = sum(r["t"] ** power for r in rows)
         assert [r["w"] / (0.9 * total) for r in rows] == pytest.approx([r["t"] ** power / goal for r in rows], rel=0.01)
         assert sum(r["k"] for r in rows) == pytest.approx(0.9 * total) == pytest.approx(sum(r["w"] for r in rows))
+
+
+@pytest.mark.parametrize("keep_share", [0.05, 0.5, 0.9, 0.999, 1.0])
+def test_the_scale_is_that_of_the_closed_form(spark, keep_share):
+    rows = [(f"c{i}", 1 + i * 37 % 100, float((i * i) % 97)) for i in range(200)] + [("none", 0, 0.0)]
+    cells = spark.createDataFrame(rows, "source string, tokens long, share double")
+    found = {r["source"]: r["probability"] for r in calibrated(cells, keep_share).collect()}
+    total, shares = sum(r[1] for r in rows), sum(r[2] for r in rows)
+    rated = sorted(((share / shares * total / tokens, tokens, share / shares * total) for _, tokens, share in rows if tokens), reverse=True)
+    whole, rest, scale = 0, sum(r[2] for r in rated), 0.0
+    for _, tokens, wanted in rated:
+        if rest > 1e-9 * total:
+            scale = max(scale, (total * keep_share - whole) / rest)
+        whole, rest = whole + tokens, rest - wanted
+    for name, tokens, share in rows:
+        plain = min(1.0, scale * share / shares * total / tokens) if tokens else 1.0
+        assert found[name] == pytest.approx(plain, rel=1e-9)
+
+
+def test_texts_without_any_token_stay(spark):
+    assert mix(docs(spark, [("a", "en", ""), ("b", None, None)]), {"source": 0.7, "lang": 0.8}).filter("kept").count() == 2
+
+
+def test_no_task_holds_all_cells(spark, monkeypatch):
+    plans, write = [], mixing.written
+
+    def noted(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(mixing, "written", noted)
+    mix(docs(spark, [("a", "en", "x" * 40), ("b", "de", "y" * 80)]), {"source": 0.7, "lang": 0.8})
+    assert len(plans) == mixing.ROUNDS + 2
+    assert not any("Window" in plan or "SinglePartition" in plan for plan in plans)

@@ -3,9 +3,10 @@
 Built-in functions only. Documents are summed up to cells, one per combination of the mixed
 columns; a hot source is pre-aggregated in every task. The cells' token weights are raked:
 in turn for each column, the weights of a value are scaled to its target share, for a fixed
-number of rounds. The raked shares become inclusion probabilities, ``min(1, scale * wanted /
-held)`` with the scale that makes the expected sum of kept tokens the asked share of all
-tokens, in closed form over the cells. A document is kept if a hash of its id, as a number
+number of rounds; a round joins the cells with a marginal table of each column and
+is written, so that no task holds all cells and a lost executor costs one round. The raked
+shares become inclusion probabilities, ``min(1, scale * wanted / held)`` with the scale that
+makes the expected sum of kept tokens the asked share of all tokens. A document is kept if a hash of its id, as a number
 in [0, 1), is below its cell's probability, so a repeated run or task keeps the same rows.
 
 Where many tokens are kept, probabilities of wanted cells end at 1 and the kept tokens alone
@@ -19,14 +20,14 @@ broadcast only where their counted number is below ``BROADCAST_CELLS``, else by
 Defined cases: NULL values of a mixed column are one value of their own; NULL and empty
 texts count no token and are drawn with their cell, or kept where it holds no token; a value without a target has target
 0 and its documents go; targets need not sum to 1; repeated rows count and are drawn alike;
-an empty table gives an empty result; other columns are kept, and clashing ones replaced.
+without any token all documents stay; an empty table gives an empty result; other columns are kept, and clashing ones replaced.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from zonemill.llm.common import written
@@ -49,45 +50,48 @@ def flattened(cells: DataFrame, column: str, power: float) -> DataFrame:
 def raked(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = ROUNDS) -> DataFrame:
     """``cells`` (the mixed columns and tokens) with ``share``: its part of the mixed tokens."""
     for at, (column, wanted) in enumerate(targets.items()):
-        all_rows = Window.partitionBy(F.lit(0))
-        wanted = wanted.select(
-            F.col(column).alias(f"_value{at}"), (F.col("target") / F.sum("target").over(all_rows)).alias(f"_target{at}")
-        )
-        cells = cells.join(wanted, F.col(column).eqNullSafe(F.col(f"_value{at}")), "left").drop(f"_value{at}")
-        cells = cells.withColumn(f"_target{at}", F.coalesce(f"_target{at}", F.lit(0.0)))
+        total = wanted.agg(F.sum("target")).first()[0] or 1.0
+        wanted = wanted.select(F.col(column).alias("_value"), (F.col("target") / F.lit(total)).alias("_wanted"))
+        cells = cells.join(wanted, F.col(column).eqNullSafe(F.col("_value")), "left")
+        cells = cells.withColumn(f"_target{at}", F.coalesce("_wanted", F.lit(0.0))).drop("_value", "_wanted")
     cells = cells.withColumn("share", F.col("tokens").cast("double"))
     for _ in range(rounds):
         for at, column in enumerate(targets):
-            held = F.sum("share").over(Window.partitionBy(column))
-            scaled = F.when(held > 0, F.col("share") * F.col(f"_target{at}") / held).otherwise(0.0)
-            cells = cells.withColumn("share", scaled)
+            # One row a value, summed up in every task first; Spark chooses how the cells meet it.
+            marginal = cells.groupBy(F.col(column).alias("_value")).agg(F.sum("share").alias("_held"))
+            cells = cells.join(marginal, F.col(column).eqNullSafe(F.col("_value")), "left")
+            scaled = F.when(F.col("_held") > 0, F.col("share") * F.col(f"_target{at}") / F.col("_held")).otherwise(0.0)
+            cells = cells.withColumn("share", scaled).drop("_value", "_held")
+        cells = written(cells, "raked")
     return cells.drop(*[f"_target{at}" for at in range(len(targets))])
 
 
-def calibrated(cells: DataFrame, columns: list[str], keep_share: float) -> DataFrame:
+def calibrated(cells: DataFrame, keep_share: float) -> DataFrame:
     """``cells`` with ``probability`` such that the expected kept tokens are ``keep_share`` of all, and ``weight``.
 
-    The expected sum is the least of the lines "the k cells most wanted for what they hold are
-    kept whole, the others in proportion", so the scale is the greatest solution over k.
+    The expected sum is concave in the scale and made of straight lines, so Newton's steps from
+    below rise to the line that holds the solution and end there. A step sums up the cells that
+    the scale keeps whole and the others; only these sums reach the driver.
     """
-    all_cells = Window.partitionBy(F.lit(0))
-    cells = cells.withColumn("_all", F.sum("tokens").over(all_cells).cast("double"))
-    cells = cells.withColumn("_sum", F.sum("share").over(all_cells))
-    wanted = F.when(F.col("_sum") > 0, F.col("share") / F.col("_sum") * F.col("_all")).otherwise(0.0)
+    tokens, shares = cells.agg(F.sum("tokens"), F.sum("share")).first()
+    tokens, shares = float(tokens or 0), shares or 0.0
+    wanted = F.col("share") / F.lit(shares) * F.lit(tokens) if shares > 0 else F.lit(0.0)
     cells = cells.withColumn("_wanted", wanted)
     cells = cells.withColumn("_rate", F.when(F.col("tokens") > 0, F.col("_wanted") / F.col("tokens")).otherwise(0.0))
-    before = Window.partitionBy(F.lit(0)).orderBy(F.desc("_rate"), *columns)
-    before = before.rowsBetween(Window.unboundedPreceding, -1)
-    whole = F.coalesce(F.sum("tokens").over(before), F.lit(0)).cast("double")
-    rest = F.col("_all") - F.coalesce(F.sum("_wanted").over(before), F.lit(0.0))
-    line = F.when(rest > 1e-9 * F.col("_all"), (F.col("_all") * keep_share - whole) / rest)
-    cells = cells.withColumn("_line", line)
-    cells = cells.withColumn("_scale", F.max("_line").over(all_cells))
-    chance = F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.col("_scale") * F.col("_rate")))
+    scale, before = 0.0, -1
+    while True:
+        whole = F.col("_rate") * F.lit(scale) >= 1
+        kept, held, rest = cells.agg(
+            F.count(F.when(whole, 1)), F.sum(F.when(whole, F.col("tokens"))), F.sum(F.when(~whole, F.col("_wanted")))
+        ).first()
+        if kept == before or (rest or 0.0) <= 1e-9 * tokens:
+            break
+        scale, before = (tokens * keep_share - (held or 0)) / rest, kept
+    chance = F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(F.least(F.lit(1.0), F.lit(scale) * F.col("_rate")))
     cells = cells.withColumn("probability", chance)
     lifted = F.when(F.col("probability") > 0, F.col("_rate") * F.lit(keep_share) / F.col("probability")).otherwise(0.0)
     cells = cells.withColumn("weight", F.when(F.col("tokens") == 0, F.lit(1.0)).otherwise(lifted))
-    return cells.drop("_all", "_sum", "_wanted", "_rate", "_line", "_scale")
+    return cells.drop("_wanted", "_rate")
 
 
 def draw(id_col: str) -> Column:
@@ -118,7 +122,7 @@ def mix(
     columns = [*(powers or {}), *(targets or {})]
     cells = written(docs.groupBy(*columns).agg(F.sum(names[0]).alias("tokens")), "cells")
     wanted = {c: flattened(cells, c, p) for c, p in (powers or {}).items()} | dict(targets or {})
-    cells = written(calibrated(raked(cells, wanted), columns, keep_share), "mix")
+    cells = written(calibrated(raked(cells, wanted), keep_share), "mix")
     added = [F.col("probability").alias(names[1]), *([F.col("weight").alias(weight)] if weight else [])]
     named = cells.select(*[F.col(c).alias(f"_cell{i}") for i, c in enumerate(columns)], *added)
     if named.count() <= BROADCAST_CELLS:
