@@ -100,6 +100,42 @@ def test_gradient_is_that_of_the_likelihood():
         assert (above - below) / 0.02 == pytest.approx(gradient[at], rel=1e-2)
 
 
+def test_training_brings_each_weight_back_once_a_round(spark, monkeypatch):
+    random = np.random.default_rng(5)
+    events = np.unique(random.integers(0, CLASSES**3, 4000))
+    context, of_class, counts = events // CLASSES, events % CLASSES, random.integers(1, 9, len(events))
+    rows = [tuple(map(int, r)) for r in zip(context, of_class, counts, strict=True)]
+    df = spark.createDataFrame(rows, "context int, class int, n long").repartition(3)
+    bias = random.standard_normal(CLASSES)
+    plain, values = Tables(bias), []
+    active = plain.events(context, of_class, counts)
+    for _ in range(3):
+        gradient, value = plain.gradient(context, of_class, counts)
+        step = maxent.STEP * (gradient - maxent.PRIOR * plain.weights) / (active + maxent.PRIOR + 1)
+        plain.weights = (plain.weights + np.clip(step, -maxent.LARGEST, maxent.LARGEST)).astype(np.float32)
+        values.append(value)
+    brought = []
+
+    def rows_met(self, collect=type(df).collect):
+        found = collect(self)
+        brought.append(sum(len(x) for r in found for x in r if isinstance(x, bytes | bytearray)))
+        return found
+
+    def table_met(self, to_arrow=type(df).toArrow):
+        brought.append((found := to_arrow(self)).nbytes)
+        return found
+
+    monkeypatch.setattr(type(df), "collect", rows_met)
+    monkeypatch.setattr(type(df), "toArrow", table_met)
+    tables = Tables(bias)
+    assert maxent.train(tables, df, 3) == pytest.approx(values, rel=1e-9)
+    assert np.allclose(tables.weights, plain.weights, atol=1e-5)
+    # In the first round a gradient and the events, then a gradient, of 8 bytes a weight.
+    size = 8 * len(tables.weights) + 4096
+    assert len(brought) == 3 and brought[0] <= 2 * size and max(brought[1:]) <= size
+    assert maxent.train(Tables(bias), df.limit(0), 3) == []
+
+
 def test_probabilities_of_all_next_tokens_add_up(spark):
     docs = spark.createDataFrame([(i, "a b c a b d " * (i % 3) + f"w{i % 7} x{i}") for i in range(60)], "doc_id long, text string")
     model = fit(docs, F.lit(True))

@@ -12,8 +12,8 @@ token, known or not, has a class that is found without a table of the vocabulary
 before that: a skip) and (class, both) lie in one hashed table of ``2 ** TABLE_BITS`` numbers;
 words are told apart by their classes. The counts of (context, class) over all training texts
 are the sufficient statistic of the model. They are gathered once by Spark, and ``ROUNDS``
-gradient updates follow: tasks compute the gradient of their contexts, its sum updates the
-table, each weight by a step of its own size under a Gaussian prior.
+gradient updates follow: tasks compute the gradient of their contexts, tasks sum slices of it,
+and the sums update the table, each weight by a step of its own size under a Gaussian prior.
 
 *Within a class.* A known word has its discounted share of the class's training tokens. The
 discount of all its words, with half a token more, is the share of words never seen, from the
@@ -39,10 +39,11 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,7 +54,7 @@ CLASSES = 1 + SINGLES + ENDINGS
 KNOWN = 65_536
 TABLE_BITS = 19
 ROUNDS, STEP, PRIOR, LARGEST = 12, 0.4, 0.5, 1.0
-# Tasks that share the contexts: their statistic is bounded by the number of classes.
+# Tasks that share the contexts, and slices of the table that are summed: the statistic is bounded by the number of classes.
 GRADIENT_PARTS = 8
 HELD = 300_000
 # The end, as a word that no text holds.
@@ -241,40 +242,63 @@ def _class_counter(model: Model):
     return run
 
 
-def _gradients(tables: Tables, first: bool):
-    """One row a task: the summed gradient of its contexts, in the first round with the events of each weight."""
+GRADIENTS = "slice int, part int, gradient binary, events binary, value double"
+
+
+def _gradients(sent: Broadcast, first: bool):
+    """The gradient of a task's contexts in slices, in the first round with the events of each weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = [[c.to_numpy() for c in batch.columns] for batch in batches if batch.num_rows]
         if held:
             context, of_class, n = (np.concatenate(c) for c in zip(*held, strict=True))
+            tables, part = sent.value, TaskContext.get().partitionId()
             gradient, value = tables.gradient(context, of_class, n)
-            events = tables.events(context, of_class, n).astype("<f4").tobytes() if first else b""
-            columns = [pa.array([gradient.astype("<f4").tobytes()]), pa.array([events]), pa.array([value])]
-            yield pa.RecordBatch.from_arrays(columns, names=["gradient", "events", "value"])
+            events = tables.events(context, of_class, n) if first else np.zeros(0)
+            slices = zip(np.array_split(gradient, GRADIENT_PARTS), np.array_split(events, GRADIENT_PARTS), strict=True)
+            for at, pair in enumerate(slices):
+                yield _slice(at, part, [x.astype("<f4") for x in pair], value)
 
     return run
 
 
+def _slice(at: int, part: int, pair: list[np.ndarray], value: float) -> pa.RecordBatch:
+    columns = [pa.array([at], pa.int32()), pa.array([part], pa.int32()), *(pa.array([x.tobytes()]) for x in pair), pa.array([value])]
+    return pa.RecordBatch.from_arrays(columns, names=["slice", "part", "gradient", "events", "value"])
+
+
+def _slice_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row a slice: the sums over its parts, in their order, so that a repeated task gives the same bits."""
+    rows = sorted(r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+    for at, own in groupby(rows, key=lambda r: r[0]):
+        _, _, gradients, events, values = zip(*own, strict=True)
+        pair = [sum(np.frombuffer(x, "<f4").astype("<f8") for x in parts) for parts in (gradients, events)]
+        yield _slice(at, 0, pair, sum(values))
+
+
 def train(tables: Tables, counts: DataFrame, rounds: int = ROUNDS) -> list[float]:
     """Gradient updates of the weights by counted (context, class, n); the log-likelihood before each.
 
-    At most ``GRADIENT_PARTS`` rows of the size of the table come back in a round.
+    Tasks sum the gradients, so a round brings each weight's sum back to the driver once, from however many parts.
     """
     parts = written(counts.repartition(GRADIENT_PARTS, "context"), "contexts")
     events, values = None, []
     for number in range(rounds):
-        # However many files the contexts have, a task takes many and returns one row.
-        told = parts.coalesce(GRADIENT_PARTS)
-        rows = told.mapInArrow(_gradients(tables, number == 0), "gradient binary, events binary, value double").collect()
-        if not rows:
+        sent = parts.sparkSession.sparkContext.broadcast(tables)
+        # However many files and shuffle partitions there are, a task takes many.
+        told = parts.coalesce(GRADIENT_PARTS).mapInArrow(_gradients(sent, number == 0), GRADIENTS)
+        told = told.repartition(GRADIENT_PARTS, "slice").coalesce(GRADIENT_PARTS).mapInArrow(_slice_sums, GRADIENTS)
+        found = told.toArrow().sort_by("slice")
+        # Else the tables of all rounds stay until the driver happens to collect its garbage.
+        sent.destroy()
+        if not found.num_rows:
             break
-        gradient = sum(np.frombuffer(r["gradient"], "<f4").astype(np.float64) for r in rows)
+        gradient = np.frombuffer(b"".join(found["gradient"].to_pylist()), "<f8")
         if events is None:
-            events = sum(np.frombuffer(r["events"], "<f4").astype(np.float64) for r in rows)
+            events = np.frombuffer(b"".join(found["events"].to_pylist()), "<f8")
         step = STEP * (gradient - PRIOR * tables.weights) / (events + PRIOR + 1)
         tables.weights = (tables.weights + np.clip(step, -LARGEST, LARGEST)).astype(np.float32)
-        values.append(sum(r["value"] for r in rows))
+        values.append(found["value"][0].as_py())
     return values
 
 
