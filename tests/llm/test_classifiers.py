@@ -68,6 +68,26 @@ def test_repeats_of_one_insult_count(toxic_model):
     assert (scorer.scores([f"the {w} of" for w in insults]) < 0.5).all()
 
 
+@pytest.mark.parametrize("stored", [0, 3, 10])
+def test_a_full_store_of_words_changes_no_score(toxic_model, monkeypatch, stored):
+    texts = [f"an i-d-{i}-iot, s-t-u-p-i-d it's no-{i} tr_ash. {'long' * 20}{i}" for i in range(120)] + ["an i-d-1-iot", None, "it's."]
+    expected = toxicity.TextScorer(toxic_model).scores(texts)
+    monkeypatch.setattr(toxicity, "STORED", stored)
+    scorer = toxicity.TextScorer(toxic_model)
+    # A worker reads batch after batch with the words it knows from those before.
+    for size in (1, 7, len(texts)):
+        found = [s for start in range(0, len(texts), size) for s in scorer.scores(texts[start : start + size])]
+        assert abs(expected - found).max() < 1e-9
+
+
+def test_the_store_of_words_is_bounded(toxic_model, monkeypatch):
+    monkeypatch.setattr(toxicity, "STORED", 40)
+    scorer = toxicity.TextScorer(toxic_model)
+    for i in range(100):
+        scorer.scores([f"no-{i} it's it-{i}, {i}-{i}"])
+        assert len(scorer.odd) <= 40
+
+
 def test_insults_cut_by_spaces(toxic_model):
     bad = ["the mo ron of id iot and stu pid with wor thless", "an i  d  i  o  t and s \t t u  p  i  d of t  r a s h",
            "it is i d i o t of it, s tu p id as tr a sh is", "id. iot, mo-ron, stu pid; wor th less"]

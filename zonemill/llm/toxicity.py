@@ -52,7 +52,7 @@ WORST = 5
 CLEAN = 4.0
 ORDER, REACH, DECAY = 3, 6, 0.5
 SIZE = 64
-# Words whose values a worker keeps.
+# Words whose values a worker keeps, and more only where the texts read at once hold more.
 STORED = 300_000
 LONGEST = 48
 JOINED, PIECES, SHORT = 3, 16, 2
@@ -497,13 +497,16 @@ class TextScorer:
             np.maximum.at(most, owner, self.model.span_scores(spans))
         return most.tolist()
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.odd) > STORED:
+    def _learn(self, words: set[str]) -> None:
+        """Store ``words``, which one call looks up, making room before any of them is stored."""
+        new = [w for w in words if w not in self.odd]
+        if len(self.odd) + len(new) > STORED:
             self.odd.clear()
-        bare = [bare_form(w) for w in words]
-        several = [w for w, b in zip(words, bare, strict=True) if b and pieces(w) != [b]]
+            new = list(words)
+        bare = [bare_form(w) for w in new]
+        several = [w for w, b in zip(new, bare, strict=True) if b and pieces(w) != [b]]
         own = dict(zip(several, self._values(several), strict=True))
-        self.odd.update((w, (b, own.get(w, np.nan))) for w, b in zip(words, bare, strict=True))
+        self.odd.update((w, (b, own.get(w, np.nan))) for w, b in zip(new, bare, strict=True))
 
     def _rows(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray, np.ndarray]:
         """The bare words of the texts, their texts, their lengths, and the values of words of several spans."""
@@ -516,10 +519,7 @@ class TextScorer:
         places = np.nonzero(~plain)[0]
         if len(places):
             found = [words[i] for i in places.tolist()]
-            new = [w for w in set(found) if w not in self.odd]
-            if new:
-                self._learn(new)
-                self._learn([w for w in set(found) if w not in self.odd])  # forgotten to make room
+            self._learn(set(found))
             for at, word in zip(places.tolist(), found, strict=True):
                 words[at], own[at] = self.odd[word]
             lengths[places] = [len(words[i]) for i in places.tolist()]
