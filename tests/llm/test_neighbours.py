@@ -1,7 +1,7 @@
 import numpy as np
 
 from zonemill.llm import neighbours
-from zonemill.llm.neighbours import nearest, quantise
+from zonemill.llm.neighbours import grid, nearest, quantise
 
 SCHEMA = "vec_id long, embedding array<float>, score string"
 
@@ -49,3 +49,40 @@ def test_error_bounds_hold():
     codes, scales, errors = quantise(vectors)
     assert codes.dtype == np.int8
     assert np.allclose(np.linalg.norm(vectors - codes * scales[:, None], axis=1), errors)
+
+
+def test_copies_of_the_queries_are_never_broadcast(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(neighbours, "QUERY_ROWS", 8)
+    random = np.random.default_rng(3)
+    rows = [(i, random.standard_normal(16).astype(np.float32).tolist(), "x") for i in range(900)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(str(tmp_path / "vectors"))
+    df = spark.read.parquet(str(tmp_path / "vectors"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        found = nearest(df, df.filter("vec_id % 10 = 0"), 3)
+        got = {(r["query_id"], r["rank"]): r["vec_id"] for r in found.collect()}
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    expected = brute(rows, set(range(0, 900, 10)), 3)
+    assert got == {(q, n): i for q, f in expected.items() for n, (_, i) in enumerate(f, 1)}
+
+
+def test_double_precision_is_kept(spark):
+    rows = [(0, [1.0, 0.0]), (1, [1.0 + 1e-12, 0.0]), (2, [1.0 + 1e-13, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = [(r["query_id"], r["vec_id"]) for r in nearest(df, df.filter("vec_id = 0"), 2).orderBy("rank").collect()]
+    assert found == [(0, 2), (0, 1)]
+
+
+def test_the_grid_bounds_the_copies():
+    for rows, asked, cells, cores in [(0, 0, 200, 4), (1, 1, 1, 1), (600_000, 6_000, 600, 6), (15_000_000, 150_000, 600, 6), (10**6, 10**6, 600, 6)]:
+        blocks = -(-rows // neighbours.BLOCK_ROWS)
+        parts, groups = grid(rows, asked, blocks, cells, cores)
+        assert 1 <= parts <= max(1, blocks) and 1 <= groups and parts * groups <= cells
+        if asked * 10 <= rows:
+            assert parts * asked <= 2 * max(rows, 1) and groups == 1
+    assert grid(10**6, 10**6, 245, 600, 50)[0] * grid(10**6, 10**6, 245, 600, 50)[1] > 100

@@ -1,7 +1,8 @@
 """Approximate-free nearest neighbours by a block matrix join with int8 products.
 
 Vectors and queries are packed into blocks. Every query block meets every vector block
-once, as one row of an equi-join on the query block. In such a tile the product of int8
+once, as one row of a shuffled equi-join on the cells of a grid: parts of the vector blocks by
+groups of the query blocks. In such a tile the product of int8
 codes gives each distance with an error bound; the pairs whose lower bound does not exceed
 the k-th smallest upper bound are computed again in double precision. A tile hands on k
 rows a query, and the tiles of a query are merged by a running heap.
@@ -16,16 +17,19 @@ empty result. Columns other than the two named are ignored.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, FloatType
 
 BLOCK_ROWS, QUERY_ROWS = 4096, 512
 BLOCK = "dim int, ids binary, codes binary, scales binary, errors binary, vectors binary"
 TILE = "query_id long, vec_id long, score double"
+SINGLE = ArrayType(FloatType())
 
 
 def usable(vector: Column) -> Column:
@@ -42,7 +46,19 @@ def quantise(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return codes.astype(np.int8), scales, errors
 
 
-def _pack(rows: int):
+def grid(rows: int, asked: int, blocks: int, cells: int, cores: int) -> tuple[int, int]:
+    """Parts of the vectors and groups of the queries: every query goes to each part, every vector to each group.
+
+    Of ``cells`` at most, as many as the cores can use or as copy the queries no more than
+    twice the vectors; sides in the ratio that copies least. No part is without a block.
+    """
+    share = max(1, rows) / max(1, asked)
+    cells = max(1, min(cells, max(int(2 * share), 4 * cores)))
+    parts = max(1, min(cells, blocks, math.isqrt(int(cells * share))))
+    return parts, max(1, min(cells // parts, -(-asked // QUERY_ROWS)))
+
+
+def _pack(rows: int, kind: type):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: dict[int, list[tuple[int, np.ndarray]]] = {}
 
@@ -51,7 +67,7 @@ def _pack(rows: int):
             vectors = np.stack([v for _, v in items])
             codes, scales, errors = quantise(vectors)
             ids = np.array([i for i, _ in items], dtype=np.int64)
-            parts = [ids, codes, scales, errors, vectors]
+            parts = [ids, codes, scales, errors, vectors.astype(kind)]
             return pa.RecordBatch.from_arrays(
                 [pa.array([dim], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in parts)],
                 names=["dim", "ids", "codes", "scales", "errors", "vectors"],
@@ -72,7 +88,8 @@ def _unpacked(row: dict, prefix: str) -> tuple[np.ndarray, ...]:
     ids = np.frombuffer(row[f"{prefix}ids"], np.int64)
     shape = (len(ids), row["dim"])
     codes = np.frombuffer(row[f"{prefix}codes"], np.int8).reshape(shape)
-    vectors = np.frombuffer(row[f"{prefix}vectors"], np.float64).reshape(shape)
+    raw = row[f"{prefix}vectors"]
+    vectors = np.frombuffer(raw, np.float32 if len(raw) == 4 * codes.size else np.float64).reshape(shape).astype(np.float64)
     return ids, codes, np.frombuffer(row[f"{prefix}scales"]), np.frombuffer(row[f"{prefix}errors"]), vectors
 
 
@@ -140,19 +157,32 @@ def nearest(
         chosen = df.select(F.col(id_col).cast("long"), F.col(vector_col)).filter(
             F.col(id_col).isNotNull() & usable(F.col(vector_col))
         )
-        return chosen.mapInArrow(_pack(rows), BLOCK)
+        return chosen.mapInArrow(_pack(rows, kind), BLOCK)
+
+    # Single-precision vectors travel as they are; distances are taken in double precision.
+    kind = np.float32 if vectors.schema[vector_col].dataType == queries.schema[vector_col].dataType == SINGLE else np.float64
 
     # An id with several vectors asks with the least of those that take part.
     asked = queries.filter(usable(F.col(vector_col))).groupBy(id_col).agg(F.min(vector_col).alias(vector_col))
     asked = packed(asked, QUERY_ROWS)
     asked = asked.select("dim", *[F.col(n).alias(f"q_{n}") for n in ("ids", "codes", "scales", "errors", "vectors")])
-    # A stated query set against all rows, block by block: blocks are dealt to parts, and
-    # every part gets every query block.
-    parts = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    part = F.pmod(F.xxhash64("ids"), F.lit(parts)).cast("int")
-    blocks = packed(vectors, BLOCK_ROWS).withColumn("_part", part)
-    asked = asked.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    tiles = blocks.join(asked, ["dim", "_part"]).drop("_part")
+    # A stated query set against all rows, block by block: blocks are dealt to parts, query
+    # blocks to groups, and every part meets every group in a cell of its own. Spark's size
+    # estimates do not see the copies, so the join is told to shuffle, not to broadcast.
+    spark = vectors.sparkSession
+    rows = vectors.count()
+    cells = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts, groups = grid(rows, queries.count(), -(-rows // BLOCK_ROWS), cells, spark.sparkContext.defaultParallelism)
+
+    def dealt(ids: str, number: int) -> Column:
+        return F.pmod(F.xxhash64(ids), F.lit(number)).cast("int")
+
+    def each(number: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
+
+    blocks = packed(vectors, BLOCK_ROWS).withColumn("_part", dealt("ids", parts)).withColumn("_group", each(groups))
+    asked = asked.withColumn("_group", dealt("q_ids", groups)).withColumn("_part", each(parts))
+    tiles = blocks.join(asked.hint("merge"), ["dim", "_part", "_group"]).drop("_part", "_group")
     found = tiles.mapInArrow(_search(k), TILE)
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
